@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelake import fixed, schemas
-from ratelake.functions.urls import is_valid_url
+from ratelake.functions.urls import is_valid_url, resolve_href
 
 _ISSUES = f"array<{schemas.ISSUE}>"
 
@@ -171,8 +171,11 @@ def _expected(kind: str, v: Column, path: Column) -> Column:
     return _one(path, F.concat(F.lit(f"Expected {kind}, received "), json_type(v)))
 
 
-def issues(v: Column, rule, path: Column) -> Column:
-    """All violations of ``rule`` by the VARIANT ``v`` (SQL NULL: missing)."""
+def issues(v: Column, rule, path: Column, base: Column | None = None) -> Column:
+    """All violations of ``rule`` by the VARIANT ``v`` (SQL NULL: missing).
+
+    With ``base``, a link counts as valid when it resolves against that URL.
+    """
     kind = json_type(v)
     if isinstance(rule, Choice):
         s = F.try_variant_get(v, "$", "string")
@@ -184,6 +187,9 @@ def issues(v: Column, rule, path: Column) -> Column:
         found = F.when(kind != "string", _expected("string", v, path)).otherwise(
             _text_issues(v, path, rule)
         )
+        if rule.url and base is not None:
+            href = F.coalesce(F.try_variant_get(v, "$", "string"), F.lit("null"))
+            found = F.when(resolve_href(href, base).isNotNull(), _none()).otherwise(found)
     elif isinstance(rule, Flag):
         found = F.when(kind != "boolean", _expected("boolean", v, path)).otherwise(_none())
     elif isinstance(rule, Rows):
@@ -191,13 +197,13 @@ def issues(v: Column, rule, path: Column) -> Column:
         nested = F.flatten(
             F.transform(
                 items,
-                lambda x, i: issues(x, rule.item, _join(path, i.cast("string"))),
+                lambda x, i: issues(x, rule.item, _join(path, i.cast("string")), base),
             )
         )
         found = F.when(kind != "array", _expected("array", v, path)).otherwise(nested)
     else:
         parts = [
-            issues(F.try_variant_get(v, f"$.{name}", "variant"), r, _join(path, F.lit(name)))
+            issues(F.try_variant_get(v, f"$.{name}", "variant"), r, _join(path, F.lit(name)), base)
             for name, r in rule.fields.items()
         ]
         found = F.when(kind != "object", _expected("object", v, path)).otherwise(F.concat(*parts))
@@ -211,14 +217,14 @@ def _join(path: Column, name: Column) -> Column:
     return F.when(path == "", name).otherwise(F.concat(path, F.lit("."), name))
 
 
-def gate(df: DataFrame, raw: str, rules=CANDIDATE_RULES) -> DataFrame:
+def gate(df: DataFrame, raw: str, rules=CANDIDATE_RULES, base: Column | None = None) -> DataFrame:
     """Add ``doc`` (VARIANT) and ``issues`` for the JSON text in ``raw``.
 
     Text that is not JSON gets the single issue "Invalid JSON".
     """
     parsed = df.withColumn("doc", F.try_parse_json(raw))
     found = F.when(F.col("doc").isNull(), _one(F.lit(""), F.lit("Invalid JSON"))).otherwise(
-        issues(F.col("doc"), rules, F.lit(""))
+        issues(F.col("doc"), rules, F.lit(""), base)
     )
     return parsed.withColumn("issues", found)
 
