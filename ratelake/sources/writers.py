@@ -67,13 +67,13 @@ def publish_children(
             f"{root}/{name}/load={load_id}"
         )
     parents.select(*keys).distinct().withColumn("load_id", F.lit(load_id)).write.mode("overwrite").parquet(
-        f"{root}/_commits/load={load_id}"
+        f"{root}/commits/load={load_id}"
     )
 
 
 def current_children(spark: SparkSession, root: str, name: str, keys: list[str]) -> DataFrame:
     """Child rows of the newest committed load of every parent; load ids sort by time."""
-    commits = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/_commits")
+    commits = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/commits")
     newest = first_per_key(commits, keys, [F.col("load_id").desc()])
     rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/{name}")
     return rows.join(newest, [*keys, "load_id"], "left_semi").drop("load_id")
