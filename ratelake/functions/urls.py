@@ -17,23 +17,33 @@ def _escape_for_java(url: Column) -> Column:
     return F.regexp_replace(loose, r'[\s"<>\\^`{|}]', "%20")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def is_valid_url(url: Column) -> Column:
     """Absolute URL with a scheme, and a host where the scheme needs one."""
-    u = _escape_for_java(url)
-    scheme = F.lower(F.try_parse_url(u, F.lit("PROTOCOL")))
-    host = F.try_parse_url(u, F.lit("HOST"))
-    return F.coalesce(
-        scheme.isNotNull() & (~scheme.isin(_SPECIAL) | host.isNotNull()), F.lit(False)
-    )
+
+    def check(u: Column) -> Column:
+        scheme = F.lower(F.try_parse_url(u, F.lit("PROTOCOL")))
+        hostless = ~scheme.isin(_SPECIAL)  # NULL without a scheme
+        return hostless | (scheme.isNotNull() & F.try_parse_url(u, F.lit("HOST")).isNotNull())
+
+    return F.coalesce(let(_escape_for_java(url), check), F.lit(False))
 
 
 def percent_encode(part: Column) -> Column:
     """Encode what is not printable ASCII; keep separators and existing escapes."""
-    encoded = F.replace(F.url_encode(part), F.lit("+"), F.lit("%20"))
-    for ch in _KEPT:
-        encoded = F.replace(encoded, F.lit(f"%{ord(ch):02X}"), F.lit(ch))
-    encoded = F.replace(encoded, F.lit("%25"), F.lit("%"))
-    return F.when(F.rlike(part, F.lit('[^!-~]|["<>`{}]')), encoded).otherwise(part)
+
+    def encode(p: Column) -> Column:
+        encoded = F.replace(F.url_encode(p), F.lit("+"), F.lit("%20"))
+        for ch in _KEPT:
+            encoded = F.replace(encoded, F.lit(f"%{ord(ch):02X}"), F.lit(ch))
+        encoded = F.replace(encoded, F.lit("%25"), F.lit("%"))
+        return F.when(F.rlike(p, F.lit('[^!-~]|["<>`{}]')), encoded).otherwise(p)
+
+    return let(part, encode)
 
 
 def remove_dot_segments(path: Column) -> Column:
@@ -41,50 +51,57 @@ def remove_dot_segments(path: Column) -> Column:
 
     def step(acc: Column, seg: Column) -> Column:
         up = F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1)))
-        return (
-            F.when(seg == "..", up)
-            .when(seg == ".", acc)
-            .otherwise(F.concat(acc, F.array(seg)))
+        return F.when(seg == "..", up).when(seg == ".", acc).otherwise(F.concat(acc, F.array(seg)))
+
+    def fold(segments: Column) -> Column:
+        below = F.slice(segments, F.lit(2), F.size(segments))
+        open_end = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(
+            F.array().cast("array<string>")
+        )
+        return F.array_join(F.concat(F.aggregate(below, F.array(F.lit("")), step), open_end), "/")
+
+    def body(p: Column) -> Column:
+        dotted = F.rlike(p, F.lit(r"(^|/)\.{1,2}(/|$)"))
+        return F.when(dotted, let(F.split(p, "/"), fold)).otherwise(p)
+
+    return let(path, body)
+
+
+# scheme and authority | path | query and fragment
+_URL = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)?([^?#]*)(.*)$"
+
+
+def _normal_url(url: Column) -> Column:
+    """Host in lower case, a path at least "/", dot segments folded, escapes added."""
+
+    def body(u: Column) -> Column:
+        path = F.coalesce(F.nullif(F.regexp_extract(u, _URL, 2), F.lit("")), F.lit("/"))
+        joined = F.concat(
+            F.lower(F.regexp_extract(u, _URL, 1)),
+            percent_encode(remove_dot_segments(path)),
+            percent_encode(F.regexp_extract(u, _URL, 3)),
         )
+        return F.when(F.contains(u, F.lit("://")), joined).otherwise(u)
 
-    segments = F.split(path, "/")
-    folded = F.aggregate(
-        F.slice(segments, F.lit(2), F.greatest(F.size(segments) - 1, F.lit(0))), F.array(F.lit("")), step
-    )
-    ends_open = F.element_at(segments, -1).isin(".", "..")
-    joined = F.array_join(F.when(ends_open, F.concat(folded, F.array(F.lit("")))).otherwise(folded), "/")
-    return F.when(F.rlike(path, F.lit(r"(^|/)\.{1,2}(/|$)")), joined).otherwise(path)
+    return let(url, body)
 
 
 def resolve_href(href: Column, base: Column) -> Column:
     """``href`` against ``base`` as an absolute URL; NULL if that is impossible."""
-    h = F.trim(href)
-    b = F.trim(base)
-    origin = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
-    base_path = F.regexp_extract(b, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
-    base_path = F.when(base_path == "", "/").otherwise(base_path)
-    base_query = F.regexp_extract(b, r"^[^?#]*(\?[^#]*)", 1)
-    folder = F.regexp_replace(base_path, "[^/]*$", "")
-    path = F.regexp_extract(h, "^([^?#]*)", 1)
-    tail = F.regexp_extract(h, "^[^?#]*(.*)$", 1)
-
-    def absolute(url: Column) -> Column:
-        front = F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1))
-        rest_path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
-        rest_tail = F.regexp_extract(url, r"^[^?#]*(.*)$", 1)
-        rest_path = F.when(rest_path == "", "/").otherwise(rest_path)
-        joined = F.concat(front, percent_encode(remove_dot_segments(rest_path)), percent_encode(rest_tail))
-        return F.when(front == "", url).otherwise(joined)
-
-    has_scheme = F.rlike(h, F.lit(_SCHEME))
-    full = (
-        F.when(has_scheme, h)
-        .when(origin == "", F.lit(None).cast("string"))
-        .when(F.startswith(h, F.lit("//")), F.concat(F.regexp_extract(origin, "^([^:]+:)", 1), h))
-        .when(F.startswith(h, F.lit("/")), F.concat(origin, h))
-        .when(h == "", F.concat(origin, base_path, base_query))
-        .when((path == "") & F.startswith(tail, F.lit("?")), F.concat(origin, base_path, tail))
-        .when(path == "", F.concat(origin, base_path, base_query, tail))
-        .otherwise(F.concat(origin, folder, h))
-    )
-    return F.when(full.isNotNull() & is_valid_url(full), absolute(full))
+
+    def body(x: Column) -> Column:
+        h, b = x["h"], x["b"]
+        origin = F.nullif(F.regexp_extract(b, _URL, 1), F.lit(""))
+        base_path = F.coalesce(F.nullif(F.regexp_extract(b, _URL, 2), F.lit("")), F.lit("/"))
+        base_query = F.regexp_extract(b, r"^[^?#]*(\?[^#]*)", 1)
+        return (
+            F.when(F.rlike(h, F.lit(_SCHEME)), h)
+            .when(F.startswith(h, F.lit("//")), F.concat(F.regexp_extract(origin, "^([^:]+:)", 1), h))
+            .when(F.startswith(h, F.lit("/")), F.concat(origin, h))
+            .when(F.startswith(h, F.lit("?")), F.concat(origin, base_path, h))
+            .when((h == "") | F.startswith(h, F.lit("#")), F.concat(origin, base_path, base_query, h))
+            .otherwise(F.concat(origin, F.regexp_replace(base_path, "[^/]*$", ""), h))
+        )
+
+    full = let(F.struct(F.trim(href).alias("h"), F.trim(base).alias("b")), body)
+    return let(full, lambda u: F.when(is_valid_url(u), _normal_url(u)))

@@ -8,6 +8,7 @@ apart, nothing is coerced, unknown keys pass.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from ratelake import fixed, schemas
 from ratelake.functions.urls import is_valid_url, resolve_href
 
 _ISSUES = f"array<{schemas.ISSUE}>"
+_TYPE_NAMES = {"STRING": "string", "VOID": "null", "BOOLEAN": "boolean", "ARRAY": "array", "OBJECT": "object"}
 
 
 @dataclass(frozen=True)
@@ -130,91 +132,154 @@ SNAPSHOT_RULES = Record({
 
 def json_type(v: Column) -> Column:
     """Type name of a VARIANT: string, number, boolean, null, array or object."""
-    t = F.schema_of_variant(v)
-    return (
-        F.when(t == "STRING", "string")
-        .when(t == "VOID", "null")
-        .when(t == "BOOLEAN", "boolean")
-        .when(F.startswith(t, F.lit("ARRAY")), "array")
-        .when(F.startswith(t, F.lit("OBJECT")), "object")
-        .otherwise("number")
+    names = F.create_map(
+        *[F.lit(x) for kv in _TYPE_NAMES.items() for x in kv]
+    )
+    return F.coalesce(
+        F.try_element_at(names, F.substring_index(F.schema_of_variant(v), "<", 1)), F.lit("number")
     )
 
 
+def _none() -> Column:
+    return F.array().cast(_ISSUES)
+
+
 def _one(path: Column, message: Column) -> Column:
     return F.array(F.struct(path.alias("path"), message.alias("message"))).cast(_ISSUES)
 
 
-def _none() -> Column:
-    return F.array().cast(_ISSUES)
+def _expectation(rule) -> str:
+    if isinstance(rule, Choice):
+        return " | ".join(f"'{v}'" for v in rule.values)
+    return "boolean" if isinstance(rule, Flag) else "string"
+
+
+def _leaf_row(name: Column, v: Column, rule) -> Column:
+    """A leaf value next to what its rule allows."""
+    choices = rule.values if isinstance(rule, Choice) else None
+    return F.struct(
+        name.alias("name"),
+        v.alias("v"),
+        F.lit("boolean" if isinstance(rule, Flag) else "string").alias("kind"),
+        F.lit(_expectation(rule)).alias("expected"),
+        (F.lit(None).cast("array<string>") if choices is None else F.array(*[F.lit(c) for c in choices])).alias("choices"),
+        F.lit(getattr(rule, "min", 0)).alias("min"),
+        F.lit(getattr(rule, "max", None)).cast("int").alias("max"),
+        F.lit(rule.nullable).alias("nullable"),
+        F.lit(rule.optional).alias("optional"),
+    )
 
 
-def _text_issues(v: Column, path: Column, rule: Text) -> Column:
-    s = F.try_variant_get(v, "$", "string")
-    out = _none()
-    if rule.url:
-        out = F.when(~is_valid_url(s), _one(path, F.lit("Invalid url"))).otherwise(out)
-    if rule.max is not None:
-        text = f"String must contain at most {rule.max} character(s)"
-        out = F.when(F.length(s) > rule.max, _one(path, F.lit(text))).otherwise(out)
-    if rule.min:
-        text = f"String must contain at least {rule.min} character(s)"
-        out = F.when(F.length(s) < rule.min, _one(path, F.lit(text))).otherwise(out)
-    return out
+def _leaf_message(f: Column, kind: Column, s: Column) -> Column:
+    """What is wrong with one leaf, or NULL."""
+    return (
+        F.when(f["v"].isNull(), F.when(~f["optional"], "Required"))
+        .when(f["nullable"] & (kind == "null"), F.lit(None))
+        .when(kind != f["kind"], F.concat(F.lit("Expected "), f["expected"], F.lit(", received "), kind))
+        .when(
+            f["choices"].isNotNull() & ~F.array_contains(f["choices"], s),
+            F.concat(F.lit("Invalid enum value. Expected "), f["expected"], F.lit(", received '"), s, F.lit("'")),
+        )
+        .when(
+            F.length(s) < f["min"],
+            F.concat(F.lit("String must contain at least "), f["min"].cast("string"), F.lit(" character(s)")),
+        )
+        .when(
+            F.length(s) > f["max"],
+            F.concat(F.lit("String must contain at most "), f["max"].cast("string"), F.lit(" character(s)")),
+        )
+    )
 
 
-def _choice_text(rule: Choice) -> str:
-    return " | ".join(f"'{v}'" for v in rule.values)
+def _leaf_issues(rows: list[Column], path: Column) -> Column:
+    """Issues of a run of leaves; one lambda body serves all of them."""
+    typed = F.transform(
+        F.array(*rows),
+        lambda f: F.struct(
+            f.alias("f"),
+            json_type(f["v"]).alias("kind"),
+            F.try_variant_get(f["v"], "$", "string").alias("s"),
+        ),
+    )
+    # Paths are spelled out for what is wrong only.
+    wrong = F.filter(typed, lambda t: _leaf_message(t["f"], t["kind"], t["s"]).isNotNull())
+    return F.transform(
+        wrong,
+        lambda t: F.struct(
+            _join(path, t["f"]["name"]).alias("path"),
+            _leaf_message(t["f"], t["kind"], t["s"]).alias("message"),
+        ),
+    )
 
 
-def _expected(kind: str, v: Column, path: Column) -> Column:
-    return _one(path, F.concat(F.lit(f"Expected {kind}, received "), json_type(v)))
+def _link_issues(v: Column, path: Column, rule: Text, base: Column | None) -> Column:
+    s = F.try_variant_get(v, "$", "string")
+    wrong_type = F.concat(F.lit("Expected string, received "), json_type(v))
+    found = F.when(json_type(v) != "string", _one(path, wrong_type)).otherwise(
+        F.when(is_valid_url(s), _none()).otherwise(_one(path, F.lit("Invalid url")))
+    )
+    if rule.nullable:
+        found = F.when(json_type(v) == "null", _none()).otherwise(found)
+    if base is not None:
+        resolved = resolve_href(F.coalesce(s, F.lit("null")), base)
+        found = F.when(resolved.isNotNull(), _none()).otherwise(found)
+    missing = _none() if rule.optional else _one(path, F.lit("Required"))
+    return F.when(v.isNull(), missing).otherwise(found)
 
 
-def issues(v: Column, rule, path: Column, base: Column | None = None) -> Column:
-    """All violations of ``rule`` by the VARIANT ``v`` (SQL NULL: missing).
+def _wrong_kind(v: Column, rule, path: Column, kind: str, nested: Column) -> Column:
+    """``nested`` for a value of ``kind``, else what is wrong with it."""
+    missing = _none() if rule.optional else _one(path, F.lit("Required"))
+    refused = _one(path, F.concat(F.lit(f"Expected {kind}, received "), json_type(v)))
+    if rule.nullable:
+        refused = F.when(F.is_variant_null(v), _none()).otherwise(refused)
+    return F.when(v.isNull(), missing).otherwise(F.coalesce(nested, refused))
+
 
-    With ``base``, a link counts as valid when it resolves against that URL.
+def issues(v: Column, rule, path: Column, base: Column | None = None) -> Column:
+    """All violations of ``rule`` by the VARIANT ``v`` (SQL NULL: missing), in
+    document order. With ``base``, a link counts as valid when it resolves
+    against that URL.
     """
-    kind = json_type(v)
-    if isinstance(rule, Choice):
-        s = F.try_variant_get(v, "$", "string")
-        wrong = F.concat(F.lit(f"Invalid enum value. Expected {_choice_text(rule)}, received '"), s, F.lit("'"))
-        found = F.when(kind != "string", _expected(_choice_text(rule), v, path)).otherwise(
-            F.when(~s.isin(*rule.values), _one(path, wrong)).otherwise(_none())
-        )
-    elif isinstance(rule, Text):
-        found = F.when(kind != "string", _expected("string", v, path)).otherwise(
-            _text_issues(v, path, rule)
-        )
-        if rule.url and base is not None:
-            href = F.coalesce(F.try_variant_get(v, "$", "string"), F.lit("null"))
-            found = F.when(resolve_href(href, base).isNotNull(), _none()).otherwise(found)
-    elif isinstance(rule, Flag):
-        found = F.when(kind != "boolean", _expected("boolean", v, path)).otherwise(_none())
-    elif isinstance(rule, Rows):
+    if isinstance(rule, Text) and rule.url:
+        return _link_issues(v, path, rule, base)
+    if isinstance(rule, Rows):
         items = F.try_variant_get(v, "$", "array<variant>")
         nested = F.flatten(
-            F.transform(
-                items,
-                lambda x, i: issues(x, rule.item, _join(path, i.cast("string")), base),
-            )
+            F.transform(items, lambda x, i: issues(x, rule.item, _join(path, i.cast("string")), base))
         )
-        found = F.when(kind != "array", _expected("array", v, path)).otherwise(nested)
-    else:
-        parts = [
-            issues(F.try_variant_get(v, f"$.{name}", "variant"), r, _join(path, F.lit(name)), base)
-            for name, r in rule.fields.items()
-        ]
-        found = F.when(kind != "object", _expected("object", v, path)).otherwise(F.concat(*parts))
-    if rule.nullable:
-        found = F.when(kind == "null", _none()).otherwise(found)
-    missing = _none() if rule.optional else _one(path, F.lit("Required"))
-    return F.when(v.isNull(), missing).otherwise(found)
+        return _wrong_kind(v, rule, path, "array", nested)
+    if not isinstance(rule, Record):
+        return _leaf_issues([_leaf_row(F.lit(""), v, rule)], path)
+
+    parts: list[Column] = []
+    leaves: list[Column] = []
+
+    def close_run() -> None:
+        if leaves:
+            parts.append(_leaf_issues(list(leaves), path))
+            leaves.clear()
+
+    for name, r in rule.fields.items():
+        value = F.try_variant_get(v, f"$.{name}", "variant")
+        if isinstance(r, (Rows, Record)) or getattr(r, "url", False):
+            close_run()
+            parts.append(issues(value, r, _join(path, F.lit(name)), base))
+        else:
+            leaves.append(_leaf_row(F.lit(name), value, r))
+    close_run()
+    is_object = json_type(v) == "object"
+    return _wrong_kind(v, rule, path, "object", F.when(is_object, F.concat(*parts)))
 
 
 def _join(path: Column, name: Column) -> Column:
-    return F.when(path == "", name).otherwise(F.concat(path, F.lit("."), name))
+    return F.concat_ws(".", F.nullif(path, F.lit("")), F.nullif(name, F.lit("")))
+
+
+@lru_cache(maxsize=4)
+def _candidate_issues(application_id: str) -> Column:
+    """The candidate rules as one Column; building it costs thousands of gateway calls."""
+    return issues(F.col("doc"), CANDIDATE_RULES, F.lit(""))
 
 
 def gate(df: DataFrame, raw: str, rules=CANDIDATE_RULES, base: Column | None = None) -> DataFrame:
@@ -223,9 +288,11 @@ def gate(df: DataFrame, raw: str, rules=CANDIDATE_RULES, base: Column | None = N
     Text that is not JSON gets the single issue "Invalid JSON".
     """
     parsed = df.withColumn("doc", F.try_parse_json(raw))
-    found = F.when(F.col("doc").isNull(), _one(F.lit(""), F.lit("Invalid JSON"))).otherwise(
-        issues(F.col("doc"), rules, F.lit(""), base)
-    )
+    if rules is CANDIDATE_RULES and base is None:
+        checked = _candidate_issues(df.sparkSession.sparkContext.applicationId)
+    else:
+        checked = issues(F.col("doc"), rules, F.lit(""), base)
+    found = F.when(F.col("doc").isNull(), _one(F.lit(""), F.lit("Invalid JSON"))).otherwise(checked)
     return parsed.withColumn("issues", found)
 
 

@@ -117,23 +117,23 @@ def issues(rule, j: str, path: str, depth: int = 0) -> str:
 
 _CONTEXT = ", ".join(f"{sql} AS {name}" for name, sql in CONTEXT_SQL.items())
 
-CANDIDATES_CTE = f"""raw_cand AS (
+CANDIDATES_CTE = f"""raw_cand AS MATERIALIZED (
   SELECT o_orderkey, {_CONTEXT}, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS captured_at, {CANDIDATE_SQL} AS raw
   FROM orders),
-docs AS (SELECT *, CASE WHEN json_valid(raw) THEN CAST(raw AS JSON) END AS doc FROM raw_cand),
-gated AS (
+docs AS MATERIALIZED (SELECT *, CASE WHEN json_valid(raw) THEN CAST(raw AS JSON) END AS doc FROM raw_cand),
+gated AS MATERIALIZED (
   SELECT *, CASE WHEN doc IS NULL THEN [' Invalid JSON'] ELSE {issues(CANDIDATE_RULES, 'doc', "''")} END AS issues
   FROM docs)"""
 
 # Valid candidates flattened, with parsed dates, ranges and percents.
 _RANGE = range_parts("clean", "range_text")
 NORMAL_CTE = f"""{CANDIDATES_CTE},
-valid AS (
+valid AS MATERIALIZED (
   SELECT *, json_extract_string(doc, '$.effective_date') AS date_text,
-    coalesce(json_array_length(json_extract(doc, '$.programs')), 0) AS n_programs,
+    CAST(coalesce(json_array_length(json_extract(doc, '$.programs')), 0) AS BIGINT) AS n_programs,
     coalesce(json_extract(doc, '$.parse_warnings[*]'), []) AS warns
   FROM gated WHERE len(issues) = 0),
-dated AS (SELECT *, {date_text('date_text')} AS effective_date FROM valid),
+dated AS MATERIALIZED (SELECT *, {date_text('date_text')} AS effective_date FROM valid),
 cand_tables AS (
   SELECT d.* EXCLUDE (issues, raw), t.i AS table_index, json_extract(doc, '$.programs[' || t.i || ']') AS tab
   FROM dated d, LATERAL (SELECT unnest(range(d.n_programs)) AS i) t),
@@ -142,8 +142,8 @@ cand_brackets AS (
     json_extract_string(tab, '$.program') AS program,
     json_extract_string(tab, '$.brackets[' || b.j || '].range_text') AS range_text,
     json_extract_string(tab, '$.brackets[' || b.j || '].percent_text') AS percent_text
-  FROM cand_tables c, LATERAL (SELECT unnest(range(coalesce(json_array_length(json_extract(c.tab, '$.brackets')), 0))) AS j) b),
+  FROM cand_tables c, LATERAL (SELECT unnest(range(CAST(coalesce(json_array_length(json_extract(c.tab, '$.brackets')), 0) AS BIGINT))) AS j) b),
 cleaned AS (SELECT *, {clean_range('range_text')} AS clean FROM cand_brackets),
-parsed AS (
+parsed AS MATERIALIZED (
   SELECT *, {_RANGE['low']} AS low, {_RANGE['high']} AS high, {_RANGE['bracket_id']} AS bracket_id,
     {_RANGE['parsed']} AS parsed, {percent('percent_text')} AS pct FROM cleaned)"""
