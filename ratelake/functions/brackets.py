@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ratelake import fixed
+from ratelake.functions.binding import let
 from ratelake.functions.dates import warning
-from ratelake.functions.numbers import two_decimals
 from ratelake.functions.text import collapse_whitespace
 
 _NUMBER = r"(\d+(?:\.\d+)?)"
@@ -25,7 +25,7 @@ def clean_range_text(text: Column) -> Column:
 
 def fallback_bracket_id(text: Column) -> Column:
     slug = F.replace(clean_range_text(text), F.lit(" "), F.lit("_"))
-    return F.when(slug == "", "unknown_range").otherwise(slug)
+    return F.coalesce(F.nullif(slug, F.lit("")), F.when(text.isNotNull(), "unknown_range"))
 
 
 def _group(text: Column, pattern: str, index: int) -> Column:
@@ -34,38 +34,31 @@ def _group(text: Column, pattern: str, index: int) -> Column:
 
 def parse_range_text(text: Column) -> Column:
     """Struct (low, high, bracket_id, parsed); patterns are tried in a fixed order."""
+    null = F.lit(None).cast("double")
+
+    def numbers(clean: Column) -> Column:
+        return F.struct(
+            _group(clean, BOUNDED, 1).alias("low"),
+            _group(clean, BOUNDED, 2).alias("high"),
+            F.coalesce(_group(clean, OPEN_HIGH, 1), _group(clean, AT_LEAST, 1)).alias("above"),
+            _group(clean, OPEN_LOW, 1).alias("below"),
+        )
 
-    def build(clean: Column) -> Column:
-        low, high = _group(clean, BOUNDED, 1), _group(clean, BOUNDED, 2)
-        above = F.coalesce(_group(clean, OPEN_HIGH, 1), _group(clean, AT_LEAST, 1))
-        below = _group(clean, OPEN_LOW, 1)
-        null = F.lit(None).cast("double")
-
-        def result(lo: Column, hi: Column, bracket_id: Column, parsed: bool) -> Column:
-            return F.struct(
-                lo.alias("low"),
-                hi.alias("high"),
-                bracket_id.alias("bracket_id"),
-                F.lit(parsed).alias("parsed"),
-            )
+    def result(low: Column, high: Column, bracket_id: Column, parsed: bool) -> Column:
+        return F.struct(
+            low.alias("low"), high.alias("high"), bracket_id.alias("bracket_id"), F.lit(parsed).alias("parsed")
+        )
 
+    def choose(n: Column) -> Column:
+        low, high, above, below = n["low"], n["high"], n["above"], n["below"]
         return (
-            F.when(
-                low.isNotNull(),
-                result(low, high, F.concat_ws("_", two_decimals(low), two_decimals(high)), True),
-            )
-            .when(
-                above.isNotNull(),
-                result(above, null, F.concat(two_decimals(above), F.lit("_plus")), True),
-            )
-            .when(
-                below.isNotNull(),
-                result(null, below, F.concat(F.lit("lt_"), two_decimals(below)), True),
-            )
+            F.when(low.isNotNull(), result(low, high, F.format_string("%.2f_%.2f", low, high), True))
+            .when(above.isNotNull(), result(above, null, F.format_string("%.2f_plus", above), True))
+            .when(below.isNotNull(), result(null, below, F.format_string("lt_%.2f", below), True))
             .otherwise(result(null, null, fallback_bracket_id(text), False))
         )
 
-    return build(clean_range_text(text))
+    return let(let(clean_range_text(text), numbers), choose)
 
 
 def range_warning(text: Column) -> Column:

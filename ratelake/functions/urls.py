@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ratelake.functions.binding import let
+
 _SPECIAL = ["http", "https", "ftp", "ws", "wss"]
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 
@@ -17,11 +19,6 @@ def _escape_for_java(url: Column) -> Column:
     return F.regexp_replace(loose, r'[\s"<>\\^`{|}]', "%20")
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def is_valid_url(url: Column) -> Column:
     """Absolute URL with a scheme, and a host where the scheme needs one."""
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelake import fixed, schemas
+from ratelake.functions.binding import let
 from ratelake.functions.brackets import (
     parse_percent_text,
     parse_range_text,
@@ -74,9 +75,8 @@ def warning_messages(warnings: Column) -> Column:
 
 def normal_tables(programs: Column, effective_date: Column) -> Column:
     def bracket(b: Column) -> Column:
-        # One-element transform binds the parsed range once per bracket.
-        bound = F.transform(
-            F.array(parse_range_text(b["range_text"])),
+        return let(
+            parse_range_text(b["range_text"]),
             lambda r: F.struct(
                 r["bracket_id"].alias("bracket_id"),
                 b["range_text"].alias("index_range"),
@@ -86,7 +86,6 @@ def normal_tables(programs: Column, effective_date: Column) -> Column:
                 b["percent_text"].alias("surcharge_text"),
             ),
         )
-        return F.get(bound, F.lit(0))
 
     return F.transform(
         programs,

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratelake.functions.binding import let
 from ratelake.functions.brackets import parse_percent_text, parse_range_text
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -174,12 +175,13 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         whole = ((k + i + j) % 20 + 5).cast("string")
         cents = F.lpad(((k * 7 + j) % 100).cast("string"), 2, "0")
         percent = F.when((k + j) % 11 == 0, "n/a").otherwise(F.concat(whole, F.lit("."), cents, F.lit("%")))
-        r = parse_range_text(text)
-        return F.struct(
-            r["bracket_id"].alias("bracket_id"), text.alias("index_range"),
+        texts = F.struct(text.alias("range_text"), percent.alias("percent_text"))
+        return let(texts, lambda t: let(parse_range_text(t["range_text"]), lambda r: F.struct(
+            r["bracket_id"].alias("bracket_id"), t["range_text"].alias("index_range"),
             r["low"].alias("min_index"), r["high"].alias("max_index"),
-            parse_percent_text(percent).alias("surcharge_percent"), percent.alias("surcharge_text"),
-        )
+            parse_percent_text(t["percent_text"]).alias("surcharge_percent"),
+            t["percent_text"].alias("surcharge_text"),
+        )))
 
     def table(i):
         day = F.date_add(F.lit("2023-12-20").cast("date"), ((k * 5 + i * 3) % 45).cast("int")).cast("string")
