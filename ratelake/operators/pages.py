@@ -170,18 +170,24 @@ PARTS = {
 }
 
 
-def parse_pages(pages: DataFrame, key: str = "page_id", parts: tuple[str, ...] = tuple(PARTS)) -> DataFrame:
-    """One row per page with the wanted raw parts. Reads only ``key`` and ``html``."""
+def parse_pages(
+    pages: DataFrame, keep: tuple[str, ...] = ("page_id",), parts: tuple[str, ...] = tuple(PARTS)
+) -> DataFrame:
+    """One row per page with the wanted raw parts next to the ``keep`` columns.
+
+    Reads only those columns and ``html``.
+    """
 
     def run(batches):
         for batch in batches:
             parsed = [parse_page(h) for h in batch.column("html").to_pylist()]
             columns = {p: pa.array([row[p] for row in parsed], PARTS[p][1]) for p in parts}
-            yield pa.RecordBatch.from_pydict({key: batch.column(key), **columns})
+            kept = {c: batch.column(c) for c in keep}
+            yield pa.RecordBatch.from_pydict({**kept, **columns})
 
-    kind = pages.schema[key].dataType.simpleString()
-    schema = ", ".join([f"{key} {kind}"] + [f"{p} {PARTS[p][0]}" for p in parts])
-    return pages.select(key, "html").mapInArrow(run, schema)
+    kept = [f"{c} {pages.schema[c].dataType.simpleString()}" for c in keep]
+    schema = ", ".join(kept + [f"{p} {PARTS[p][0]}" for p in parts])
+    return pages.select(*keep, "html").mapInArrow(run, schema)
 
 
 def _field(text: Column, limit: int = fixed.FIELD_MAX) -> Column:
@@ -302,7 +308,7 @@ def outline(title_: Column, headings_: Column, tables_: Column, links_: Column)
 
 def page_outline(pages: DataFrame, key: str = "page_id", words: list[str] = tuple(fixed.LINK_WORDS)) -> DataFrame:
     """Outline and visible text of every page in one pass."""
-    parsed = parse_pages(pages, key)
+    parsed = parse_pages(pages, (key,))
     # Named step by step: each array is computed once.
     return (
         parsed.withColumn("_links", links(F.col("links"), words))

@@ -168,9 +168,9 @@ def run_status(sources: DataFrame, registry: DataFrame) -> DataFrame:
         ),
     )
     return (
-        joined.drop("_child_known")
-        .withColumn("error", error)
+        joined.withColumn("error", error)
         .withColumn("status", F.when(F.col("error").isNull(), "success").otherwise("error"))
+        .drop("_child_known")
     )
 
 

@@ -52,7 +52,8 @@ def stream_delta(
     """Deltas of arriving snapshots against the stored ones.
 
     ``tables`` streams one row per table: ID, structural_error, program,
-    table_index, effective_date and nested brackets. A batch is diffed with the
+    table_index, effective_date and nested brackets (an element may carry its own
+    bracket_index, else its position counts). A batch is diffed with the
     versions already stored and with its own earlier ones, in capture order; a
     late snapshot is diffed with what precedes it and rewrites nothing. Each
     batch has its own folder in both tables, so a replay overwrites itself.
@@ -73,8 +74,10 @@ def stream_delta(
         ).distinct()
         used = relevant.join(needed, ID, "left_semi")
         flat = used.select(*ID, "program", "table_index", F.posexplode("brackets").alias("bracket_index", "_b"))
+        own = "bracket_index" in batch.schema["brackets"].dataType.elementType.fieldNames()
         brackets = flat.select(
-            *ID, "program", "table_index", "bracket_index", "_b.bracket_id", "_b.index_range", "_b.surcharge_percent"
+            *ID, "program", "table_index", "_b.bracket_index" if own else "bracket_index",
+            "_b.bracket_id", "_b.index_range", "_b.surcharge_percent",
         )
         deltas = snapshot_diff(pairs, used.select(*ID, "program", "table_index", "effective_date"), brackets)
         deltas.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
