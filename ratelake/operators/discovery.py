@@ -10,7 +10,7 @@ from ratelake import fixed, schemas
 from ratelake.functions.dates import parse_date_text
 from ratelake.functions.urls import resolve_href
 from ratelake.operators.gate import CANDIDATE_RULES, gate
-from ratelake.operators.normalize import _typed, has_structural_warning, warning_messages
+from ratelake.operators.normalize import _typed, has_structural_warning, positions, warning_messages
 
 _ARTIFACTS = "array<struct<url:string,effective_date:string,context_excerpt:string,child_source_id:string>>"
 
@@ -70,7 +70,7 @@ def discover(df: DataFrame, raw: str) -> DataFrame:
 def discovered_links(discovered: DataFrame) -> DataFrame:
     d = F.col("discovered")
     others = [c for c in discovered.columns if c != "discovered"]
-    return discovered.select(*others, F.posexplode(d["artifacts"]).alias("link_index", "_a")).select(
+    return positions(discovered, d["artifacts"], others, ("link_index", "_a")).select(
         *others, "link_index", F.col("_a.url").alias("url"),
         F.col("_a.effective_date").alias("effective_date"),
         F.col("_a.context_excerpt").alias("context_excerpt"),

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelake import fixed, schemas
+from ratelake.functions.binding import with_once
 from ratelake.functions.urls import is_valid_url, resolve_href
 
 _ISSUES = f"array<{schemas.ISSUE}>"
@@ -293,7 +294,7 @@ def gate(df: DataFrame, raw: str, rules=CANDIDATE_RULES, base: Column | None = N
     else:
         checked = issues(F.col("doc"), rules, F.lit(""), base)
     found = F.when(F.col("doc").isNull(), _one(F.lit(""), F.lit("Invalid JSON"))).otherwise(checked)
-    return parsed.withColumn("issues", found)
+    return with_once(parsed, "issues", found)
 
 
 def assertion_message(issue_list: Column, label: Column) -> Column:

@@ -190,6 +190,16 @@ def normalize(df: DataFrame, raw: str) -> DataFrame:
     )
 
 
+def positions(df: DataFrame, array: Column, others: list, names: tuple[str, str]) -> DataFrame:
+    """One row per array element with its position.
+
+    An outer explode with a filter on its output: for a plain one the optimizer
+    adds a size check below, which computes the array expression twice.
+    """
+    rows = df.select(*others, F.posexplode_outer(array).alias(*names))
+    return rows.filter(F.col(names[0]).isNotNull())
+
+
 def flatten_tables(snapshots: DataFrame, snapshot: str = "snapshot") -> DataFrame:
     """One row per table with its position, brackets still nested.
 
@@ -198,7 +208,7 @@ def flatten_tables(snapshots: DataFrame, snapshot: str = "snapshot") -> DataFram
     s = F.col(snapshot)
     others = [c for c in snapshots.columns if c != snapshot]
     return (
-        snapshots.select(*others, s.alias("_s"), F.posexplode(s["tables"]).alias("table_index", "_t"))
+        positions(snapshots, s["tables"], [*others, s.alias("_s")], ("table_index", "_t"))
         .withColumn("program", F.col("_t.program"))
         .withColumn(
             "effective_date", F.coalesce(F.col("_t.effective_date"), F.col("_s.effective_date"))
@@ -212,6 +222,5 @@ def flatten_tables(snapshots: DataFrame, snapshot: str = "snapshot") -> DataFram
 def flatten_brackets(tables: DataFrame) -> DataFrame:
     """One row per bracket with its position inside the table."""
     others = [c for c in tables.columns if c not in ("brackets", "bracket_count")]
-    return tables.select(
-        *others, F.posexplode("brackets").alias("bracket_index", "_b")
-    ).select(*others, "bracket_index", "_b.*")
+    rows = positions(tables, F.col("brackets"), others, ("bracket_index", "_b"))
+    return rows.select(*others, "bracket_index", "_b.*")

@@ -9,6 +9,7 @@ from ratelake import fixed
 from ratelake.functions.numbers import to_decimal
 from ratelake.operators.gate import json_type
 from ratelake.operators.keyed import absent_rows
+from ratelake.operators.normalize import positions
 from ratelake.schemas import KEYS
 
 
@@ -25,7 +26,7 @@ def response_rows(responses: DataFrame, raw: str, series_id: str = "series_id")
         return F.when(json_type(v) == "string", F.try_variant_get(v, "$", "string"))
 
     others = [c for c in responses.columns if c != raw]
-    rows = responses.select(*others, F.explode(data).alias("_r"))
+    rows = positions(responses, data, others, ("_pos", "_r"))
     r = F.col("_r")
     return rows.select(
         F.col(series_id).alias("series_id"),

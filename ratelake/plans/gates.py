@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ratelake.operators.discovery import discover, discovered_links
 from ratelake.operators.gate import CANDIDATE_RULES, assertion_message, gate, json_type
 from ratelake.operators.normalize import (
-    candidates, flatten_brackets, flatten_tables, normalize, scope_warnings, structural_error, warning_messages,
+    candidates, flatten_brackets, flatten_tables, normalize, positions, scope_warnings, structural_error, warning_messages,
 )
 from ratelake.operators.registry import parse_responses
 from ratelake.plans import REGISTRY
@@ -19,7 +19,8 @@ query = REGISTRY.query
 
 def _issue_rows(spark, sf_dir):
     gated = gate(candidate_rows(spark, sf_dir), "raw")
-    return gated.select("o_orderkey", F.explode("issues").alias("_i")).select("o_orderkey", "_i.*")
+    rows = positions(gated, F.col("issues"), ["o_orderkey"], ("_pos", "_i"))
+    return rows.select("o_orderkey", "_i.*")
 
 
 _ISSUE_ROWS = f"""WITH {CANDIDATES_CTE},

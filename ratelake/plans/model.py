@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ratelake.functions.binding import let
 from ratelake.functions.brackets import parse_percent_text, parse_range_text
+from ratelake.session import spread
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 PROGRAM_OF_SERIES = {name: name for name in EVENT_TYPES}
@@ -132,7 +133,7 @@ CONTEXT_SQL = {
 
 def candidate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One candidate document per order, with its capture context."""
-    return read(spark, sf_dir, "orders").select(
+    return spread(read(spark, sf_dir, "orders")).select(
         "o_orderkey",
         *[F.expr(sql).alias(name) for name, sql in CONTEXT_SQL.items()],
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured_at"),
