@@ -208,14 +208,16 @@ def flatten_tables(snapshots: DataFrame, snapshot: str = "snapshot") -> DataFram
     s = F.col(snapshot)
     others = [c for c in snapshots.columns if c != snapshot]
     return (
-        positions(snapshots, s["tables"], [*others, s.alias("_s")], ("table_index", "_t"))
+        positions(
+            snapshots, s["tables"], [*others, s["effective_date"].alias("_date")], ("table_index", "_t")
+        )
         .withColumn("program", F.col("_t.program"))
         .withColumn(
-            "effective_date", F.coalesce(F.col("_t.effective_date"), F.col("_s.effective_date"))
+            "effective_date", F.coalesce(F.col("_t.effective_date"), F.col("_date"))
         )
         .withColumn("bracket_count", F.size("_t.brackets"))
         .withColumn("brackets", F.col("_t.brackets"))
-        .drop("_s", "_t")
+        .drop("_date", "_t")
     )
 
 

@@ -133,19 +133,16 @@ def prior_of_other_owner(
     owner. Linear: two owners per instant and the latest row of a second owner
     are all the state it takes.
     """
-    # Smallest and second smallest owner of every instant.
+    # Smallest and second smallest owner of every instant; the rank filter is a
+    # window group limit, so an instant with many owners ships two per task.
     owners = df.select(*keys, time, owner).filter(F.col(time).isNotNull()).distinct()
-    instants = owners.groupBy(*keys, time).agg(
-        F.min(owner).alias("_first"), F.max(owner).alias("_greatest"), F.count(F.lit(1)).alias("_n")
-    )
-    second = (
-        owners.join(instants.filter("_n > 2").select(*keys, time, "_first"), [*keys, time])
-        .filter(F.col(owner) > F.col("_first"))
+    rank = F.row_number().over(Window.partitionBy(*keys, time).orderBy(owner))
+    lowest, highest = F.min(owner), F.max(owner)
+    instants = (
+        owners.withColumn("_rank", rank)
+        .filter(F.col("_rank") <= 2)
         .groupBy(*keys, time)
-        .agg(F.min(owner).alias("_second"))
-    )
-    instants = instants.join(second, [*keys, time], "left").withColumn(
-        "_second", F.coalesce("_second", F.when(F.col("_n") == 2, F.col("_greatest")))
+        .agg(lowest.alias("_first"), F.when(highest > lowest, highest).alias("_second"))
     )
 
     def entry(owner_col: Column, at: Column) -> Column:
