@@ -212,7 +212,7 @@ def headings(raw: Column) -> Column:
 
 
 def _cells_line(cells: Column) -> Column:
-    texts = F.filter(F.transform(cells, _field), lambda t: F.length(t) > 0)
+    texts = F.filter(F.transform(cells, lambda t: _field(t)), lambda t: F.length(t) > 0)
     return F.array_join(texts, " | ")
 
 

@@ -38,10 +38,10 @@ def read_text_documents(spark: SparkSession, path: str, name: str | None = None)
     """Whole files as text (``value``), for untrusted JSON and raw HTML."""
     if not _exists(spark, path):
         return spark.createDataFrame([], "value STRING, file_path STRING")
-    reader = spark.read.option("wholetext", "true")
+    reader = spark.read
     if name is not None:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name)
-    return reader.text(path).withColumn("file_path", F.col("_metadata.file_path"))
+    return reader.text(path, wholetext=True).withColumn("file_path", F.col("_metadata.file_path"))
 
 
 def read_binary_artifacts(spark: SparkSession, path: str, name: str = "*.pdf") -> DataFrame:
