@@ -108,10 +108,10 @@ def snapshot_diff(pairs: DataFrame, tables: DataFrame, brackets: DataFrame) -> D
         )
         .filter("_current")
         .drop("_current")
+        # One row per program: the changed brackets then need a single join.
+        .join(pairs.select(*ID, "prior_captured_at", "structural_error"), ID)
     )
-    joined = _null_safe_join(merged, programs, ID, "program").join(
-        pairs.select(*ID, "prior_captured_at", "structural_error"), ID
-    )
+    joined = _null_safe_join(merged, programs, ID, "program")
     program, day, broken = F.col("program"), F.col("effective_date"), F.col("structural_error")
     return joined.select(
         F.lit(fixed.SCHEMA_VERSION).alias("schema_version"),

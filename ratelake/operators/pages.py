@@ -147,6 +147,7 @@ def parse_page(html: str) -> dict:
     }
 
 
+PAGES_AT_ONCE = 128  # parsed trees held in memory by one Python worker
 _TEXT = pa.string()
 PARTS = {
     "title": ("string", _TEXT),
@@ -179,11 +180,13 @@ def parse_pages(
     """
 
     def run(batches):
-        for batch in batches:
-            parsed = [parse_page(h) for h in batch.column("html").to_pylist()]
-            columns = {p: pa.array([row[p] for row in parsed], PARTS[p][1]) for p in parts}
-            kept = {c: batch.column(c) for c in keep}
-            yield pa.RecordBatch.from_pydict({**kept, **columns})
+        for whole in batches:
+            for start in range(0, whole.num_rows, PAGES_AT_ONCE):
+                batch = whole.slice(start, PAGES_AT_ONCE)
+                parsed = [parse_page(h) for h in batch.column("html").to_pylist()]
+                columns = {p: pa.array([row[p] for row in parsed], PARTS[p][1]) for p in parts}
+                kept = {c: batch.column(c) for c in keep}
+                yield pa.RecordBatch.from_pydict({**kept, **columns})
 
     kept = [f"{c} {pages.schema[c].dataType.simpleString()}" for c in keep]
     schema = ", ".join(kept + [f"{p} {PARTS[p][0]}" for p in parts])

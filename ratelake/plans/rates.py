@@ -16,6 +16,7 @@ from ratelake.plans import REGISTRY
 from ratelake.plans.model import (
     CARRIERS, LATEST_CTE, PRICES_CTE, PROGRAM_OF_SERIES, SNAPSHOTS_CTE, price_series, read, snapshots,
 )
+from ratelake.session import stored_once
 
 query = REGISTRY.query
 
@@ -162,7 +163,7 @@ def apply_latest_rates(spark, sf_dir):
     """The newest price of each series against the stored earlier weeks."""
     prices = price_series(spark, sf_dir)
     tables = A.rate_tables(snapshots(spark, sf_dir))
-    stored = A.apply_rates(prices, tables, PROGRAM_OF_SERIES, CARRIERS)
+    stored = stored_once(A.apply_rates(prices, tables, PROGRAM_OF_SERIES, CARRIERS), "applied")
     return A.apply_rates(A.latest_price(prices), tables, PROGRAM_OF_SERIES, CARRIERS, history=stored)
 
 
@@ -215,7 +216,7 @@ UNION ALL
 SELECT 3, source_id || '|' || lpad(CAST(table_index AS VARCHAR), 8, '0'), 0,
   '- ' || carrier || ' | ' || program || ' | effective: ' || effective_date || ' | source: ' || source_id FROM upcoming""")
 def report(spark, sf_dir):
-    applied = _applied(spark, sf_dir)
+    applied = stored_once(_applied(spark, sf_dir), "applied")
     return report_lines(applied, upcoming_tables(snapshots(spark, sf_dir), latest_week(applied)))
 
 

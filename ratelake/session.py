@@ -45,3 +45,11 @@ def spread(scan: DataFrame) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def stored_once(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, read by many, and
+    still there when executors are lost."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -63,16 +63,19 @@ def stream_delta(
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
         everything = spark.read.parquet(history).filter(F.col("batch") <= batch_id)
-        new_ids = everything.filter(F.col("batch") == batch_id).select(*ID).distinct()
-        # Only the sources of this batch can have a new delta.
+        # Ids only: a narrow scan finds the versions that matter.
+        ids = everything.groupBy(*ID, "batch").agg(F.max("structural_error").alias("structural_error"))
+        new_ids = ids.filter(F.col("batch") == batch_id).select(*ID)
         touched = new_ids.select("carrier", "source_id").distinct()
-        relevant = everything.join(touched, ["carrier", "source_id"], "left_semi")
-        flags = relevant.groupBy(*ID).agg(F.max("structural_error").alias("structural_error"))
-        pairs = snapshot_pairs(relevant, bucket).join(flags, ID).join(new_ids, ID, "left_semi")
+        known = ids.join(touched, ["carrier", "source_id"], "left_semi")
+        flags = known.filter(F.col("batch") == batch_id).select(*ID, "structural_error")
+        pairs = snapshot_pairs(known, bucket).join(flags, ID)
         needed = pairs.select(*ID).union(
             pairs.select("carrier", "source_id", "prior_run_id", "prior_captured_at")
         ).distinct()
-        used = relevant.join(needed, ID, "left_semi")
+        # The batch in the join lets the full scan skip the folders of other batches.
+        wanted = known.join(needed, ID, "left_semi").select(*ID, "batch")
+        used = everything.join(wanted, [*ID, "batch"], "left_semi")
         flat = used.select(*ID, "program", "table_index", F.posexplode("brackets").alias("bracket_index", "_b"))
         own = "bracket_index" in batch.schema["brackets"].dataType.elementType.fieldNames()
         brackets = flat.select(
