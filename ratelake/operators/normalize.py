@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelake import fixed, schemas
-from ratelake.functions.binding import let
+from ratelake.functions.binding import let, with_once
 from ratelake.functions.brackets import (
     parse_percent_text,
     parse_range_text,
@@ -99,23 +99,26 @@ def normal_tables(programs: Column, effective_date: Column) -> Column:
 
 def _typed(raw: str) -> Column:
     """Typed candidate with missing lists read as empty ones."""
-    c = F.from_json(F.col(raw), schemas.CANDIDATE)
-    programs = F.transform(
-        F.coalesce(c["programs"], F.array()),
-        lambda p: p.withField("brackets", F.coalesce(p["brackets"], F.array())),
-    )
-    return (
-        c.withField("programs", programs)
-        .withField("links", F.coalesce(c["links"], F.array()))
-        .withField("parse_warnings", F.coalesce(c["parse_warnings"], F.array()))
-    )
+
+    def complete(c: Column) -> Column:
+        programs = F.transform(
+            F.coalesce(c["programs"], F.array()),
+            lambda p: p.withField("brackets", F.coalesce(p["brackets"], F.array())),
+        )
+        return (
+            c.withField("programs", programs)
+            .withField("links", F.coalesce(c["links"], F.array()))
+            .withField("parse_warnings", F.coalesce(c["parse_warnings"], F.array()))
+        )
+
+    return let(F.from_json(F.col(raw), schemas.CANDIDATE), complete)
 
 
 def candidates(df: DataFrame, raw: str) -> DataFrame:
     """Gate the JSON text in ``raw``; adds ``valid``, ``issues`` and the typed
     ``candidate`` (NULL when invalid)."""
     gated = gate(df, raw).drop("doc").withColumn("valid", F.size("issues") == 0)
-    return gated.withColumn("candidate", F.when(F.col("valid"), _typed(raw)))
+    return with_once(gated, "candidate", F.when(F.col("valid"), _typed(raw)))
 
 
 def normalize(df: DataFrame, raw: str) -> DataFrame:
