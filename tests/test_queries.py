@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from ratelake.plans import load_all
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = dict(load_all().queries), dict(load_all().oracles)
 
 
 @pytest.fixture(scope="module")
