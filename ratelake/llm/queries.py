@@ -64,3 +64,10 @@ def token_counts(spark, sf_dir):
     from ratelake.llm import tokens
 
     return tokens.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), TOKEN_LIMIT)
+
+
+@query("op10_nearest_neighbours")
+def nearest_neighbours(spark, sf_dir):
+    from ratelake.llm.ann import nearest
+
+    return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
