@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import read
+from ratelake.llm.common import read, remainder
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +71,18 @@ def nearest_neighbours(spark, sf_dir):
     from ratelake.llm.ann import nearest
 
     return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+def training_labels(spark, sf_dir):
+    """Labels whose rows may be learned from: crc32(doc_id as text) mod 4 is not 2."""
+    return read(spark, sf_dir, "labels").filter(remainder(F.col("doc_id"), 4) != 2).select("doc_id", "quality")
+
+
+@query("op7_quality")
+def quality_scores(spark, sf_dir):
+    from ratelake.llm import quality
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, training_labels(spark, sf_dir))
+    held = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "score", quality.predicted(F.col("score")).alias("predicted"))
