@@ -86,3 +86,10 @@ def quality_scores(spark, sf_dir):
     scored = quality.score(docs, training_labels(spark, sf_dir))
     held = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", quality.predicted(F.col("score")).alias("predicted"))
+
+
+@query("op3_decontamination")
+def decontamination(spark, sf_dir):
+    from ratelake.llm.decontaminate import contaminated
+
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
