@@ -93,3 +93,10 @@ def decontamination(spark, sf_dir):
     from ratelake.llm.decontaminate import contaminated
 
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op1_ngram_jaccard")
+def ngram_jaccard(spark, sf_dir):
+    from ratelake.llm.jaccard import near_duplicates
+
+    return near_duplicates(read(spark, sf_dir, "documents"))
