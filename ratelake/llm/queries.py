@@ -100,3 +100,10 @@ def ngram_jaccard(spark, sf_dir):
     from ratelake.llm.jaccard import near_duplicates
 
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op4_repeats")
+def repeats(spark, sf_dir):
+    from ratelake.llm.repeats import remove_repeats
+
+    return remove_repeats(read(spark, sf_dir, "documents"), digests=True)
