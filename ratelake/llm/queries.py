@@ -107,3 +107,10 @@ def repeats(spark, sf_dir):
     from ratelake.llm.repeats import remove_repeats
 
     return remove_repeats(read(spark, sf_dir, "documents"), digests=True)
+
+
+@query("op8_lm_scores")
+def lm_scores(spark, sf_dir):
+    from ratelake.llm.lm import score
+
+    return score(read(spark, sf_dir, "documents"))
