@@ -114,3 +114,10 @@ def lm_scores(spark, sf_dir):
     from ratelake.llm.lm import score
 
     return score(read(spark, sf_dir, "documents"))
+
+
+@query("op9_main_text")
+def main_text(spark, sf_dir):
+    from ratelake.llm.html import extract
+
+    return extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
