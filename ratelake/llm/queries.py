@@ -106,7 +106,7 @@ def ngram_jaccard(spark, sf_dir):
 def repeats(spark, sf_dir):
     from ratelake.llm.repeats import remove_repeats
 
-    return remove_repeats(read(spark, sf_dir, "documents"), digests=True)
+    return remove_repeats(read(spark, sf_dir, "documents"), "digest")
 
 
 @query("op8_lm_scores")
