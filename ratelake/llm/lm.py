@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,9 +82,12 @@ def pack(docs: DataFrame) -> DataFrame:
             distinct, token = np.unique(every, return_inverse=True)
             train = crc_mod(ids, FOLDS) != HELD_OUT
             number = np.array([np.iinfo(np.int64).max if i is None else i for i in ids], np.int64)
-            blobs = [number, offsets.astype(np.int64), distinct, token.astype(np.uint32), train.astype(np.uint8)]
+            # Bytes of one weight side by side: the high ones are mostly zero.
+            planes = np.ascontiguousarray(token.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+            blobs = [b.tobytes() for b in (number, offsets.astype(np.int64), distinct)]
+            blobs += [zstandard.compress(planes.tobytes(), 1), train.astype(np.uint8).tobytes()]
             return pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().hex]), *[pa.array([b.tobytes()], pa.binary()) for b in blobs]], names
+                [pa.array([uuid.uuid4().int >> 65]), *[pa.array([b], pa.binary()) for b in blobs]], names
             )
 
         count = 0
@@ -101,7 +105,7 @@ def pack(docs: DataFrame) -> DataFrame:
 
     names = ["chunk", "ids", "offsets", "keys", "tokens", "train"]
     return docs.select("doc_id", "text").mapInArrow(
-        run, "chunk string, ids binary, offsets binary, keys binary, tokens binary, train binary"
+        run, "chunk bigint, ids binary, offsets binary, keys binary, tokens binary, train binary"
     )
 
 
@@ -110,7 +114,8 @@ class Chunk:
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.offsets = np.frombuffer(row["offsets"], np.int64)
         self.keys = np.frombuffer(row["keys"], np.uint64)
-        self.tokens = np.frombuffer(row["tokens"], np.uint32)
+        planes = np.frombuffer(zstandard.decompress(row["tokens"]), np.uint8).reshape(4, -1)
+        self.tokens = np.ascontiguousarray(planes.T).view("<u4").ravel()
         self.train = np.frombuffer(row["train"], np.uint8).astype(bool)
 
     def train_tokens(self) -> np.ndarray:
@@ -128,12 +133,12 @@ def _ask(parts: int):
         for batch in pieces(batches, "tokens", 1):
             row = batch.to_pylist()[0]
             chunk = Chunk(row)
-            counts = np.bincount(chunk.tokens[chunk.train_tokens()], minlength=len(chunk.keys)).astype(np.int64)
+            counts = np.bincount(chunk.tokens[chunk.train_tokens()], minlength=len(chunk.keys)).astype(np.uint32)
             order, cuts = chunk.by_part(parts)
             rows = [(p, order[cuts[p] : cuts[p + 1]]) for p in range(parts) if cuts[p] < cuts[p + 1]]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([p for p, _ in rows], pa.int32()), pa.array([row["chunk"]] * len(rows), pa.string()),
+                    pa.array([p for p, _ in rows], pa.int32()), pa.array([row["chunk"]] * len(rows), pa.int64()),
                     *[pa.array([c[i].tobytes() for _, i in rows], pa.binary()) for c in (chunk.keys, counts)],
                 ],
                 ["part", "chunk", "keys", "counts"],
@@ -146,7 +151,7 @@ def _count(table: pa.Table) -> pa.Table:
     """Corpus counts of one part: a row per chunk that asked, and a row (no chunk) with
     the part's sums per suffix class and its most frequent words."""
     keys = [np.frombuffer(b, np.uint64) for b in table.column("keys").to_pylist()]
-    counts = np.concatenate([np.frombuffer(b, np.int64) for b in table.column("counts").to_pylist()])
+    counts = np.concatenate([np.frombuffer(b, np.uint32) for b in table.column("counts").to_pylist()])
     cuts = np.cumsum([0, *[len(k) for k in keys]])
     distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(at, counts, len(distinct)).astype(np.int64)
@@ -158,7 +163,7 @@ def _count(table: pa.Table) -> pa.Table:
     n = table.num_rows
     own = [answer[cuts[k] : cuts[k + 1]].tobytes() for k in range(n)]
     return pa.table({
-        "chunk": pa.array([*table.column("chunk").to_pylist(), None], pa.string()),
+        "chunk": pa.array([*table.column("chunk").to_pylist(), None], pa.int64()),
         "part": pa.array(table.column("part").to_pylist()[:1] * (n + 1), pa.int32()),
         "counts": pa.array([*own, np.concatenate([sums, kinds]).tobytes()], pa.binary()),
         "top": pa.array([*[None] * n, np.stack([distinct[best].view(np.int64), total[best]]).tobytes()], pa.binary()),
@@ -313,8 +318,8 @@ def score(docs: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = stored(pack(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")), "lm-chunks")
     counted = stored(
-        packed.mapInArrow(_ask(parts), "part int, chunk string, keys binary, counts binary")
-        .groupBy("part").applyInArrow(_count, "chunk string, part int, counts binary, top binary"),
+        packed.mapInArrow(_ask(parts), "part int, chunk bigint, keys binary, counts binary")
+        .groupBy("part").applyInArrow(_count, "chunk bigint, part int, counts binary, top binary"),
         "lm-counts",
     )
     known = Words(counted.filter("chunk IS NULL").select("counts", "top").collect())  # a row of fixed size per part
