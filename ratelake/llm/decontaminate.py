@@ -2,7 +2,7 @@
 Smith-Waterman alignment of words scores copied and edited passages.
 
 First pass: how often does each word n-gram of the test items stand in the corpus?
-Of every ``STRETCH`` successive n-grams of an item the rarest is a seed, so any copied
+Of every ``STRETCH`` successive n-grams of an item the rarest that occurs is a seed, so any copied
 run of ``STRETCH + SEED - 1`` words holds a seed however common the passage has become;
 no n-gram is dropped for being frequent. Second pass: seeds found in a text propose
 windows around their diagonal, overlapping windows of an item are merged, a window
@@ -95,13 +95,18 @@ def frequencies(docs: DataFrame, items: Items) -> np.ndarray:
 
 
 def choose_seeds(items: Items, frequency: np.ndarray) -> np.ndarray:
-    """Positions (into items.gram) of the seeds: the rarest of every stretch."""
+    """Positions (into items.gram) of the seeds: the rarest of every stretch among those
+    that occur at all."""
+    never = np.iinfo(np.int64).max
+    frequency = np.where(frequency > 0, frequency, never)
     chosen = []
     firsts = np.flatnonzero(np.concatenate([[True], items.item[1:] != items.item[:-1]])) if len(items.item) else []
     for low, high in zip(firsts, [*firsts[1:], len(items.item)]):
         n = frequency[items.gram[low:high]]
         for a in range(0, max(1, len(n) - STRETCH + 1)):
-            chosen.append(low + a + int(np.argmin(n[a : a + STRETCH])))
+            k = a + int(np.argmin(n[a : a + STRETCH]))
+            if n[k] < never:
+                chosen.append(low + k)
     return np.unique(np.array(chosen, np.int64))
 
 
