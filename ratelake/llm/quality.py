@@ -9,7 +9,8 @@ tasks. A document is the mean of its words' and of its shapes' vectors, with its
 length and its share of distinct words.
 
 The network is fitted on at most ``TRAIN_ROWS`` labelled documents, chosen by a hash
-of their id; a fifth of these sets the temperature. Everything else covers all rows.
+of their id; the temperature is set on rows that a network did not see (``FOLDS``
+folds). Everything else covers all rows.
 
 Null and empty texts have a zero vector and get a score like any other. Rows without
 label, or whose label is null, are scored only; of labels that repeat an id the
@@ -32,9 +33,10 @@ BUCKETS = 1 << 14  # hashed words, and as many hashed shapes
 DIM = 64
 NONZERO = 2  # non-zero components of an index vector
 REACH = 2  # neighbours on each side
+FOLDS = 3
 BLOCKS = 32  # parts of the context matrix, added up separately
 TRAIN_ROWS = 20_000
-HIDDEN, EPOCHS, MINIBATCH, RATE, DECAY = 48, 40, 256, 0.003, 1e-4
+HIDDEN, EPOCHS, STEPS, MINIBATCH, RATE, DECAY = 48, 12, 3000, 64, 0.002, 1e-3  # STEPS: at least
 THRESHOLD = 0.7
 FEATURES = 2 * DIM + 4
 
@@ -83,7 +85,7 @@ def context_matrix(docs: DataFrame) -> np.ndarray:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = _index_parts(np.arange(2 * BUCKETS))
         total = np.zeros(2 * BUCKETS * DIM)
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", 1 << 22):
             _add_context(total, *tokens(batch.column("text")), parts)
         blocks = [total[k * size : (k + 1) * size].astype(np.float32).tobytes() for k in range(BLOCKS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array(blocks, pa.binary())], ["block", "sums"])
@@ -136,28 +138,37 @@ def pooled(array: pa.Array, matrix: np.ndarray) -> np.ndarray:
 class Network:
     """Standardised input, one hidden layer of tanh units, one logit, a temperature."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, seed: int = 3):
-        rng = np.random.default_rng(seed)
-        order = rng.permutation(len(x))
-        held = order[: len(x) // 5] if len(x) >= 50 else order
-        fit = order[len(x) // 5 :] if len(x) >= 50 else order
-        self.mean, self.spread = x[fit].mean(0), x[fit].std(0) + 1e-3
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        """Fitted on all rows; the temperature comes from networks that did not see the
+        rows that they are judged on."""
+        rng = np.random.default_rng(3)
+        fold = rng.permutation(len(x)) % FOLDS
+        logits = np.zeros(len(x))
+        for k in range(FOLDS) if len(x) >= 10 else ():
+            self._start(x[fold != k], y[fold != k], rng)
+            logits[fold == k] = self.logits(x[fold == k])
+        self._start(x, y, rng)
+        # Smoothed targets: rows without errors are no proof of certainty.
+        good, bad = (y > 0).sum(), (y <= 0).sum()
+        target = np.where(y > 0, (good + 1) / (good + 2), 1 / (bad + 2))
+        grid = np.exp(np.linspace(-2, 4, 121))
+        loss = [np.mean(np.logaddexp(0, logits / t) - target * logits / t) for t in grid]
+        self.temperature = float(grid[int(np.argmin(loss))]) if len(x) >= 10 else 1.0
+
+    def _start(self, x: np.ndarray, y: np.ndarray, rng) -> None:
+        self.mean, self.spread = x.mean(0), x.std(0) + 1e-3
         self.p = [
             rng.normal(0, 1 / np.sqrt(x.shape[1]), (x.shape[1], HIDDEN)), np.zeros(HIDDEN),
             rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.zeros(1),
         ]
-        self.temperature = 1.0
-        self._fit((x[fit] - self.mean) / self.spread, y[fit].astype(float), rng)
-        logits = self.logits(x[held])
-        grid = np.exp(np.linspace(-2, 2, 81))
-        loss = [np.mean(np.logaddexp(0, -np.where(y[held] > 0, 1, -1) * logits / t)) for t in grid]
-        self.temperature = float(grid[int(np.argmin(loss))])
+        self._fit((x - self.mean) / self.spread, y.astype(float), rng)
 
     def _fit(self, x: np.ndarray, y: np.ndarray, rng) -> None:
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in self.p]
         step = 0
-        for epoch in range(EPOCHS):
-            rate = RATE * (1 - epoch / EPOCHS)
+        epochs = max(EPOCHS, -(-STEPS * MINIBATCH // len(x)))
+        for epoch in range(epochs):
+            rate = RATE * (1 - epoch / epochs)
             order = rng.permutation(len(x))
             for low in range(0, len(x), MINIBATCH):
                 at = order[low : low + MINIBATCH]
