@@ -108,11 +108,29 @@ def _cells(row: Node) -> list[str]:
     return [c.text() for c in row.find("th", "td")]
 
 
-def _table(table: Node) -> dict:
-    siblings = [n for n in table.parent.children if isinstance(n, Node)]
-    at = next(i for i, n in enumerate(siblings) if n is table)
-    before, after = siblings[:at], siblings[at + 1:]
-    heading = next((n.text() for n in reversed(before) if n.tag in HEADINGS), "")
+class _Siblings:
+    """Element siblings of each parent with the last heading before them, found once."""
+
+    def __init__(self):
+        self.known: dict[int, tuple[list[Node], dict[int, int], list[Node | None]]] = {}
+
+    def of(self, node: Node) -> tuple[Node | None, Node | None, Node | None]:
+        """Previous and next element of ``node`` and the nearest heading before it."""
+        parent = node.parent
+        if id(parent) not in self.known:
+            nodes = [n for n in parent.children if isinstance(n, Node)]
+            last, seen = None, []
+            for n in nodes:
+                seen.append(last)
+                last = n if n.tag in HEADINGS else last
+            self.known[id(parent)] = nodes, {id(n): i for i, n in enumerate(nodes)}, seen
+        nodes, places, seen = self.known[id(parent)]
+        at = places[id(node)]
+        return nodes[at - 1] if at else None, nodes[at + 1] if at + 1 < len(nodes) else None, seen[at]
+
+
+def _table(table: Node, siblings: _Siblings) -> dict:
+    before, after, heading = siblings.of(table)
     rows = table.find("tr")
     heads = [r for t in table.find("thead") for r in t.find("tr")]
     head_cells = _cells(heads[0]) if heads else []
@@ -120,31 +138,58 @@ def _table(table: Node) -> dict:
         head_cells = _cells(rows[0])
     skip_first = bool(rows) and bool(rows[0].find("th") or table.find("thead"))
     return {
-        "near_heading": heading,
+        "near_heading": heading.text() if heading else "",
         "headers": head_cells,
         "rows": [_cells(r) for r in (rows[1:] if skip_first else rows)],
-        "before_text": before[-1].text() if before else "",
-        "after_text": after[0].text() if after else "",
+        "before_text": before.text() if before else "",
+        "after_text": after.text() if after else "",
     }
 
 
-def parse_page(html: str) -> dict:
-    """Raw parts of one page; clean-up and limits are applied by Spark."""
+def _tables(root: Node) -> list[dict]:
+    siblings = _Siblings()
+    return [_table(t, siblings) for t in root.find("table")]
+
+
+def _title(root: Node) -> str:
+    titles = root.find("title")
+    return titles[0].text() if titles else ""
+
+
+def _links(root: Node) -> tuple[list[dict], list[Node]]:
+    """Links with the number of their parent, and the parents in order."""
+    number: dict[int, int] = {}
+    parents: list[Node] = []
+    links = []
+    for a in root.find("a"):
+        if id(a.parent) not in number:
+            number[id(a.parent)] = len(parents)
+            parents.append(a.parent)
+        links.append({"href": a.attrs.get("href", ""), "text": a.text(), "parent": number[id(a.parent)]})
+    return links, parents
+
+
+# How each part is built from the tree.
+BUILD = {
+    "title": _title,
+    "text": lambda root: root.text(_hidden),
+    "headings": lambda root: [{"level": h.tag.upper(), "text": h.text()} for h in root.find(*HEADINGS)],
+    "tables": _tables,
+    "links": lambda root: _links(root)[0],
+    "parents": lambda root: [p.text() for p in _links(root)[1]],
+}
+
+
+def parse_page(html: str, parts: tuple[str, ...] = tuple(BUILD)) -> dict:
+    """The wanted raw parts of one page; clean-up and limits are applied by Spark.
+
+    A link names its parent by number; the text around all links of one parent is
+    held once, in ``parents``.
+    """
     parser = TreeParser()
     parser.feed(html or "")
     parser.close()
-    root = parser.root
-    titles = root.find("title")
-    return {
-        "title": titles[0].text() if titles else "",
-        "text": root.text(_hidden),
-        "headings": [{"level": h.tag.upper(), "text": h.text()} for h in root.find(*HEADINGS)],
-        "tables": [_table(t) for t in root.find("table")],
-        "links": [
-            {"href": a.attrs.get("href", ""), "text": a.text(), "parent_text": a.parent.text()}
-            for a in root.find("a")
-        ],
-    }
+    return {part: BUILD[part](parser.root) for part in parts}
 
 
 PAGES_AT_ONCE = 128  # parsed trees held in memory by one Python worker
@@ -165,9 +210,10 @@ PARTS = {
         ])),
     ),
     "links": (
-        "array<struct<href:string,text:string,parent_text:string>>",
-        pa.list_(pa.struct([("href", _TEXT), ("text", _TEXT), ("parent_text", _TEXT)])),
+        "array<struct<href:string,text:string,parent:int>>",
+        pa.list_(pa.struct([("href", _TEXT), ("text", _TEXT), ("parent", pa.int32())])),
     ),
+    "parents": ("array<string>", pa.list_(_TEXT)),
 }
 
 
@@ -183,7 +229,7 @@ def parse_pages(
         for whole in batches:
             for start in range(0, whole.num_rows, PAGES_AT_ONCE):
                 batch = whole.slice(start, PAGES_AT_ONCE)
-                parsed = [parse_page(h) for h in batch.column("html").to_pylist()]
+                parsed = [parse_page(h, parts) for h in batch.column("html").to_pylist()]
                 columns = {p: pa.array([row[p] for row in parsed], PARTS[p][1]) for p in parts}
                 kept = {c: batch.column(c) for c in keep}
                 yield pa.RecordBatch.from_pydict({**kept, **columns})
@@ -193,45 +239,53 @@ def parse_pages(
     return pages.select(*keep, "html").mapInArrow(run, schema)
 
 
-def _field(text: Column, limit: int = fixed.FIELD_MAX) -> Column:
-    return truncate(collapse_whitespace(text), limit)
+def _field(text: Column, limit: int | None = None) -> Column:
+    clean = collapse_whitespace(text)
+    return clean if limit is None else truncate(clean, limit)
+
+
+def _first(items: Column, limit: int | None) -> Column:
+    return items if limit is None else F.slice(items, F.lit(1), F.lit(limit))
 
 
 def visible_text(raw: Column) -> Column:
     return collapse_whitespace(raw)
 
 
-def title(raw: Column) -> Column:
-    return _field(raw)
+def title(raw: Column, chars: int | None = None) -> Column:
+    return _field(raw, chars)
 
 
-def headings(raw: Column) -> Column:
-    """The first headings; the limit counts empty ones, which are then dropped."""
-    first = F.slice(raw, F.lit(1), F.lit(fixed.MAX_HEADINGS))
+def headings(raw: Column, limit: int | None = None, chars: int | None = None) -> Column:
+    """Headings with text; a limit counts empty ones, which are then dropped."""
     cleaned = F.transform(
-        first, lambda h: F.struct(h["level"].alias("level"), _field(h["text"]).alias("text"))
+        _first(raw, limit), lambda h: F.struct(h["level"].alias("level"), _field(h["text"], chars).alias("text"))
     )
     return F.filter(cleaned, lambda h: F.length(h["text"]) > 0)
 
 
-def _cells_line(cells: Column) -> Column:
-    texts = F.filter(F.transform(cells, lambda t: _field(t)), lambda t: F.length(t) > 0)
+def _cells_line(cells: Column, chars: int | None) -> Column:
+    texts = F.filter(F.transform(cells, lambda t: _field(t, chars)), lambda t: F.length(t) > 0)
     return F.array_join(texts, " | ")
 
 
-def tables(raw: Column) -> Column:
+def tables(
+    raw: Column, limit: int | None = None, rows: int | None = None, chars: int | None = None, near_chars: int | None = None
+) -> Column:
+    """Tables with their lines and the text next to them; all of them unless limited."""
+
     def one(t: Column) -> Column:
         before = collapse_whitespace(t["before_text"])
         near = F.when(before == "", collapse_whitespace(t["after_text"])).otherwise(before)
-        sample = F.slice(t["rows"], F.lit(1), F.lit(fixed.MAX_SAMPLE_ROWS))
+        lines = F.transform(_first(t["rows"], rows), lambda r: _cells_line(r, chars))
         return F.struct(
-            _field(t["near_heading"]).alias("near_heading"),
-            _cells_line(t["headers"]).alias("headers"),
-            F.filter(F.transform(sample, _cells_line), lambda r: F.length(r) > 0).alias("rows"),
-            truncate(near, fixed.TABLE_TEXT_MAX).alias("near_text"),
+            _field(t["near_heading"], chars).alias("near_heading"),
+            _cells_line(t["headers"], chars).alias("headers"),
+            F.filter(lines, lambda r: F.length(r) > 0).alias("rows"),
+            _field(near, near_chars).alias("near_text"),
         )
 
-    return F.transform(F.slice(raw, F.lit(1), F.lit(fixed.MAX_TABLES)), one)
+    return F.transform(_first(raw, limit), one)
 
 
 def link_filter(text: Column, href: Column, words: list[str] = tuple(fixed.LINK_WORDS)) -> Column:
@@ -252,26 +306,28 @@ def _without_first(text: Column, part: Column) -> Column:
     return F.when((part != "") & (at > 0), cut).otherwise(text)
 
 
-def links(raw: Column, words: list[str] = tuple(fixed.LINK_WORDS)) -> Column:
-    """Filtered links with their surrounding text; the limit applies after the filter."""
+def links(
+    raw: Column, parents: Column, words: list[str] = tuple(fixed.LINK_WORDS), limit: int | None = None,
+    chars: int | None = None, near_chars: int | None = None,
+) -> Column:
+    """Filtered links with their surrounding text; a limit applies after the filter,
+    and surrounding texts are looked up for the links that are left."""
 
     def one(a: Column) -> Column:
-        href, text = F.trim(a["href"]), _field(a["text"])
-        near = collapse_whitespace(_without_first(collapse_whitespace(a["parent_text"]), text))
-        near = F.when(near == "", text).otherwise(near)
+        href, text = F.trim(a["href"]), _field(a["text"], chars)
         return F.struct(
-            truncate(href, fixed.FIELD_MAX).alias("href"),
-            text.alias("text"),
-            truncate(near, fixed.LINK_TEXT_MAX).alias("near_text"),
-            (F.length(href) > 0).alias("_has"),
+            (href if chars is None else truncate(href, chars)).alias("href"),
+            text.alias("text"), a["parent"].alias("parent"), (F.length(href) > 0).alias("_has"),
             link_filter(text, href, words).alias("_keep"),
         )
 
+    def near(a: Column) -> Column:
+        around = collapse_whitespace(_without_first(collapse_whitespace(F.get(parents, a["parent"])), a["text"]))
+        around = F.when(around == "", a["text"]).otherwise(around)
+        return F.struct(a["href"].alias("href"), a["text"].alias("text"), _field(around, near_chars).alias("near_text"))
+
     kept = F.filter(F.transform(raw, one), lambda a: a["_has"] & a["_keep"])
-    return F.transform(
-        F.slice(kept, F.lit(1), F.lit(fixed.MAX_LINKS)),
-        lambda a: F.struct(a["href"].alias("href"), a["text"].alias("text"), a["near_text"].alias("near_text")),
-    )
+    return F.transform(_first(kept, limit), near)
 
 
 def outline(title_: Column, headings_: Column, tables_: Column, links_: Column) -> Column:
@@ -310,16 +366,20 @@ def outline(title_: Column, headings_: Column, tables_: Column, links_: Column)
 
 
 def page_outline(pages: DataFrame, key: str = "page_id", words: list[str] = tuple(fixed.LINK_WORDS)) -> DataFrame:
-    """Outline and visible text of every page in one pass."""
+    """Outline and visible text of every page in one pass; the outline has fixed limits."""
+    chars = fixed.FIELD_MAX
     parsed = parse_pages(pages, (key,))
     # Named step by step: each array is computed once.
+    found = links(F.col("links"), F.col("parents"), words, fixed.MAX_LINKS, chars, fixed.LINK_TEXT_MAX)
+    shown = tables(F.col("tables"), fixed.MAX_TABLES, fixed.MAX_SAMPLE_ROWS, chars, fixed.TABLE_TEXT_MAX)
     return (
-        parsed.withColumn("_links", links(F.col("links"), words))
-        .withColumn("_tables", tables(F.col("tables")))
+        parsed.withColumn("_links", found)
+        .withColumn("_tables", shown)
         .select(
             key,
             outline(
-                title(F.col("title")), headings(F.col("headings")), F.col("_tables"), F.col("_links")
+                title(F.col("title"), chars), headings(F.col("headings"), fixed.MAX_HEADINGS, chars),
+                F.col("_tables"), F.col("_links"),
             ).alias("outline"),
             visible_text(F.col("text")).alias("visible_text"),
         )
