@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelake import fixed
+from ratelake.functions.dates import parse_timestamp
 from ratelake.functions.keys import group_key
 from ratelake.operators.ordered import prior_of_other_owner
 
@@ -15,8 +16,24 @@ ID = ["carrier", "source_id", "run_id", "captured_at"]
 def snapshot_pairs(snapshots: DataFrame, bucket: Column | None = None) -> DataFrame:
     """Every snapshot id with ``prior_captured_at`` and ``prior_run_id``: the
     latest strictly earlier snapshot of the same carrier and source that another
-    run took (NULL for a first one)."""
-    return prior_of_other_owner(snapshots, ["carrier", "source_id"], "captured_at", "run_id", bucket)
+    run took (NULL for a first one).
+
+    Times held as text are compared as instants, whatever their offsets; a text that
+    is no time has no prior and is none. A source's history is walked in pieces, by
+    default a month each; another ``bucket`` is an expression over the instant ``_at``.
+    """
+    source = ["carrier", "source_id"]
+    text = snapshots.schema["captured_at"].dataType.simpleString() == "string"
+    at = parse_timestamp(F.col("captured_at")) if text else F.col("captured_at")
+    ids = snapshots.select(*ID).distinct().withColumn("_at", at)
+    cut = F.trunc(F.col("_at").cast("date"), "month") if bucket is None else bucket
+    found = prior_of_other_owner(ids, source, "_at", "run_id", cut)
+    times = ids.groupBy(*source, F.col("_at").alias("prior__at"), F.col("run_id").alias("prior_run_id")).agg(
+        F.min("captured_at").alias("prior_captured_at")
+    )
+    named = found.join(times, [*source, "prior__at", "prior_run_id"], "left")
+    paired = ids.join(named, [*source, "_at", "run_id"], "left")
+    return paired.select(*ID, "prior_captured_at", F.when(F.col("prior_captured_at").isNotNull(), F.col("prior_run_id")).alias("prior_run_id"))
 
 
 def publishability(program: Column, effective_date: Column, structural_error: Column) -> Column:

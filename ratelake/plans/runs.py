@@ -274,7 +274,7 @@ def prior_snapshot(spark, sf_dir):
         F.concat(F.lit("run_"), F.col("o_orderkey") % 5).alias("run_id"),
         F.col("o_orderdate").alias("captured_at"),
     )
-    pairs = snapshot_pairs(rows, bucket=F.trunc("captured_at", "year"))
+    pairs = snapshot_pairs(rows)
     return pairs.select(
         "carrier", "source_id", "run_id",
         F.date_format("captured_at", "yyyy-MM-dd").alias("captured_at"),

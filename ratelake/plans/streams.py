@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ratelake.operators.diff import ID
 from ratelake.plans import REGISTRY
 from ratelake.plans.duck import NORMAL_CTE
 from ratelake.plans.model import (
@@ -41,20 +42,30 @@ def normalized(spark, sf_dir):
     )
 
 
+def _land(rows, path, part, parts):
+    """``rows`` in as many files as ``parts``, written one after the other, so that a
+    stream of one file per batch sees them in this order."""
+    for k in range(parts):
+        rows.filter(part == k).coalesce(1).write.mode("append").parquet(path)
+
+
 @query("stream_dedup", """
 SELECT DISTINCT event_type AS series_id, user_id, strftime(ts, '%Y-%m-%d') AS period FROM events""")
 def deduplicated(spark, sf_dir):
-    rows = _stream(spark, sf_dir, "events").select(
+    """Batches arrive newest first, so most keys of later batches are late ones."""
+    rows = read(spark, sf_dir, "events").select(
         F.col("event_type").alias("series_id"), "user_id",
         F.date_format("ts", "yyyy-MM-dd").alias("period"),
         F.col("ts").cast("timestamp").alias("seen_at"),
     )
     base = shared_dir(spark, "stream-dedup")
-    job = stream_dedup(
-        rows, ["series_id", "user_id", "period"], "seen_at", "1 day", f"{base}/rows", f"{base}/checkpoint"
-    )
-    job.awaitTermination()
-    return spark.read.parquet(f"{base}/rows").select("series_id", "user_id", "period")
+    _land(rows, f"{base}/in", F.lit(3) - F.pmod(F.dayofyear("seen_at"), F.lit(4)), 4)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    keys = ["series_id", "user_id", "period"]
+    stream_dedup(
+        stream, keys, [F.col("seen_at").asc()], f"{base}/rows", f"{base}/checkpoint", ["period"]
+    ).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{base}/rows").select(*keys)
 
 
 @query("stream_delta", f"""WITH {VERSIONS_CTE}, {_MERGED_CTE},
@@ -62,21 +73,32 @@ ids AS (SELECT DISTINCT {_ID} FROM versions),
 dates AS (SELECT {_ID}, program, arg_min(effective_date, table_index) FILTER (effective_date IS NOT NULL) AS effective_date FROM versions GROUP BY ALL),
 {_diff_sql('ids', 'merged', 'dates', "b.source_id = 's_3'")}""")
 def deltas(spark, sf_dir):
-    """Each order line arrives as a one-bracket piece of its table."""
+    """Snapshots arrive in the order of their capture, in several batches; the last
+    batch delivers the first one's again."""
+    names = [n for n in VERSION_SQL if n not in ("bracket_id", "index_range", "surcharge_percent")]
     bracket = F.struct(
         F.expr(VERSION_SQL["bracket_id"]).alias("bracket_id"),
         F.expr(VERSION_SQL["index_range"]).alias("index_range"),
         F.expr(VERSION_SQL["surcharge_percent"]).alias("surcharge_percent"),
         F.struct("l_orderkey", "l_partkey", "l_suppkey").alias("bracket_index"),
     )
-    names = [n for n in VERSION_SQL if n not in ("bracket_id", "index_range", "surcharge_percent")]
-    tables = (
-        _stream(spark, sf_dir, "lineitem")
-        .filter(VERSION_FILTER_SQL)
-        .select(*[F.expr(VERSION_SQL[n]).alias(n) for n in names], F.array(bracket).alias("brackets"))
+    lines = read(spark, sf_dir, "lineitem").filter(VERSION_FILTER_SQL).select(
+        *[F.expr(VERSION_SQL[n]).alias(n) for n in names], bracket.alias("bracket")
+    )
+    table = ["program", "table_index", "effective_date"]
+    snapshots = (
+        lines.groupBy(*ID, *table).agg(F.collect_list("bracket").alias("brackets"))
+        .groupBy(*ID).agg(F.collect_list(F.struct(*table, "brackets")).alias("tables"))
         .withColumn("structural_error", F.col("source_id") == "s_3")
     )
     base = shared_dir(spark, "stream-delta")
-    job = stream_delta(tables, f"{base}/tables", f"{base}/deltas", f"{base}/checkpoint")
-    job.awaitTermination()
+    snapshots.write.parquet(f"{base}/all")
+    ready = spark.read.parquet(f"{base}/all")
+    second = F.unix_timestamp(F.col("captured_at").cast("timestamp"))
+    quarters = ready.agg(F.percentile_approx(second, [0.25, 0.5, 0.75])).first()[0]
+    part = sum(((second > t).cast("int") for t in quarters or []), F.lit(0))
+    _land(ready, f"{base}/in", part, 4)
+    _land(ready.filter(part == 0), f"{base}/in", F.lit(0), 1)
+    stream = spark.readStream.schema(ready.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    stream_delta(stream, f"{base}/tables", f"{base}/deltas", f"{base}/checkpoint").awaitTermination()
     return _delta_rows(spark.read.parquet(f"{base}/deltas"))

@@ -48,9 +48,16 @@ def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 def append_absent(
     incoming: DataFrame, path: str, keys: list[str], order: list[Column], partition_by: list[str] = ()
 ) -> None:
-    """Insert-if-absent into the Parquet table at ``path``: only new rows are written."""
+    """Insert-if-absent into the Parquet table at ``path``: only new rows are written.
+
+    ``partition_by`` must be among ``keys``; the table is read in the partitions that
+    ``incoming`` touches (pruned as the planner sees fit).
+    """
     spark = incoming.sparkSession
-    fresh = absent_rows(stored(spark, path, incoming), incoming, keys, order)
+    existing = stored(spark, path, incoming)
+    if partition_by:
+        existing = existing.join(incoming.select(*partition_by).distinct(), list(partition_by), "left_semi")
+    fresh = absent_rows(existing, incoming, keys, order)
     fresh.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ratelake.operators.diff import ID, snapshot_diff, snapshot_pairs
+from ratelake.operators.keyed import first_per_key
 from ratelake.operators.normalize import normalize
-from ratelake.sources.writers import append_absent
+from ratelake.sources.writers import append_absent, stored
 
 
 def stream_normalize(captures: DataFrame, raw: str, path: str, checkpoint: str) -> StreamingQuery:
@@ -29,55 +30,70 @@ def stream_normalize(captures: DataFrame, raw: str, path: str, checkpoint: str)
 
 
 def stream_dedup(
-    rows: DataFrame, keys: list[str], time: str, delay: str, path: str, checkpoint: str
+    rows: DataFrame, keys: list[str], order: list[Column], path: str, checkpoint: str, partition_by: list[str] = ()
 ) -> StreamingQuery:
-    """First arrival of every key. Repeats within ``delay`` fall to the streaming
-    state, later ones to the insert-if-absent of the sink."""
-    early = rows.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+    """First arrival of every key, however late it comes: of one batch the first row
+    under ``order``, of several batches the earliest batch's.
+
+    With ``partition_by`` (of the keys) a batch is compared with the partitions of
+    the table that it touches only.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
-        append_absent(batch, path, keys, [F.col(time).asc()])
+        append_absent(batch, path, keys, order, partition_by)
 
     return (
-        early.writeStream.foreachBatch(write)
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+SOURCE_BUCKETS = 64  # folders that the sources of a history are spread over
+
+
 def stream_delta(
-    tables: DataFrame, history: str, out: str, checkpoint: str, bucket: Column | None = None
+    snapshots: DataFrame, history: str, out: str, checkpoint: str, bucket: Column | None = None
 ) -> StreamingQuery:
     """Deltas of arriving snapshots against the stored ones.
 
-    ``tables`` streams one row per table: ID, structural_error, program,
-    table_index, effective_date and nested brackets (an element may carry its own
-    bracket_index, else its position counts). A batch is diffed with the
-    versions already stored and with its own earlier ones, in capture order; a
-    late snapshot is diffed with what precedes it and rewrites nothing. Each
-    batch has its own folder in both tables, so a replay overwrites itself.
+    ``snapshots`` streams one row per snapshot: ID, structural_error and ``tables``, an
+    array of (program, table_index, effective_date, brackets); an element of brackets
+    may carry its own bracket_index, else its position counts. So a snapshot is always
+    complete, and one whose id is already stored is ignored.
+
+    A batch is diffed with the versions already stored and with its own earlier ones,
+    in capture order; a late snapshot is diffed with what precedes it and rewrites
+    nothing. History is stored by a hash of the source, so a batch reads the folders
+    of its own sources only. Each batch has its own folder in both tables, so a
+    replay overwrites itself.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
-        everything = spark.read.parquet(history).filter(F.col("batch") <= batch_id)
+        folder = F.pmod(F.xxhash64("carrier", "source_id"), F.lit(SOURCE_BUCKETS)).cast("int")
+        order = [F.col("structural_error").asc(), F.xxhash64(F.to_json("tables"))]
+        rows = first_per_key(batch, ID, order).withColumn("bucket", folder)
+        touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # SOURCE_BUCKETS at most
+        if not touched:
+            return
+        here = F.col("bucket").isin(touched)
+        before = stored(spark, history, rows.withColumn("batch", F.lit(0))).filter(here & (F.col("batch") < batch_id))
+        new = rows.join(before.select(*ID), ID, "left_anti")
+        new.write.mode("overwrite").partitionBy("bucket").parquet(f"{history}/batch={batch_id}")
+        everything = stored(spark, history, rows.withColumn("batch", F.lit(0))).filter(here & (F.col("batch") <= batch_id))
         # Ids only: a narrow scan finds the versions that matter.
-        ids = everything.groupBy(*ID, "batch").agg(F.max("structural_error").alias("structural_error"))
-        new_ids = ids.filter(F.col("batch") == batch_id).select(*ID)
-        touched = new_ids.select("carrier", "source_id").distinct()
-        known = ids.join(touched, ["carrier", "source_id"], "left_semi")
-        flags = known.filter(F.col("batch") == batch_id).select(*ID, "structural_error")
-        pairs = snapshot_pairs(known, bucket).join(flags, ID)
+        ids = everything.select(*ID, "structural_error", "batch", "bucket")
+        new_ids = ids.filter(F.col("batch") == batch_id)
+        known = ids.join(new_ids.select("carrier", "source_id").distinct(), ["carrier", "source_id"], "left_semi")
+        pairs = snapshot_pairs(known, bucket).join(new_ids.select(*ID, "structural_error"), ID)
         needed = pairs.select(*ID).union(
             pairs.select("carrier", "source_id", "prior_run_id", "prior_captured_at")
         ).distinct()
-        # The batch in the join lets the full scan skip the folders of other batches.
-        wanted = known.join(needed, ID, "left_semi").select(*ID, "batch")
-        used = everything.join(wanted, [*ID, "batch"], "left_semi")
+        used = everything.join(needed, ID, "left_semi").select(*ID, F.explode("tables").alias("_t")).select(*ID, "_t.*")
+        own = "bracket_index" in used.schema["brackets"].dataType.elementType.fieldNames()
         flat = used.select(*ID, "program", "table_index", F.posexplode("brackets").alias("bracket_index", "_b"))
-        own = "bracket_index" in batch.schema["brackets"].dataType.elementType.fieldNames()
         brackets = flat.select(
             *ID, "program", "table_index", "_b.bracket_index" if own else "bracket_index",
             "_b.bracket_id", "_b.index_range", "_b.surcharge_percent",
@@ -86,7 +102,7 @@ def stream_delta(
         deltas.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return (
-        tables.writeStream.foreachBatch(write)
+        snapshots.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -18,42 +18,69 @@ def test_dedup_over_restarts(spark, tmp_path):
         # Days later: a repeat beyond the watermark, and a new key.
         [("a", "1", "2026-01-09 00:00:00", 4), ("c", "1", "2026-01-09 00:00:00", 5)],
         [],
+        # A new key that is older than everything seen.
+        [("z", "1", "2026-01-01 00:00:00", 6), ("a", "1", "2025-01-01 00:00:00", 7)],
     ]
     for rows in batches:
         if rows:
             land(spark, source, rows)
         stream = spark.readStream.schema(ROW).parquet(source)
-        stream_dedup(stream, ["s", "p"], "at", "1 hour", out, check).awaitTermination()
-    assert sorted((r.s, r.p) for r in spark.read.parquet(out).collect()) == [("a", "1"), ("b", "1"), ("c", "1")]
+        stream_dedup(stream, ["s", "p"], [F.col("at").asc()], out, check).awaitTermination()
+    got = spark.read.parquet(out).collect()
+    assert sorted((r.s, r.p, r.v) for r in got) == [("a", "1", 1), ("b", "1", 3), ("c", "1", 5), ("z", "1", 6)]
 
 
-TABLE = (
-    "carrier string, source_id string, run_id string, captured_at string, structural_error boolean, program string, "
-    "table_index int, effective_date string, "
-    "brackets array<struct<bracket_id:string,index_range:string,surcharge_percent:double>>"
+SNAPSHOT = (
+    "carrier string, source_id string, run_id string, captured_at string, structural_error boolean, "
+    "tables array<struct<program:string,table_index:int,effective_date:string,"
+    "brackets:array<struct<bracket_id:string,index_range:string,surcharge_percent:double>>>>"
 )
 
 
-def test_delta_over_batches(spark, tmp_path):
-    source, check = f"{tmp_path}/in", f"{tmp_path}/check"
+def snapshot(source_id, run, at, *tables):
+    return ("ups", source_id, run, at, False, [
+        ("ground", k, "2026-01-01", [(b, b, v) for b, v in values.items()]) for k, values in enumerate(tables)
+    ])
 
-    def snapshot(source_id, run, at, **values):
-        return ("ups", source_id, run, at, False, "ground", 0, "2026-01-01", [(k, k, v) for k, v in values.items()])
 
-    batches = [
-        [snapshot("s1", "r1", "2026-01-01", a=1.0, b=2.0), snapshot("s2", "r1", "2026-01-01", a=9.0)],
-        [snapshot("s1", "r3", "2026-01-03", a=1.0, b=3.0)],
-        [snapshot("s1", "r2", "2026-01-02", a=5.0)],  # late: compared with what precedes it
-    ]
+def run_deltas(spark, tmp_path, batches):
+    source, check = f"{tmp_path}/in", f"{tmp_path}/check"
     for rows in batches:
-        spark.createDataFrame(rows, TABLE).coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(TABLE).parquet(source)
+        spark.createDataFrame(rows, SNAPSHOT).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(SNAPSHOT).parquet(source)
         stream_delta(stream, f"{tmp_path}/tables", f"{tmp_path}/deltas", check).awaitTermination()
     rows = spark.read.parquet(f"{tmp_path}/deltas").collect()
-    got = sorted((r.source_id, r.captured_at, r.bracket_id, r.prior_captured_at, r.old_value, r.new_value) for r in rows)
+    return sorted((r.source_id, r.captured_at, r.bracket_id, r.prior_captured_at, r.old_value, r.new_value) for r in rows)
+
+
+def test_delta_over_batches(spark, tmp_path):
+    got = run_deltas(spark, tmp_path, [
+        [snapshot("s1", "r1", "2026-01-01", {"a": 1.0, "b": 2.0}), snapshot("s2", "r1", "2026-01-01", {"a": 9.0})],
+        [snapshot("s1", "r3", "2026-01-03", {"a": 1.0, "b": 3.0})],
+        [snapshot("s1", "r2", "2026-01-02", {"a": 5.0})],  # late: compared with what precedes it
+        [snapshot("s1", "r1", "2026-01-01", {"a": 1.0, "b": 2.0}), snapshot("s1", "r3", "2026-01-03", {"c": 7.0})],  # delivered again
+    ])
     assert got == [
         ("s1", "2026-01-01", "a", None, None, 1.0), ("s1", "2026-01-01", "b", None, None, 2.0),
         ("s1", "2026-01-02", "a", "2026-01-01", 1.0, 5.0), ("s1", "2026-01-02", "b", "2026-01-01", 2.0, None),
         ("s1", "2026-01-03", "b", "2026-01-01", 2.0, 3.0),
         ("s2", "2026-01-01", "a", None, None, 9.0),
     ]
+
+
+def test_delta_of_several_tables(spark, tmp_path):
+    got = run_deltas(spark, tmp_path, [
+        [snapshot("s1", "r1", "2026-01-01", {"a": 1.0, "b": 2.0})],
+        [snapshot("s1", "r2", "2026-01-02", {"a": 9.0}, {"b": 2.0})],
+    ])
+    assert got[2:] == [("s1", "2026-01-02", "a", "2026-01-01", 1.0, 9.0)]
+
+
+def test_delta_times_are_instants(spark, tmp_path):
+    got = run_deltas(spark, tmp_path, [
+        [snapshot("s1", "r1", "2026-01-01T12:00:00Z", {"a": 1.0}), snapshot("s1", "r2", "2026-01-01T13:00:00+05:00", {"a": 2.0})],
+        [snapshot("s1", "r3", "soon", {"a": 3.0})],
+    ])
+    assert [(r[1], r[3]) for r in got] == [
+        ("2026-01-01T12:00:00Z", "2026-01-01T13:00:00+05:00"), ("2026-01-01T13:00:00+05:00", None), ("soon", None),
+    ]
