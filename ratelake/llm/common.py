@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ratelake.session import shared_dir
 
-WINDOW = 1 << 22  # bytes hashed at a time; bounds the memory of a worker
+WINDOW = 1 << 20  # bytes hashed at a time; bounds the memory of a worker
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,7 +28,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back: a cut of lineage that
     outlives lost executors."""
     path = shared_dir(df.sparkSession, purpose)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -90,12 +90,19 @@ _BASE = int(odd(1, 2)[0])
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+_KEPT: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-        np.multiply.accumulate(out, out=out)
-    return out
+    """The first n powers of a base; as many as a window takes are kept."""
+    known = _KEPT.get(base)
+    if known is None or len(known) < n:
+        known = np.full(max(n, WINDOW + 1024), base, np.uint64)
+        known[:1] = 1
+        known = np.multiply.accumulate(known)
+        if len(known) <= 2 * WINDOW:
+            _KEPT[base] = known
+    return known[:n]
 
 
 def _hash_window(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
