@@ -253,10 +253,10 @@ def _known_labels(dom, html: str, page: Page) -> np.ndarray:
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` (without ``html``) with text and n_chars."""
-    sample = (
-        pages.select(html).filter(F.octet_length(html).between(1, TRAIN_BYTES))
-        .orderBy(F.xxhash64(html), html).limit(TRAIN_PAGES)
-    )
+    some = pages.select(html, F.xxhash64(html).alias("h")).filter(F.octet_length(html).between(1, TRAIN_BYTES))
+    # Hashes first, so that no more pages travel than are trained on; equal pages count once.
+    last = some.select("h").distinct().orderBy("h").limit(TRAIN_PAGES).agg(F.max("h")).first()[0]
+    sample = some.filter(F.col("h") <= F.lit(last)).groupBy("h").agg(F.first(html).alias(html)).orderBy("h").limit(TRAIN_PAGES).select(html)
     model = train([r[0] for r in sample.collect()])  # TRAIN_PAGES pages of bounded length
     shared = pages.sparkSession.sparkContext.broadcast(model)
     base = pages.drop("text", "n_chars")
