@@ -11,6 +11,13 @@ WHITESPACE = r"[\s\x0B\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\
 # Dashes read as a hyphen in range texts.
 DASHES = r"[\x{2012}\x{2013}\x{2014}\x{2212}]"
 
+# Range texts and the leading number of a percent text.
+BOUNDED = r"(\d+(?:\.\d+)?)\s*(?:-|to)\s*(\d+(?:\.\d+)?)"
+OPEN_HIGH = r"(\d+(?:\.\d+)?)(?:\s*\+|\s*and\s+above)"
+AT_LEAST = r">=\s*(\d+(?:\.\d+)?)"
+OPEN_LOW = r"(?:<|under|less\s+than)\s*(\d+(?:\.\d+)?)"
+NUMBER_PREFIX = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
+
 MONTH_NAMES = [
     "january", "february", "march", "april", "may", "june", "july",
     "august", "september", "october", "november", "december",
@@ -48,6 +55,8 @@ BRACKET_EPSILON = 1e-9
 # Row cap of one series request.
 SERIES_LENGTH = 500
 
+DELTA_FILE = "fsc_delta_records.jsonl"
+
 MISMATCH_CATEGORIES = [
     "MISSING_IN_LLM", "EXTRA_IN_LLM", "BRACKET_VALUE_MISMATCH", "SCOPE_OR_DATE_MISMATCH",
 ]

@@ -8,14 +8,11 @@ from pyspark.sql import functions as F
 from ratelake import fixed
 from ratelake.functions.binding import let
 from ratelake.functions.dates import warning
+from ratelake.functions.numbers import two_decimals
 from ratelake.functions.text import collapse_whitespace
 
-_NUMBER = r"(\d+(?:\.\d+)?)"
-BOUNDED = rf"{_NUMBER}\s*(?:-|to)\s*{_NUMBER}"
-OPEN_HIGH = rf"{_NUMBER}(?:\s*\+|\s*and\s+above)"
-AT_LEAST = rf">=\s*{_NUMBER}"
-OPEN_LOW = rf"(?:<|under|less\s+than)\s*{_NUMBER}"
-NUMBER_PREFIX = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
+BOUNDED, OPEN_HIGH, AT_LEAST, OPEN_LOW = fixed.BOUNDED, fixed.OPEN_HIGH, fixed.AT_LEAST, fixed.OPEN_LOW
+NUMBER_PREFIX = fixed.NUMBER_PREFIX
 
 
 def clean_range_text(text: Column) -> Column:
@@ -52,9 +49,9 @@ def parse_range_text(text: Column) -> Column:
     def choose(n: Column) -> Column:
         low, high, above, below = n["low"], n["high"], n["above"], n["below"]
         return (
-            F.when(low.isNotNull(), result(low, high, F.format_string("%.2f_%.2f", low, high), True))
-            .when(above.isNotNull(), result(above, null, F.format_string("%.2f_plus", above), True))
-            .when(below.isNotNull(), result(null, below, F.format_string("lt_%.2f", below), True))
+            F.when(low.isNotNull(), result(low, high, F.concat(two_decimals(low), F.lit("_"), two_decimals(high)), True))
+            .when(above.isNotNull(), result(above, null, F.concat(two_decimals(above), F.lit("_plus")), True))
+            .when(below.isNotNull(), result(null, below, F.concat(F.lit("lt_"), two_decimals(below)), True))
             .otherwise(result(null, null, fallback_bracket_id(text), False))
         )
 

@@ -27,10 +27,13 @@ def finite_prices(prices: DataFrame) -> DataFrame:
 
 
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
-    """Newest snapshot of every source over all runs."""
-    return first_per_key(
-        snapshots, ["source_id"], [F.col("captured_at").desc(), F.col("run_id").asc()]
-    )
+    """Newest snapshot of every source over all runs; ids must be unique.
+
+    The newest is picked on ids alone, and only the picked rows' payload moves.
+    """
+    ids = snapshots.select("source_id", "captured_at", "run_id")
+    newest = first_per_key(ids, ["source_id"], [F.col("captured_at").desc(), F.col("run_id").asc()])
+    return snapshots.join(newest, ["source_id", "captured_at", "run_id"], "left_semi")
 
 
 def rate_tables(snapshots: DataFrame, snapshot: str = "snapshot") -> DataFrame:

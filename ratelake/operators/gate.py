@@ -43,6 +43,12 @@ class Flag:
     optional: bool = False
 
 
+@dataclass(frozen=True)
+class Number:
+    nullable: bool = False
+    optional: bool = False
+
+
 @dataclass(frozen=True)
 class Rows:
     item: object
@@ -122,7 +128,10 @@ SNAPSHOT_RULES = Record({
     "tables": Rows(Record({
         "program": Text(nullable=True),
         "effective_date": Text(nullable=True),
-        "brackets": Rows(Record({"bracket_id": Text(), "index_range": Text(), "surcharge_text": Text()}), optional=False),
+        "brackets": Rows(Record({
+            "bracket_id": Text(), "index_range": Text(), "min_index": Number(nullable=True), "max_index": Number(nullable=True),
+            "surcharge_percent": Number(nullable=True), "surcharge_text": Text(),
+        }), optional=False),
     }), optional=False),
     "parser_diagnostics": Record({
         "structural_error": Flag(),
@@ -131,6 +140,28 @@ SNAPSHOT_RULES = Record({
 })
 
 
+DELTA_RULES = Record({
+    "schema_version": Choice((fixed.SCHEMA_VERSION,)),
+    "carrier": Text(),
+    "source_id": Text(),
+    "captured_at": Text(),
+    "prior_captured_at": Text(nullable=True),
+    "program": Text(nullable=True),
+    "effective_date": Text(nullable=True),
+    "bracket_id": Text(),
+    "index_range": Text(),
+    "old_value": Number(nullable=True),
+    "new_value": Number(nullable=True),
+    "group_key": Text(),
+    "publishability": Record({"is_publishable": Flag(), "reasons": Rows(Text(), optional=False)}),
+    "parser_structural_error": Flag(),
+})
+
+
+def _kind(rule) -> str:
+    return "boolean" if isinstance(rule, Flag) else "number" if isinstance(rule, Number) else "string"
+
+
 def json_type(v: Column) -> Column:
     """Type name of a VARIANT: string, number, boolean, null, array or object."""
     names = F.create_map(
@@ -152,7 +183,7 @@ def _one(path: Column, message: Column) -> Column:
 def _expectation(rule) -> str:
     if isinstance(rule, Choice):
         return " | ".join(f"'{v}'" for v in rule.values)
-    return "boolean" if isinstance(rule, Flag) else "string"
+    return _kind(rule)
 
 
 def _leaf_row(name: Column, v: Column, rule) -> Column:
@@ -161,7 +192,7 @@ def _leaf_row(name: Column, v: Column, rule) -> Column:
     return F.struct(
         name.alias("name"),
         v.alias("v"),
-        F.lit("boolean" if isinstance(rule, Flag) else "string").alias("kind"),
+        F.lit(_kind(rule)).alias("kind"),
         F.lit(_expectation(rule)).alias("expected"),
         (F.lit(None).cast("array<string>") if choices is None else F.array(*[F.lit(c) for c in choices])).alias("choices"),
         F.lit(getattr(rule, "min", 0)).alias("min"),

@@ -9,15 +9,29 @@ from ratelake import fixed
 from ratelake.operators.keyed import first_per_key
 
 
-def _open_steps(rows: DataFrame, keys: list[str], bound: str, position: str, ascending: bool) -> DataFrame:
-    """Keep the one-sided brackets that can win: no earlier position with a wider bound."""
-    order = F.col(bound).asc() if ascending else F.col(bound).desc()
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        rows.withColumn("_best", F.min(position).over(w))
-        .filter(F.col("_best").isNull() | (F.col(position) < F.col("_best")))
-        .drop("_best")
-    )
+def _first_open(points: DataFrame, rows: DataFrame, keys: list[str], value: str, position: str) -> DataFrame:
+    """Of the one-sided brackets whose bound ``_at`` is not above a point's ``_at``: the
+    smallest position, found by carrying it along the ordered bounds and points.
+
+    ``rows`` hold (keys, _at, position), ``points`` (keys, value, _at, _open): an _open
+    point does not take bounds equal to it. A key is walked in pieces of its values;
+    the smallest position of every piece, one row each, is carried over.
+    """
+    none = F.lit(None)
+    both = rows.select(*keys, "_at", position, F.lit(1).alias("_turn"), none.cast("double").alias(value)).unionByName(
+        points.select(
+            *keys, "_at", none.cast(rows.schema[position].dataType).alias(position),
+            F.when(F.col("_open"), 0).otherwise(2).alias("_turn"), F.col(value).cast("double").alias(value),
+        )
+    ).withColumn("_piece", F.floor("_at"))
+    parts = [*keys, "_piece"]
+    within = Window.partitionBy(*parts).orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    least = both.groupBy(*parts).agg(F.min(position).alias("_least"))
+    carried = least.select(*parts, F.min("_least").over(before).alias("_carried"))
+    walked = both.withColumn("_here", F.min(position).over(within)).filter(F.col(value).isNotNull())
+    found = walked.join(carried, parts).withColumn(position, F.least("_here", "_carried"))
+    return found.filter(F.col(position).isNotNull()).select(*keys, value, position)
 
 
 def range_lookup(
@@ -35,7 +49,8 @@ def range_lookup(
     Closed brackets are filed under the power of two just above their width and
     touch at most three bins of that size, so the join is an equi-join on
     (keys, level, bin); a value probes only the levels its table has. Brackets of
-    equal bounds are merged first and one-sided ones reduced to those that can win.
+    equal bounds are merged first. One-sided ones are carried along the ordered values,
+    so no point meets more than one of them.
     """
     points = facts.select(*keys, value).filter(F.col(value).isNotNull()).distinct()
     distinct = brackets.groupBy(*keys, low, high).agg(F.min(position).alias(position))
@@ -62,20 +77,17 @@ def range_lookup(
     inside = (F.col(low) <= F.col(value)) & (F.col(value) < F.col(high) + fixed.BRACKET_EPSILON)
     hits = probes.join(filed, [*keys, "_level", "_bin"]).filter(inside).select(*keys, value, position)
 
-    rising = _open_steps(
-        distinct.filter(F.col(low).isNotNull() & F.col(high).isNull()), keys, low, position, True
-    )
-    falling = _open_steps(
-        distinct.filter(F.col(low).isNull() & F.col(high).isNotNull()), keys, high, position, False
+    rising = distinct.filter(F.col(low).isNotNull() & F.col(high).isNull()).withColumn("_at", F.col(low).cast("double"))
+    falling = distinct.filter(F.col(low).isNull() & F.col(high).isNotNull()).withColumn(
+        "_at", -(F.col(high).cast("double") + fixed.BRACKET_EPSILON)
     )
     everything = distinct.filter(F.col(low).isNull() & F.col(high).isNull())
+    upward = points.withColumn("_at", F.col(value).cast("double")).withColumn("_open", F.lit(False))
+    downward = points.withColumn("_at", -F.col(value).cast("double")).withColumn("_open", F.lit(True))
+    of_type = lambda df: df.withColumn(value, F.col(value).cast(points.schema[value].dataType))
     open_hits = (
-        points.join(rising, keys).filter(F.col(low) <= F.col(value)).select(*keys, value, position)
-        .unionByName(
-            points.join(falling, keys)
-            .filter(F.col(value) < F.col(high) + fixed.BRACKET_EPSILON)
-            .select(*keys, value, position)
-        )
+        of_type(_first_open(upward, rising, keys, value, position))
+        .unionByName(of_type(_first_open(downward, falling, keys, value, position)))
         .unionByName(points.join(everything, keys).select(*keys, value, position))
     )
     return hits.unionByName(open_hits).groupBy(*keys, value).agg(F.min(position).alias(position))

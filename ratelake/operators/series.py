@@ -50,13 +50,16 @@ def with_ingest_defaults(rows: DataFrame) -> DataFrame:
 
 
 def series_slice(
-    rows: DataFrame, start: str | None = None, end: str | None = None, length: int = fixed.SERIES_LENGTH
+    rows: DataFrame, start: str | None = None, end: str | None = None, length: int | None = None
 ) -> DataFrame:
-    """The newest ``length`` rows of each series between two periods (text, inclusive)."""
+    """Rows of each series between two periods (text, inclusive); with ``length`` the
+    newest so many of each."""
     if start is not None:
         rows = rows.filter(F.col("period") >= start)
     if end is not None:
         rows = rows.filter(F.col("period") <= end)
+    if length is None:
+        return rows
     w = Window.partitionBy("series_id").orderBy(F.col("period").desc())
     return rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= length).drop("_n")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -24,29 +26,26 @@ def builder(app_name: str = "ratelake") -> SparkSession.Builder:
     return b
 
 
+_OWN: list[str] = []
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the cluster's checkpoint folder.
 
-    Only a local session without ``spark.checkpoint.dir`` falls back to a
-    temporary folder; on a cluster the setting is required.
+    On a cluster ``spark.checkpoint.dir`` is required. A local session without it gets
+    one folder of its own, which is removed at the end of the process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="ratelake-")
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="ratelake-"))
+            atexit.register(shutil.rmtree, _OWN[0], True)
+        root = _OWN[0]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan of few, small files over all cores, before work that is heavy per row.
-
-    A scan with at least one partition per core, as any large one, stays as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def stored_once(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, read by many, and
     still there when executors are lost."""

@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake import schemas
-from ratelake.operators.gate import REGISTRY_RULES, SNAPSHOT_RULES, assert_valid
+from ratelake import fixed, schemas
+from ratelake.operators.gate import DELTA_RULES, REGISTRY_RULES, SNAPSHOT_RULES, assert_valid
 from ratelake.operators.keyed import first_per_key
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _or_empty(read: Callable[[], DataFrame], spark: SparkSession, schema: str) -> DataFrame:
+    """What ``read`` gives, or no rows if its path does not exist: listed once, by the read itself."""
     try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).schema
-        return True
+        return read()
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return False
-        raise
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: str, name: str | None = None) -> DataFrame:
@@ -26,22 +28,23 @@ def read_json_documents(spark: SparkSession, path: str, schema: str, name: str |
 
     A path that does not exist reads as empty.
     """
-    if not _exists(spark, path):
-        return spark.createDataFrame([], f"{schema}, file_path STRING")
     reader = spark.read.schema(schema).option("multiLine", "true")
     if name is not None:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name)
-    return reader.json(path).withColumn("file_path", F.col("_metadata.file_path"))
+    return _or_empty(
+        lambda: reader.json(path).withColumn("file_path", F.col("_metadata.file_path")), spark, f"{schema}, file_path STRING"
+    )
 
 
 def read_text_documents(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
     """Whole files as text (``value``), for untrusted JSON and raw HTML."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], "value STRING, file_path STRING")
     reader = spark.read
     if name is not None:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name)
-    return reader.text(path, wholetext=True).withColumn("file_path", F.col("_metadata.file_path"))
+    return _or_empty(
+        lambda: reader.text(path, wholetext=True).withColumn("file_path", F.col("_metadata.file_path")),
+        spark, "value STRING, file_path STRING",
+    )
 
 
 def read_binary_artifacts(spark: SparkSession, path: str, name: str = "*.pdf") -> DataFrame:
@@ -63,14 +66,13 @@ def read_json_lines(
     Strict: the job fails on a bad line. Otherwise bad lines come back with
     ``_corrupt_record`` set, for a quarantine table.
     """
-    if not _exists(spark, path):
-        extra = "" if strict else ", _corrupt_record STRING"
-        return spark.createDataFrame([], f"{schema}{extra}, file_path STRING")
     full = schema if strict else f"{schema}, _corrupt_record STRING"
     reader = spark.read.schema(full).option("mode", "FAILFAST" if strict else "PERMISSIVE")
     if name is not None:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name)
-    return reader.json(path).withColumn("file_path", F.col("_metadata.file_path"))
+    return _or_empty(
+        lambda: reader.json(path).withColumn("file_path", F.col("_metadata.file_path")), spark, f"{full}, file_path STRING"
+    )
 
 
 def path_keys(file_path: Column, area: str) -> Column:
@@ -137,10 +139,28 @@ def read_run_snapshots(spark: SparkSession, run_dir: str, strict: bool = True) -
     return first_per_key(docs, ["carrier", "source_id", "captured_at"], [F.col("file_path").desc()])
 
 
-def read_run_deltas(spark: SparkSession, run_dir: str) -> DataFrame:
-    """Delta records of one run; their ``position`` orders rows by file and line."""
-    rows = read_json_lines(spark, f"{run_dir}/changes", schemas.DELTA, "delta_records.jsonl")
-    return rows.withColumn("position", F.struct("file_path", F.monotonically_increasing_id().alias("line")))
+def read_run_deltas(spark: SparkSession, run_dir: str, strict: bool = True) -> DataFrame:
+    """Delta records of one run, from feed files of either kind: named ones, or the part
+    files that :func:`~ratelake.sources.writers.write_deltas` leaves. Their ``position``
+    orders rows by file and line. Strict: a record that breaks the rules fails the job.
+    """
+    lines = _or_empty(
+        lambda: spark.read.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", f"{{{fixed.DELTA_FILE},part-*}}").text(f"{run_dir}/changes")
+        .select(
+            "value", F.col("_metadata.file_path").alias("file_path"),
+            F.struct(
+                F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("line"),
+            ).alias("position"),
+        ),
+        spark, "value STRING, file_path STRING, position STRUCT<file_path STRING, block BIGINT, line BIGINT>",
+    ).filter(F.trim("value") != "")
+    if strict:
+        lines = assert_valid(lines, "value", F.concat(F.lit("Delta in "), F.col("file_path")), DELTA_RULES)
+    return lines.select(F.from_json("value", schemas.DELTA).alias("_d"), "file_path", "position").select(
+        "_d.*", "file_path", "position"
+    )
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

@@ -21,8 +21,8 @@ def write_documents(df: DataFrame, document: str, path: str, partition_by: list[
 
 
 def write_deltas(deltas: DataFrame, path: str) -> None:
-    """Delta feed as JSON lines by carrier and source; no rows give an empty feed."""
-    deltas.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("carrier", "source_id").json(path)
+    """Delta feed as JSON lines; a record holds all its fields, and no rows give an empty feed."""
+    deltas.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def write_report(lines: DataFrame, path: str) -> None:
