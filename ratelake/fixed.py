@@ -57,9 +57,10 @@ SERIES_LENGTH = 500
 
 DELTA_FILE = "fsc_delta_records.jsonl"
 
-MISMATCH_CATEGORIES = [
-    "MISSING_IN_LLM", "EXTRA_IN_LLM", "BRACKET_VALUE_MISMATCH", "SCOPE_OR_DATE_MISMATCH",
-]
+# Categories of a parity report.
+MISSING, EXTRA = "MISSING_IN_LLM", "EXTRA_IN_LLM"
+VALUE_MISMATCH, SCOPE_MISMATCH = "BRACKET_VALUE_MISMATCH", "SCOPE_OR_DATE_MISMATCH"
+MISMATCH_CATEGORIES = [MISSING, EXTRA, VALUE_MISMATCH, SCOPE_MISMATCH]
 
 STRUCTURAL_CODE = "PARSER_STRUCTURAL_ERROR"
 GATE_FAILED_MESSAGE = "PARSER_STRUCTURAL_ERROR: Candidate schema validation failed."

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratelake import fixed
 from ratelake.functions.keys import snapshot_key
 from ratelake.functions.numbers import within_tolerance
 
@@ -92,7 +93,7 @@ def snapshot_items(compared: DataFrame) -> DataFrame:
     missing = F.col("_in_base")
     return _items(
         one_sided,
-        F.when(missing, "MISSING_IN_LLM").otherwise("EXTRA_IN_LLM"),
+        F.when(missing, fixed.MISSING).otherwise(fixed.EXTRA),
         "snapshot",
         _key(),
         F.when(missing, "snapshot missing in llm").otherwise("extra snapshot in llm"),
@@ -108,7 +109,7 @@ def date_items(compared: DataFrame) -> DataFrame:
     a, b = F.col("_date_base"), F.col("_date_cand")
     return _items(
         _matched(compared).filter(~a.eqNullSafe(b)),
-        "SCOPE_OR_DATE_MISMATCH",
+        fixed.SCOPE_MISMATCH,
         "snapshot",
         _key(),
         F.lit("effective_date mismatch"),
@@ -134,7 +135,7 @@ def program_items(programs: DataFrame) -> DataFrame:
     one_sided = programs.filter(F.col("_in_base") != F.col("_in_cand"))
     return _items(
         one_sided,
-        "SCOPE_OR_DATE_MISMATCH",
+        fixed.SCOPE_MISMATCH,
         "snapshot",
         _key(),
         F.concat(
@@ -168,7 +169,7 @@ def bracket_items(programs: DataFrame, baseline: DataFrame, candidate: DataFrame
     in_both = F.col("_in_base") & F.col("_in_cand")
     return _items(
         found,
-        F.when(in_both, "BRACKET_VALUE_MISMATCH").otherwise("SCOPE_OR_DATE_MISMATCH"),
+        F.when(in_both, fixed.VALUE_MISMATCH).otherwise(fixed.SCOPE_MISMATCH),
         "snapshot",
         _key(),
         F.concat(
@@ -197,7 +198,7 @@ def delta_items(baseline: DataFrame, candidate: DataFrame, order: str = "positio
     key = F.col("group_key")
     group_rows = _items(
         groups.filter((n_a == 0) != (n_b == 0)),
-        F.when(n_b == 0, "MISSING_IN_LLM").otherwise("EXTRA_IN_LLM"),
+        F.when(n_b == 0, fixed.MISSING).otherwise(fixed.EXTRA),
         "delta",
         key,
         F.when(n_b == 0, "delta group missing in llm").otherwise("extra delta group in llm"),
@@ -205,7 +206,7 @@ def delta_items(baseline: DataFrame, candidate: DataFrame, order: str = "positio
     matched = groups.filter((n_a > 0) & (n_b > 0))
     count_rows = _items(
         matched.filter(n_a != n_b),
-        "SCOPE_OR_DATE_MISMATCH",
+        fixed.SCOPE_MISMATCH,
         "delta",
         key,
         F.lit("delta record count mismatch"),
@@ -224,7 +225,7 @@ def delta_items(baseline: DataFrame, candidate: DataFrame, order: str = "positio
     one_sided = values.filter(F.col("_in_base") != F.col("_in_cand"))
     bracket_rows = _items(
         one_sided,
-        "SCOPE_OR_DATE_MISMATCH",
+        fixed.SCOPE_MISMATCH,
         "delta",
         key,
         F.concat(
@@ -252,7 +253,7 @@ def delta_items(baseline: DataFrame, candidate: DataFrame, order: str = "positio
     )
     value_rows = _items(
         different,
-        "BRACKET_VALUE_MISMATCH",
+        fixed.VALUE_MISMATCH,
         "delta",
         key,
         F.concat(F.col("_c.field"), F.lit(" mismatch for "), F.col("bracket_id")),

@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from ratelake import fixed
-from ratelake.functions.brackets import AT_LEAST, BOUNDED, NUMBER_PREFIX, OPEN_HIGH, OPEN_LOW
 from ratelake.operators.gate import CANDIDATE_RULES, Choice, Flag, Rows, Text
 from ratelake.plans.model import CANDIDATE_SQL, CONTEXT_SQL
 
 WS = fixed.WHITESPACE
 
+# The check states its patterns itself, so that a wrong one in the library shows.
+BOUNDED = r"([0-9]+(?:[.][0-9]+)?)[ ]*(?:-|to)[ ]*([0-9]+(?:[.][0-9]+)?)"
+OPEN_HIGH = r"([0-9]+(?:[.][0-9]+)?)(?:[ ]*[+]|[ ]*and[ ]+above)"
+AT_LEAST = r">=[ ]*([0-9]+(?:[.][0-9]+)?)"
+OPEN_LOW = r"(?:<|under|less[ ]+than)[ ]*([0-9]+(?:[.][0-9]+)?)"
+NUMBER_PREFIX = r"^[-+]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][-+]?[0-9]+)?"
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+
 
 def collapse(text: str) -> str:
     return f"trim(regexp_replace({text}, '{WS}+', ' ', 'g'))"
@@ -57,7 +64,7 @@ def date_text(text: str) -> str:
     def g(p: str, i: int) -> str:
         return f"regexp_extract({text}, '{p}', {i})"
 
-    month = f"lpad(CAST((strpos('janfebmaraprmayjunjulaugsepoctnovdec', left(lower({g(_NAMED, 1)}), 3)) + 2) // 3 AS VARCHAR), 2, '0')"
+    month = f"lpad(CAST(list_position({MONTHS}, left(lower({g(_NAMED, 1)}), 3)) AS VARCHAR), 2, '0')"
     return (
         f"CASE WHEN {g(_NAMED, 0)} <> '' THEN {g(_NAMED, 3)} || '-' || {month} || '-' || lpad({g(_NAMED, 2)}, 2, '0') "
         f"WHEN {g(_NUMERIC, 0)} <> '' THEN {g(_NUMERIC, 3)} || '-' || lpad({g(_NUMERIC, 1)}, 2, '0') || '-' || lpad({g(_NUMERIC, 2)}, 2, '0') END"
