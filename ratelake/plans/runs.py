@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ratelake import fixed
+from ratelake.functions.keys import group_key
 from ratelake.operators import parity as P
 from ratelake.operators import registry as R
 from ratelake.operators.diff import ID, merge_programs, snapshot_diff, snapshot_pairs
+from ratelake.operators.folders import compare_run_folders
 from ratelake.operators.keyed import (
     compare_keys, first_per_key, insert_if_absent, key_except, key_intersect, key_union, replace_by_key,
 )
@@ -18,6 +21,7 @@ from ratelake.plans.model import (
     side_deltas, side_snapshots, versions,
 )
 from ratelake.session import shared_dir
+from ratelake.sources.writers import write_deltas, write_documents
 
 query = REGISTRY.query
 
@@ -486,3 +490,44 @@ def parity_report(spark, sf_dir):
 SELECT category, scope, count(*) AS n_items FROM ({_ALL_ITEMS}) GROUP BY ALL""")
 def parity_counts(spark, sf_dir):
     return P.category_counts(_report(spark, sf_dir))
+
+
+def _write_run(side, run_dir: str) -> None:
+    """A side's rows as a run folder: one document per snapshot, and its delta feed."""
+    text = lambda c: F.col(c).cast("string")
+    bracket = F.struct(
+        "bracket_index", "bracket_id", text("bracket_id").alias("index_range"), F.lit(None).cast("double").alias("min_index"),
+        F.lit(None).cast("double").alias("max_index"), "surcharge_percent", F.lit("").alias("surcharge_text"),
+    )
+    tables = side.groupBy(*P.KEY, "table_index", "program").agg(
+        F.max("effective_date").alias("_date"), F.array_sort(F.collect_list(bracket)).alias("brackets")
+    )
+    table = F.struct("table_index", "program", F.lit(None).cast("string").alias("effective_date"), "brackets")
+    snapshots = tables.groupBy(*P.KEY).agg(
+        F.max("_date").alias("effective_date"), F.array_sort(F.collect_list(table)).alias("tables")
+    )
+    document = F.struct(
+        F.lit(fixed.SCHEMA_VERSION).alias("schema_version"), *P.KEY, F.lit("https://example.com").alias("source_url"),
+        F.lit("text/html").alias("content_type"), "effective_date", "tables",
+        F.struct(F.lit(False).alias("structural_error"), F.array().cast("array<string>").alias("messages")).alias("parser_diagnostics"),
+    )
+    write_documents(snapshots.withColumn("_doc", document), "_doc", f"{run_dir}/snapshots")
+    none = F.lit(None).cast("string")
+    deltas = side.select(
+        F.lit(fixed.SCHEMA_VERSION).alias("schema_version"), *P.KEY, none.alias("prior_captured_at"), "program", "effective_date",
+        F.concat_ws("/", "source_id", "bracket_id").alias("bracket_id"), text("bracket_id").alias("index_range"),
+        (F.col("surcharge_percent") - 1).alias("old_value"), F.col("surcharge_percent").alias("new_value"),
+        group_key(F.col("carrier"), F.col("program"), F.col("effective_date")).alias("group_key"),
+        F.struct(F.lit(True).alias("is_publishable"), F.array().cast("array<string>").alias("reasons")).alias("publishability"),
+        F.lit(False).alias("parser_structural_error"), "table_index", "bracket_index",
+    )
+    write_deltas(deltas.orderBy("table_index", "bracket_index").drop("table_index", "bracket_index"), f"{run_dir}/changes")
+
+
+@query("compare_run_folders", f"WITH {_PARITY_CTE}, {_DELTA_CTE} {_ALL_ITEMS}")
+def compare_folders(spark, sf_dir):
+    """Both runs written as folders of documents and feeds, and compared from their paths."""
+    base = shared_dir(spark, "runs")
+    for name, side in zip(("baseline", "candidate"), run_sides(spark, sf_dir)):
+        _write_run(side, f"{base}/{name}")
+    return compare_run_folders(spark, f"{base}/baseline", f"{base}/candidate").select("category", "scope", "key", "message")

@@ -129,9 +129,16 @@ def manifest_children(sources: DataFrame, now: Column) -> DataFrame:
 
 
 def read_run_snapshots(spark: SparkSession, run_dir: str, strict: bool = True) -> DataFrame:
-    """Snapshots of one run with their file path; of files with the same key the
-    last one wins."""
-    text = read_text_documents(spark, f"{run_dir}/snapshots", "parsed.json")
+    """Snapshots of one run with their file path; of documents with the same key the
+    last one wins. Reads named files, one document each, and the part files that
+    :func:`~ratelake.sources.writers.write_documents` leaves, one document per line."""
+    root = f"{run_dir}/snapshots"
+    parts = _or_empty(
+        lambda: spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").text(root)
+        .select("value", F.col("_metadata.file_path").alias("file_path")),
+        spark, "value STRING, file_path STRING",
+    ).filter(F.trim("value") != "")
+    text = read_text_documents(spark, root, "parsed.json").unionByName(parts)
     if strict:
         label = F.concat(F.lit("Snapshot "), F.col("file_path"))
         text = assert_valid(text, "value", label, SNAPSHOT_RULES)
