@@ -82,5 +82,8 @@ def current_children(spark: SparkSession, root: str, name: str, keys: list[str])
     """Child rows of the newest committed load of every parent; load ids sort by time."""
     commits = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/commits")
     newest = first_per_key(commits, keys, [F.col("load_id").desc()])
-    rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/{name}")
-    return rows.join(newest, [*keys, "load_id"], "left_semi").drop("load_id")
+    # The load is a partition column, so the join on it reads committed, current loads only.
+    schema = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/{name}").schema
+    rows = spark.read.schema(schema.add("load", "string")).parquet(f"{root}/{name}")
+    current = newest.withColumn("load", F.col("load_id"))
+    return rows.join(current, [*keys, "load_id", "load"], "left_semi").drop("load_id", "load")
