@@ -35,24 +35,12 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the long strings that an earlier document holds; a document that
-    loses everything goes. A cut inside a character takes the whole character.
+    loses all its words goes. A cut inside a character takes the whole character.
     """
-    cut = repeats.remove_repeats(docs, "text").toDF("_id", "_bytes", "_crc", "_kept")
-    cut = cut.dropDuplicates(["_id", "_bytes", "_crc"])
-    same = (
-        F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.octet_length("text") == F.col("_bytes"))
-        & (F.crc32(F.col("text").cast("binary")) == F.col("_crc"))
-    )
-    joined = docs.join(cut, same, "left").filter(F.col("_kept").isNull() | (F.trim("_kept") != ""))
-    lost = F.col("_kept").isNotNull()
-    return joined.select(
-        *[
-            F.when(lost, F.col("_kept")).otherwise(F.col(c)).alias(c) if c == "text"
-            else F.when(lost, F.length("_kept")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-            else docs[c]
-            for c in docs.columns
-        ]
-    )
+    left = repeats.remove_repeats(docs, "rows")
+    cut = F.col("_removed") > 0
+    chars = F.when(cut, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return left.filter(~cut | (F.trim("text") != "")).withColumn("n_chars", chars).select(*docs.columns)
 
 
 def leaks_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

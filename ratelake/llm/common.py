@@ -29,7 +29,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     outlives lost executors."""
     path = shared_dir(df.sparkSession, purpose)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def remainder(doc_id: Column, n: int) -> Column:

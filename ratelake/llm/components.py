@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import stored
+from ratelake.llm.common import discard, stored
 
 
 def _towards_least(edges: DataFrame, large: bool) -> DataFrame:
@@ -45,5 +45,6 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
         if tuple(seen) == mark:
             break
         mark = tuple(seen)
-        current = stored(_towards_least(_towards_least(current, True), False), purpose)
+        before, current = current, stored(_towards_least(_towards_least(current, True), False), purpose)
+        discard(before)
     return current.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.col("v").alias("component"))
