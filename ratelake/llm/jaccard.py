@@ -9,12 +9,13 @@ text. All links are found: every filter below only passes over pairs that cannot
   the more frequent the later (a bounded list; which it holds changes cost only), the
   others come in hash order. Two linked sets share a shingle of their prefixes, and
   the smaller one has it in its even shorter index prefix.
-* Index lists are ordered by set size and carry positions. Blocks of sizes that cannot
+* Index lists are ordered by position and carry set sizes. Blocks of sizes that cannot
   link are skipped, and so are entries whose positions leave too few shingles.
-* A long list is not paired out. Its sets are compared with the pivot of their block;
-  that answer decides for all that join the pivot's component, and bounds the overlap
-  of any two others: |x & z| <= min(|x & p|, |z & p|) + min(|x - p|, |z - p|). Only pairs
-  of different components that pass the bound are compared afterwards.
+* Lists are not paired out. First each set is compared with the pivot it meets most;
+  that answer stands for all sets of the pivot's component, and the differences from
+  one pivot p bound the overlap of any two sets without reading them again:
+  |x & z| <= |p| - |(p - x) | (p - z)| + |(x - p) & (z - p)|, with sketches of the
+  differences. Only pairs of different components that pass are compared afterwards.
 
 Null and empty texts and texts without words have an empty set and stand alone. A text
 of fewer words than a shingle has is one shingle. Rows that repeat an id are one node,
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import pieces, shingles, stored, text_bytes, words
+from ratelake.llm.common import discard, pieces, shingles, stored, text_bytes, words
 from ratelake.llm.components import components
 
 N = 5
@@ -39,8 +40,10 @@ SHARE = 80  # percent
 CHUNK = 4 << 20  # shingles whose frequencies are counted together
 LOCAL_HOT, HOT = 8, 16  # occurrences in a chunk, and in all chunks, of a frequent shingle
 HOT_LIST = 1 << 20  # frequent shingles that are ordered by frequency
-PAIRED = 64  # longest list that is paired out
-CARRY = 1 << 20  # rows of an unfinished list that a task holds
+SMALL = 1 << 20  # ids, of 8 bytes each, that are broadcast
+DOUBLINGS, CIRCLE = 3, 3  # steps from pivot to pivot, as powers of two; classes of a circle
+WORDS = 4  # 64-bit words of a difference sketch
+SEEN = 1 << 18  # classes that a task remembers to report once
 
 
 def sets(array: pa.Array, n: int = N) -> Iterator[np.ndarray]:
@@ -144,7 +147,7 @@ def prefixes(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                 key = digest(s)
                 if len(s) == 0 or key in seen:
                     continue
-                if len(seen) < CARRY:
+                if len(seen) < SEEN:
                     seen.add(key)
                 if len(values):
                     at = np.minimum(np.searchsorted(values, s), len(values) - 1)
@@ -167,96 +170,72 @@ def prefixes(docs: DataFrame, hot: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(run, "shingle bigint, cls bigint, size int, pos int")
 
 
-def _pairs(s, cls, size, pos) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs (smaller, larger) inside short lists, which lie side by side."""
-    left, right = [], []
-    for d in range(1, PAIRED):
-        same = np.flatnonzero(s[d:] == s[:-d])
-        if len(same) == 0:
-            break
-        y, x = same, same + d
-        sy, sx = size[y].astype(np.int64), size[x].astype(np.int64)
-        good = (100 * sy >= SHARE * sx) & (pos[y] < index_prefix(sy))
-        good &= np.minimum(sx - pos[x], sy - pos[y]) >= needed(sx, sy)
-        left.append(cls[y[good]])
-        right.append(cls[x[good]])
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(left), np.concatenate(right)
-
-
 def _read_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (shingle, size, cls) → candidates (hot: false) and the entries of
-    long lists with their pivots (hot: true)."""
-    names = ["hot", "shingle", "a", "b", "size", "pos"]
-    pivot: list[int] | None = None  # shingle, class and size of the open long list's block
-
-    def long_rows(s, cls, size, pos):
-        nonlocal pivot
-        b = np.empty(len(s), np.int64)
-        at = 0
-        while at < len(s):
-            if pivot is None or pivot[0] != s[at] or 100 * pivot[2] < SHARE * int(size[at]):
-                pivot = [int(s[at]), int(cls[at]), int(size[at])]
-            end = int(np.searchsorted(s, s[at], "right"))
-            stop = min(end, at + int(np.searchsorted(size[at:end], 100 * pivot[2] // SHARE, "right")))
-            stop = max(stop, at + 1)
-            b[at:stop] = pivot[1]
-            at = stop
-        n = len(s)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(n, bool)), pa.array(s), pa.array(cls), pa.array(b), pa.array(size), pa.array(pos)], names
-        )
-
-    held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
-
-    def take(columns, final: bool):
-        nonlocal held
-        s, cls, size, pos = columns
-        n = len(s)
-        if n and not final:
-            open_at = int(np.searchsorted(s, s[-1], "left"))
-            if n - open_at > CARRY:  # a list too long to hold: all but its last entry goes now
-                open_at = n - 1
-            held = [c[open_at:] for c in columns]
-            s, cls, size, pos = (c[:open_at] for c in columns)
-        elif final:
-            held = [c[:0] for c in columns]
-        if len(s) == 0:
-            return
-        keep = np.concatenate([[True], (s[1:] != s[:-1]) | (cls[1:] != cls[:-1])])
-        s, cls, size, pos = s[keep], cls[keep], size[keep], pos[keep]
-        first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-        length = np.diff(np.concatenate([first, [len(s)]]))
-        every = np.repeat(length, length)
-        long = every > PAIRED
-        if pivot is not None:
-            long |= s == pivot[0]
-        if len(held[0]) and len(s):  # cut inside a list: its part here is of a long list
-            long |= s == held[0][0]
-        if long.any():
-            yield long_rows(s[long], cls[long], size[long], pos[long])
-        short = (every > 1) & ~long
-        a, b = _pairs(s[short], cls[short], size[short], pos[short])
-        if len(a):
-            both = np.unique(np.stack([a, b], 1), axis=0)
-            n = len(both)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.zeros(n, bool)), pa.nulls(n, pa.int64()), pa.array(both[:, 0].copy()),
-                    pa.array(both[:, 1].copy()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()),
-                ],
-                names,
-            )
+    """Rows sorted by (shingle, pos, cls) → the entries of lists of two and more, each
+    with a pivot whose size can link with its own: the first class of the list, or of
+    those entries that the first is too large or too small for.
+
+    The first of a list has the fewest rarer shingles, so it is next to what the list's
+    sets have in common. A list of any length streams through: one pivot is remembered.
+    """
+    names = ["shingle", "a", "size", "pos", "pivot"]
+    held: list[np.ndarray] | None = None  # a last row that may be a list of its own
+    open_list: tuple[int, int, int, int] | None = None  # shingle, last class, pivot, its size
 
     for batch in batches:
-        fresh = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
-        yield from take([np.concatenate([h, f]) for h, f in zip(held, fresh)], False)
-    yield from take(held, True)
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+        if held is not None:
+            columns = [np.concatenate([h, c]) for h, c in zip(held, columns)]
+            held = None
+        s, cls = columns[:2]
+        if len(s) == 0:
+            continue
+        keep = np.ones(len(s), bool)
+        keep[1:] = (s[1:] != s[:-1]) | (cls[1:] != cls[:-1])
+        keep[0] = open_list is None or (open_list[0], open_list[1]) != (int(s[0]), int(cls[0]))
+        s, cls, size, pos = (c[keep] for c in columns)
+        if len(s) == 0:
+            continue
+        goes_on = open_list is not None and open_list[0] == int(s[0])
+        begins = np.ones(len(s), bool)
+        begins[1:] = s[1:] != s[:-1]
+        alone = begins.copy()
+        alone[:-1] &= s[1:] != s[:-1]
+        if goes_on:
+            alone[0] = False
+        if alone[-1]:
+            held = [c[-1:] for c in (s, cls, size, pos)]
+        first = np.flatnonzero(begins)
+        group = np.cumsum(begins) - 1
+        pivot, base = cls[first][group], size[first][group].astype(np.int64)
+        if goes_on:
+            pivot[group == 0], base[group == 0] = open_list[2], open_list[3]
+        while True:  # once per block of sizes
+            small, large = np.minimum(base, size), np.maximum(base, size)
+            far = np.flatnonzero(100 * small < SHARE * large)
+            if len(far) == 0:
+                break
+            _, at, which = np.unique(group[far], return_index=True, return_inverse=True)
+            pivot[far], base[far] = cls[far[at]][which], size[far[at]][which]
+        open_list = None if alone[-1] else (int(s[-1]), int(cls[-1]), int(pivot[first[-1]]), int(base[first[-1]]))
+        out = ~alone
+        yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in (s, cls, size, pos, pivot)], names)
+
+
+_SKETCH = [f"{name}{k}" for name in ("gone", "extra") for k in range(WORDS)]
+
+
+def _sketch(values: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which of 64 * WORDS buckets the shingles outside ``common`` fall in, as bits."""
+    rest = np.setdiff1d(values, common, assume_unique=True) % np.uint64(64 * WORDS)
+    out = np.zeros(WORDS, np.uint64)
+    np.bitwise_or.at(out, (rest >> np.uint64(6)).astype(np.int64), np.uint64(1) << (rest & np.uint64(63)))
+    return out.view(np.int64)
 
 
 def overlaps(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, u, v, size_a, size_b, overlap) of class pairs (a, b), from whole texts.
+    """(a, b, u, v, size_a, size_b, overlap) of class pairs (a, b), from whole texts, with
+    sketches of what a lacks of b (gone) and has beside it (extra).
 
     u, v: the ids that stand for the classes.
     """
@@ -264,6 +243,8 @@ def overlaps(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     named = pairs.join(of.toDF("a", "u"), "a").join(of.toDF("b", "v"), "b")
     named = stored(named.filter(F.col("u") != F.col("v")), "jaccard-pairs")
     wanted = named.select(F.col("u").alias("doc_id")).union(named.select("v")).distinct()
+    if wanted.count() <= SMALL:  # a checked size; otherwise texts are shuffled
+        wanted = F.broadcast(wanted)
     texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
     texts = stored(texts, "jaccard-texts")
     with_left = named.join(texts.toDF("u", "text_a"), "u")
@@ -273,19 +254,29 @@ def overlaps(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
         for whole in pieces(batches, "text_a"):
             for batch in pieces([whole], "text_b"):
                 left, right = list(sets(batch.column("text_a"))), list(sets(batch.column("text_b")))
-                both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)]
+                both = [np.intersect1d(x, y, assume_unique=True) for x, y in zip(left, right)]
+                gone = np.stack([_sketch(y, z) for y, z in zip(right, both)]) if both else np.zeros((0, WORDS), np.int64)
+                extra = np.stack([_sketch(x, z) for x, z in zip(left, both)]) if both else gone
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[batch.column(c) for c in ("a", "b", "u", "v")], pa.array([len(x) for x in left], pa.int64()),
-                        pa.array([len(y) for y in right], pa.int64()), pa.array(both, pa.int64()),
+                        pa.array([len(y) for y in right], pa.int64()), pa.array([len(z) for z in both], pa.int64()),
+                        *[pa.array(m[:, k].copy()) for m in (gone, extra) for k in range(WORDS)],
                     ],
-                    ["a", "b", "u", "v", "size_a", "size_b", "overlap"],
+                    ["a", "b", "u", "v", "size_a", "size_b", "overlap", *_SKETCH],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return with_both.select("a", "b", "u", "v", "text_a", "text_b").mapInArrow(
-        compare, f"a bigint, b bigint, u {kind}, v {kind}, size_a bigint, size_b bigint, overlap bigint"
+    out = stored(
+        with_both.select("a", "b", "u", "v", "text_a", "text_b").mapInArrow(
+            compare,
+            f"a bigint, b bigint, u {kind}, v {kind}, size_a bigint, size_b bigint, overlap bigint, "
+            + ", ".join(f"{c} bigint" for c in _SKETCH),
+        ),
+        "jaccard-overlaps",
     )
+    discard(named, texts)
+    return out
 
 
 LINKED = f"100 * overlap >= {SHARE} * (size_a + size_b - overlap)"
@@ -307,21 +298,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     lists = prefixes(docs, hot)
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = stored(
-        lists.repartition(n_parts, "shingle").sortWithinPartitions("shingle", "size", "cls")
-        .mapInArrow(_read_lists, "hot boolean, shingle bigint, a bigint, b bigint, size int, pos int"),
+    entries = stored(
+        lists.repartition(n_parts, "shingle").sortWithinPartitions("shingle", "pos", "cls")
+        .mapInArrow(_read_lists, "shingle bigint, a bigint, size int, pos int, pivot bigint"),
         "jaccard-lists",
     )
-    pairs = found.filter(F.col("a") != F.col("b")).select("a", "b").distinct()
-    compared = stored(overlaps(pairs, classes, docs), "jaccard-overlaps")
+    # First every class with the pivot it meets most: one comparison per class.
+    met = entries.filter("a <> pivot").groupBy("a", "pivot").agg(F.count("*").alias("n"))
+    pairs = met.groupBy("a").agg(F.max(F.struct("n", F.col("pivot").alias("b"))).alias("m")).select("a", "m.b")
+    first = overlaps(pairs, classes, docs)
+    # Then with the pivot's pivot and so on, so that a family has one pivot in common.
+    roots = stored(_roots(first), "jaccard-roots")
+    second = overlaps(roots.filter("root <> a AND root <> b").select("a", F.col("root").alias("b")), classes, docs)
+    compared = first.unionByName(second)
+    answers = second.unionByName(first.join(roots.filter("root = b").select("a", "b"), ["a", "b"], "left_semi"))
     links = compared.filter(LINKED).select("u", "v")
     groups = stored(components(links, "jaccard-components"), "jaccard-groups")
-    entries = found.filter("hot")
-    if not entries.isEmpty():
-        more = _between_groups(entries, compared, classes, groups, docs)
-        new_links = more.filter(LINKED).select("u", "v")
-        if not new_links.isEmpty():
-            groups = stored(components(links.union(new_links), "jaccard-components"), "jaccard-groups")
+    later = _between_groups(entries, compared, answers, classes, groups, docs)
+    more = later.filter(LINKED).select("u", "v")
+    if not more.isEmpty():
+        before, groups = groups, stored(components(links.union(more), "jaccard-components"), "jaccard-groups")
+        discard(before)
+    discard(entries, first, second, roots, later)
     by_class = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component")
     )
@@ -330,30 +328,54 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _roots(compared: DataFrame) -> DataFrame:
+    """(a, b, root): where the way from pivot to pivot ends. It is followed 2^DOUBLINGS
+    steps by doubling; there it may circle among a few classes, of which the least is taken.
+    """
+    step = compared.select("a", "b")
+    walk = step.withColumn("at", F.col("b"))
+
+    def ahead(frame: DataFrame, way: DataFrame, name: str) -> DataFrame:
+        return frame.join(way.toDF("at", "_next"), "at", "left").withColumn(name, F.coalesce("_next", "at")).drop("_next")
+
+    for _ in range(DOUBLINGS):
+        walk = stored(ahead(walk, walk.select("a", "at"), "at2").drop("at").withColumnRenamed("at2", "at"), "jaccard-walk")
+    walk = walk.withColumn("root", F.col("at"))
+    for _ in range(CIRCLE):
+        walk = ahead(walk, step, "at2").drop("at").withColumnRenamed("at2", "at").withColumn("root", F.least("root", "at"))
+    return walk.select("a", "b", "root")
+
+
 def _between_groups(
-    entries: DataFrame, compared: DataFrame, classes: DataFrame, groups: DataFrame, docs: DataFrame
+    entries: DataFrame, compared: DataFrame, answers: DataFrame, classes: DataFrame, groups: DataFrame, docs: DataFrame
 ) -> DataFrame:
-    """Overlaps of the pairs of long lists that no answer has settled yet."""
+    """Overlaps of the pairs of one list that no answer has settled yet."""
     component = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         F.col("cls").alias("a"), F.coalesce("component", "rep").alias("component")
     )
-    named = entries.select("shingle", "a", F.col("b").alias("pivot"), "size", "pos").join(component, "a")
+    answer = answers.select("a", F.col("b").alias("p"), "size_b", "overlap", *_SKETCH)
+    named = entries.drop("pivot").join(component, "a")
     split = named.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    # Overlap with the pivot: the class itself has its whole set.
-    known = compared.select("a", F.col("b").alias("pivot"), "overlap")
     open_lists = stored(
-        named.join(split.filter("x <> y").select("shingle"), "shingle", "left_semi")
-        .join(known, ["a", "pivot"], "left")
-        .withColumn("overlap", F.when(F.col("a") == F.col("pivot"), F.col("size")).otherwise(F.col("overlap"))),
+        named.join(split.filter("x <> y").select("shingle"), "shingle", "left_semi").join(answer, "a", "left")
+        .withColumns({c: F.coalesce(c, "size") for c in ("overlap", "size_b")})
+        .withColumns({c: F.coalesce(c, F.lit(0)) for c in _SKETCH}).withColumn("p", F.coalesce("p", "a")),
         "jaccard-open",
     )
     y, x = open_lists.alias("y"), open_lists.alias("x")
     need = f"ceil({SHARE} * (y.size + x.size) / {100 + SHARE})"
     own = f"(y.size - ceil({2 * SHARE} * y.size / {100 + SHARE}) + 1)"
-    bound = "least(x.overlap, y.overlap) + least(x.size - x.overlap, y.size - y.overlap)"
+    # Of the pivot both keep what neither lacks; beside it they share what both have.
+    only = lambda name, s, t: " + ".join(f"bit_count({s}.{name}{k} & ~{t}.{name}{k})" for k in range(WORDS))
+    lacking = " , ".join(f"{s}.size_b - {s}.overlap + {only('gone', t, s)}" for s, t in ("xy", "yx"))
+    beside = " , ".join(f"{s}.size - {s}.overlap - ({only('extra', s, t)})" for s, t in ("xy", "yx"))
+    bound = f"(x.size_b - greatest({lacking}) + least({beside}))"
     condition = f"""x.shingle = y.shingle AND x.component <> y.component
       AND (y.size < x.size OR (y.size = x.size AND y.a < x.a)) AND 100 * y.size >= {SHARE} * x.size
       AND y.pos < {own} AND least(x.size - x.pos, y.size - y.pos) >= {need}
-      AND (x.pivot <> y.pivot OR coalesce({bound} >= {need}, true))"""
+      AND (x.p <> y.p OR {bound} >= {need})"""
     pairs = y.join(x, F.expr(condition)).select(F.col("y.a").alias("a"), F.col("x.a").alias("b")).distinct()
-    return overlaps(pairs.join(compared, ["a", "b"], "left_anti"), classes, docs)
+    done = compared.select("a", "b").union(compared.select("b", "a"))
+    out = overlaps(pairs.join(done, ["a", "b"], "left_anti"), classes, docs)
+    discard(open_lists)
+    return out
