@@ -1,24 +1,28 @@
 """Benchmark decontamination: rare n-gram seeds join texts to test items, and a
 Smith-Waterman alignment of words scores copied and edited passages.
 
-First pass: how often does each word n-gram of the test items stand in the corpus?
-Of every ``STRETCH`` successive n-grams of an item the rarest that occurs is a seed, so any copied
-run of ``STRETCH + SEED - 1`` words holds a seed however common the passage has become;
-no n-gram is dropped for being frequent. Second pass: seeds found in a text propose
-windows around their diagonal, overlapping windows of an item are merged, a window
-without enough words of the item is passed over (its score cannot reach the
-threshold), and the others are aligned.
+An alignment of score s (matches minus edits) has at most one run of matches more than
+edits, so at least s - 1 pairs of successive words of the item stand in it unchanged.
+With t such pairs needed for the least score, any set that leaves out at most t - 1 of the
+item's pairs holds one of them, whichever words were edited. First pass: how often does
+each pair stand in the corpus? All pairs that occur but the t - 1 most frequent ones
+are seeds; no text that reaches the least score is without a seed, and the counts decide
+only how much is looked at. Second pass: seeds found in a text propose windows around
+their diagonal, as wide as an alignment of the least score can be; overlapping windows of
+an item are merged, a window with fewer than t of the item's pairs is passed over (its
+score cannot reach the threshold), and the others are aligned.
 
 Test items are taken in blocks of bounded size, each broadcast, so any number of them
 works; texts are read once per pass and block and are never shuffled.
 
-Null and empty texts and items, and items of fewer than ``SEED`` words, match nothing.
+Null and empty texts and items, and items of fewer than ``SHORTEST`` words, match nothing.
 Of items that repeat an id the first text in order counts; repeated documents are
 reported each. Score: matches minus edits over the item's words, at most 1.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -30,11 +34,12 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ratelake.llm.common import pieces, shingles, text_bytes, words
 
-SEED = 3  # words of a seed
-STRETCH = 6  # successive n-grams that give one seed
+SEED = 2  # words of a seed; the bound on unchanged seeds is for pairs
+SHORTEST = 3  # words of an item that can match
 THRESHOLD = 0.4  # least score, as a share of the item's words
 LEAST = 6  # least score, in words
 BLOCK_BYTES = 8 << 20  # item text handled at a time
+SPREAD = 1 << 22  # seed places looked at together
 SCORE_TYPE = "double"
 
 
@@ -53,7 +58,7 @@ def prepare(table: pa.Table) -> Items:
     first = np.searchsorted(rows, np.arange(table.num_rows + 1))
     of_item = [hashes[first[k] : first[k + 1]] for k in range(table.num_rows)]
     g, item, at = shingles(hashes, rows, SEED)
-    whole = np.array([len(w) >= SEED for w in of_item], bool)[item] if len(item) else np.zeros(0, bool)
+    whole = np.array([len(w) >= SHORTEST for w in of_item], bool)[item] if len(item) else np.zeros(0, bool)
     g, item, at = g[whole], item[whole], at[whole]
     grams, gram = np.unique(g, return_inverse=True)
     return Items(table.column("item_id").to_pylist(), of_item, grams, gram, item, at - first[item])
@@ -95,19 +100,16 @@ def frequencies(docs: DataFrame, items: Items) -> np.ndarray:
 
 
 def choose_seeds(items: Items, frequency: np.ndarray) -> np.ndarray:
-    """Positions (into items.gram) of the seeds: the rarest of every stretch among those
-    that occur at all."""
-    never = np.iinfo(np.int64).max
-    frequency = np.where(frequency > 0, frequency, never)
-    chosen = []
+    """Positions (into items.gram) of the seeds: of every item those that occur, without
+    the most frequent ones that an alignment of the least score cannot do with alone."""
+    chosen = [np.zeros(0, np.int64)]
     firsts = np.flatnonzero(np.concatenate([[True], items.item[1:] != items.item[:-1]])) if len(items.item) else []
     for low, high in zip(firsts, [*firsts[1:], len(items.item)]):
         n = frequency[items.gram[low:high]]
-        for a in range(0, max(1, len(n) - STRETCH + 1)):
-            k = a + int(np.argmin(n[a : a + STRETCH]))
-            if n[k] < never:
-                chosen.append(low + k)
-    return np.unique(np.array(chosen, np.int64))
+        there = np.flatnonzero(n)
+        spare = least_seeds(len(items.words[items.item[low]])) - 1
+        chosen.append(low + there[np.argsort(n[there], kind="stable")][: max(0, len(there) - spare)])
+    return np.sort(np.concatenate(chosen))
 
 
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
@@ -131,65 +133,76 @@ def least_score(length: int) -> float:
     return max(LEAST, THRESHOLD * length)
 
 
-def windows_of(items: Items, item: np.ndarray, diagonal: np.ndarray, n_words: int) -> Iterator[tuple[int, int, int]]:
-    """Merged windows (item, first word, after last word) around seed diagonals."""
-    order = np.lexsort([diagonal, item])
-    current: list[int] | None = None
-    for k, d in zip(item[order].tolist(), diagonal[order].tolist()):
-        length = len(items.words[k])
-        pad = length // 2 + 2
-        low, high = max(0, d - pad), min(n_words, d + length + pad)
-        if current and current[0] == k and low <= current[2]:
-            current[2] = max(current[2], high)
-        else:
-            if current:
-                yield tuple(current)
-            current = [k, low, high]
-    if current:
-        yield tuple(current)
+def least_seeds(length: int) -> int:
+    """Item n-grams that an alignment of the least score leaves unchanged, at least."""
+    return max(1, math.ceil(least_score(length)) - 1)
+
+
+def windows_of(
+    items: Items, row: np.ndarray, item: np.ndarray, diagonal: np.ndarray, begins: np.ndarray
+) -> Iterator[tuple[int, int, int, int]]:
+    """Merged windows (row, item, first word, after last word) around seed diagonals."""
+    if len(item) == 0:
+        return
+    order = np.lexsort([diagonal, item, row])
+    row, item, diagonal = row[order], item[order], diagonal[order]
+    length = np.array([len(w) for w in items.words])
+    # An alignment of the least score has at most length - least_score words more than the item.
+    pad = np.array([max(n // 2 + 2, int(n - least_score(n)) + 1) for n in length.tolist()])[item]
+    low = np.maximum(begins[row], diagonal - pad)
+    high = np.minimum(begins[row + 1], diagonal + length[item] + pad)
+    new = np.ones(len(item), bool)
+    new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (low[1:] > high[:-1])
+    first = np.flatnonzero(new)
+    last = np.concatenate([first[1:], [len(item)]]) - 1
+    yield from zip(row[first].tolist(), item[first].tolist(), low[first].tolist(), high[last].tolist())
 
 
 def _hits(docs: DataFrame, items: Items, seeds: np.ndarray) -> DataFrame:
-    order = np.argsort(items.gram[seeds], kind="stable")
-    seeds = seeds[order]
-    used, first = np.unique(items.gram[seeds], return_index=True)
-    last = np.concatenate([first[1:], [len(seeds)]]).astype(np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (items, items.grams[used], first, last, items.item[seeds], items.place[seeds])
-    )
+    seeds = seeds[np.argsort(items.gram[seeds], kind="stable")]
+    bounds = np.searchsorted(items.gram[seeds], np.arange(len(items.grams) + 1))
+    shared = docs.sparkSession.sparkContext.broadcast((items, bounds, items.item[seeds], items.place[seeds]))
     names = ["doc_id", "item_id", "score", "first_word", "last_word"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, grams, first, last, seed_item, seed_place = shared.value
+        items, bounds, seed_item, seed_place = shared.value
+        cuts = np.searchsorted(items.item, np.arange(len(items.words) + 1))
+        mark = np.zeros(len(items.grams), bool)
         for batch in pieces(batches, "text"):
             hashes, rows, _, _ = words(*text_bytes(batch.column("text")))
             g, row, at = shingles(hashes, rows, SEED)
-            hit, which = _find(grams, g)
-            out: list[list] = [[] for _ in names]
+            hit, which = _find(items.grams, g)
+            row, at = row[hit], at[hit]
             begins = np.searchsorted(rows, np.arange(batch.num_rows + 1))
-            ids = batch.column("doc_id")
-            for r in np.unique(row[hit]).tolist():
-                mine = row[hit] == r if batch.num_rows > 1 else np.ones(len(hit), bool)
-                text = hashes[begins[r] : begins[r + 1]]
-                if len(text) < SEED:
-                    continue
-                place, gram = at[hit[mine]] - begins[r], which[mine]
-                width = last[gram] - first[gram]
-                spread = np.repeat(first[gram], width) + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
-                diagonal = np.repeat(place, width) - seed_place[spread]
-                best: dict[int, tuple] = {}
-                for k, low, high in windows_of(items, seed_item[spread], diagonal, len(text)):
-                    item, window = items.words[k], text[low:high]
-                    need = least_score(len(item))
-                    if np.isin(item, window).sum() < need:
+            best: dict[tuple[int, int], tuple] = {}
+            total = np.concatenate([[0], np.cumsum(bounds[which + 1] - bounds[which])])
+            a = 0
+            while a < len(hit):
+                b = max(a + 1, int(np.searchsorted(total, total[a] + SPREAD, "right")) - 1)
+                gram = which[a:b]
+                width = bounds[gram + 1] - bounds[gram]
+                spread = np.repeat(bounds[gram] - total[a:b], width) + np.arange(total[a], total[b])
+                diagonal = np.repeat(at[a:b], width) - seed_place[spread]
+                for r, k, low, high in windows_of(items, np.repeat(row[a:b], width), seed_item[spread], diagonal, begins):
+                    item = items.words[k]
+                    inside = which[slice(*np.searchsorted(at, [low, high - 1]))]
+                    mark[inside] = True
+                    unchanged = np.count_nonzero(mark[items.gram[cuts[k] : cuts[k + 1]]])
+                    mark[inside] = False
+                    if unchanged < least_seeds(len(item)):
                         continue
+                    window = hashes[low:high]
                     score, end = align(item, window)
-                    if score >= need and (k not in best or score > best[k][0]):
+                    if score >= least_score(len(item)) and ((r, k) not in best or score > best[r, k][0]):
                         _, back = align(item[::-1], window[: end + 1][::-1])
-                        best[k] = (score, low + end - back, low + end)
-                for k, (score, begin, end) in best.items():
-                    for column, value in zip(out, [ids[r].as_py(), items.ids[k], score / len(items.words[k]), begin, end]):
-                        column.append(value)
+                        start = low - begins[r]
+                        best[r, k] = (score, start + end - back, start + end)
+                a = b
+            out: list[list] = [[] for _ in names]
+            ids = batch.column("doc_id")
+            for (r, k), (score, begin, end) in best.items():
+                for column, value in zip(out, [ids[r].as_py(), items.ids[k], score / len(items.words[k]), begin, end]):
+                    column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(out, kinds)], names)
 
     id_type = docs.schema["doc_id"].dataType

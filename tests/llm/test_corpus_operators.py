@@ -139,6 +139,21 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(frame(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_decontamination_edited_beside_verbatim(spark):
+    """A verbatim copy in the corpus does not hide edited ones, nor they each other."""
+    rng = np.random.default_rng(16)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 4))
+    item = [word() for _ in range(40)]
+    edits = [[w if (at + shift) % k else word() for at, w in enumerate(item)] for k in range(4, 9) for shift in range(k)]
+    inserted = [w for at in range(0, 40, 2) for w in (*item[at : at + 2], word())][:-1]
+    texts = [item, inserted, *edits]
+    docs = [(k, " ".join([word() for _ in range(60)] + t + [word() for _ in range(30)])) for k, t in enumerate(texts)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: round(r["score"] * 40) for r in decontaminate.contaminated(frame(spark, docs), bench).collect()}
+    wanted = {k: brute_alignment(item, d.split()) for k, (_, d) in enumerate(docs)}
+    assert got == {k: s for k, s in wanted.items() if s >= 16} and set(got) == set(range(len(docs)))
+
+
 def brute_alignment(a, b):
     best = 0
     h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
