@@ -17,7 +17,9 @@ works; texts are read once per pass and block and are never shuffled.
 
 Null and empty texts and items, and items of fewer than ``SHORTEST`` words, match nothing.
 Of items that repeat an id the first text in order counts; repeated documents are
-reported each. Score: matches minus edits over the item's words, at most 1.
+reported each. Score: matches minus edits over the item's words, at most 1. A hit has
+a score of ``THRESHOLD`` and ``LEAST`` words; an item of fewer words is hit by a verbatim
+copy, and a long one by ``EXCERPT`` words of matches minus edits, whatever its score.
 """
 
 from __future__ import annotations
@@ -37,7 +39,8 @@ from ratelake.llm.common import pieces, shingles, text_bytes, words
 SEED = 2  # words of a seed; the bound on unchanged seeds is for pairs
 SHORTEST = 3  # words of an item that can match
 THRESHOLD = 0.4  # least score, as a share of the item's words
-LEAST = 6  # least score, in words
+LEAST = 6  # least score, in words, of items that have so many
+EXCERPT = 50  # score, in words, that is enough whatever the item's length
 BLOCK_BYTES = 8 << 20  # item text handled at a time
 SPREAD = 1 << 22  # seed places looked at together
 SCORE_TYPE = "double"
@@ -130,7 +133,7 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
 
 
 def least_score(length: int) -> float:
-    return max(LEAST, THRESHOLD * length)
+    return min(max(min(LEAST, length), THRESHOLD * length), EXCERPT)
 
 
 def least_seeds(length: int) -> int:

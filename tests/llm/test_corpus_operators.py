@@ -154,6 +154,16 @@ def test_decontamination_edited_beside_verbatim(spark):
     assert got == {k: s for k, s in wanted.items() if s >= 16} and set(got) == set(range(len(docs)))
 
 
+def test_decontamination_short_items_and_excerpts(spark):
+    items = [(k, " ".join(f"s{k}x{j}" for j in range(k))) for k in (2, 3, 4, 5)] + [(300, " ".join(f"p{j}" for j in range(300)))]
+    passage = items[-1][1].split()
+    docs = [(k, f"before it {t} and after") for k, t in items[:-1]]
+    docs += [(10, "s4x0 s4x1 s4x2 other"), (11, " ".join(["a", *passage[90:190], "b"])), (12, " ".join(["a", *passage[90:139], "b"]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], round(r["score"] * r["item_id"])) for r in decontaminate.contaminated(frame(spark, docs), bench).collect()}
+    assert got == {(3, 3, 3), (4, 4, 4), (5, 5, 5), (11, 300, 100)}
+
+
 def brute_alignment(a, b):
     best = 0
     h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
