@@ -105,6 +105,20 @@ def test_repeats(spark, seed):
     assert repeats.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_repeats_of_like_hashes(spark):
+    """Different strings filed under one key whose hashes agree in their high 32 bits."""
+    pairs = [
+        ("oycwwebtazbgyvyxkpqzddrwecsgtywytptvwywnvwmuievcef", "wfbvuwlplheinhpxkpqzddrwecsgtywytptghkyyvsfqiewsll"),
+        ("upicwaieavirhccxkpqzddrwecsgtywytptlhzqyzgqlneijmd", "xgpgytphupkunflxkpqzddrwecsgtywytptrpfghviyfvtynvr"),
+    ]
+    rows = [(2 * k + n, t) for k, pair in enumerate(pairs) for n, t in enumerate(pair)] + [(9, pairs[0][1])]
+    got = repeats.remove_repeats(frame(spark, rows), "digest").collect()
+    assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == brute_repeats(rows)
+    for pair in pairs:  # alone, so that no other stretch of the key calls for their bytes
+        got = repeats.remove_repeats(frame(spark, list(enumerate(pair))), "digest").collect()
+        assert [r["n_removed"] for r in got] == [0, 0]
+
+
 def test_crowded_windows_are_the_index():
     """The two ways to settle stretches give the same answers."""
     rng = np.random.default_rng(3)
