@@ -20,6 +20,8 @@ CLOSES = {t: {"p"} for t in BLOCK - {"html", "body", "td", "th", "tr", "caption"
     "td": {"p", "td", "th"}, "th": {"p", "td", "th"}, "option": {"option"},
     "tbody": {"p", "tr", "td", "th", "thead", "tbody"}, "tfoot": {"p", "tr", "td", "th", "thead", "tbody"},
 }
+# What may stand in a head; anything else ends one that is open.
+IN_HEAD = set("head html base basefont bgsound link meta title noscript noframes style script template".split())
 BORDER = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
           "tbody": {"table"}, "tfoot": {"table"}}
 SCOPE = {"table", "td", "th", "caption", "button", "html", "body"}
@@ -78,7 +80,17 @@ class _Parser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.top = Node("body", [], None)
 
+    def _leave_head(self, deep: bool) -> None:
+        """The head's end tag may be left out; ``deep``: also from an element open in it."""
+        at = self.top
+        while deep and at.parent is not None and at.tag not in ("head", "template"):
+            at = at.parent
+        if at.tag == "head":
+            self.top = at.parent
+
     def handle_starttag(self, tag, attrs):
+        if tag not in IN_HEAD:
+            self._leave_head(tag == "body")
         ends = CLOSES.get(tag)
         if ends:
             border = BORDER.get(tag, SCOPE)
@@ -107,6 +119,8 @@ class _Parser(HTMLParser):
             self.top = at.parent
 
     def handle_data(self, data):
+        if self.top.tag == "head" and data.strip():
+            self._leave_head(False)
         self.top.items.append(data)
 
 

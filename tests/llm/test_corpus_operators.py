@@ -240,6 +240,22 @@ def test_pages(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+def test_pages_without_head_end():
+    """The end tag of head may be left out, with or without a body tag after it."""
+    import ratelake.llm.dom as dom
+
+    def text(page):
+        return [t for _, t in dom.Page(page).blocks]
+
+    wanted = text(PAGE)
+    assert wanted[1:] == ["Main & title", "First paragraph of the text, with bold words.", "Second one, unclosed.", "© nobody"]
+    assert text(PAGE.replace("</head>", "")) == text(PAGE.replace("</head><body>", "")) == wanted
+    head = "<html><head><title>t</title><meta charset=utf-8><noscript><div>on</div></noscript><script>var a</script><template><p>x</p></template>"
+    for rest in ("<body><p>a</p>", "<article><p>a</p></article>", "<span>a</span>", "\n a", "</head><body>a", "<noscript><body>a"):
+        assert text(head + rest) == ["a"]
+    assert text(head + "</head></html>") == text(head) == []
+
+
 def test_layouts_never_seen():
     """Trees trained on some layouts sort the blocks of others."""
     rng = np.random.default_rng(12)
