@@ -121,3 +121,73 @@ def main_text(spark, sf_dir):
     from ratelake.llm.html import extract
 
     return extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query("op11_pii")
+def personal_data(spark, sf_dir):
+    from ratelake.llm import pii
+
+    return pii.digest(pii.find(read(spark, sf_dir, "documents")))
+
+
+def _rounds_sql(k: int = 16, rounds: int = 3, dim: int = 64) -> str:
+    """The rounds of op12 spelled out: an assignment and its centroids per round."""
+    floor_div = "(s - ((s % n) + n) % n) // n"
+    steps = [f"""q AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {dim}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dim}),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR))) - 1 AS c, v
+  FROM q ORDER BY 1 LIMIT {k})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, d * {k} + c) AS c, min(d) AS d FROM (
+    SELECT q.r, c0.c, list_sum(list_transform(list_zip(q.v, c0.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM q, c{i} AS c0) GROUP BY r)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (
+  SELECT c, list(m ORDER BY j) AS v FROM (
+    SELECT c, j, {floor_div} AS m FROM (
+      SELECT c, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (
+        SELECT a.c, unnest(q.v) AS x, generate_subscripts(q.v, 1) AS j FROM q JOIN a{i} AS a USING (r)) GROUP BY c, j))
+  GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (c))""")
+    return f"""WITH {', '.join(steps)}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, a.d AS distance,
+  CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(z.v, ',')) AS centroid_sha256
+FROM q JOIN a{rounds} AS a USING (r) JOIN c{rounds} AS z ON z.c = a.c"""
+
+
+@query("op12_centroids", _rounds_sql())
+def centroid_clusters(spark, sf_dir):
+    from ratelake.llm.centroids import cluster
+
+    return cluster(read(spark, sf_dir, "embeddings"))
+
+
+@query("op13_hard_negatives", """WITH good AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM good AS a JOIN good AS b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+FROM positives AS p JOIN scored AS s ON p.anchor_id = s.anchor_id AND NOT s.same
+  AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10""")
+def hard_negatives(spark, sf_dir):
+    from ratelake.llm import negatives
+
+    vec_id, label = F.col("vec_id"), F.col("label")
+    shifted = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(read(spark, sf_dir, "embeddings"), vec_id % 100 == 0, shifted)
