@@ -55,7 +55,12 @@ BRACKET_EPSILON = 1e-9
 # Row cap of one series request.
 SERIES_LENGTH = 500
 
+# Names of the documents of a run folder.
 DELTA_FILE = "fsc_delta_records.jsonl"
+MANIFEST_FILE = "run_manifest.json"
+SNAPSHOT_FILE = "parsed.json"
+META_FILE = "meta.json"
+RESPONSE_FILE = "extraction_response.json"
 
 # Categories of a parity report.
 MISSING, EXTRA = "MISSING_IN_LLM", "EXTRA_IN_LLM"

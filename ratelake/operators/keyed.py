@@ -18,7 +18,7 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def _any_null(keys: list[str]) -> Column:
+def any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
@@ -29,7 +29,7 @@ def absent_rows(
 
     Keys holding a NULL never conflict, neither in the batch nor with the table.
     """
-    null_key = _any_null(keys)
+    null_key = any_null(keys)
     fresh = first_per_key(incoming.filter(~null_key), keys, order).join(
         existing.select(*keys), keys, "left_anti"
     )

@@ -24,6 +24,6 @@ REGISTRY = Registry()
 
 
 def load_all() -> Registry:
-    from ratelake.plans import gates, pages, rates, runs, scalars, streams  # noqa: F401
+    from ratelake.plans import folders, gates, pages, rates, runs, scalars, streams  # noqa: F401
 
     return REGISTRY

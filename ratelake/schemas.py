@@ -63,13 +63,17 @@ CHILD = (
     "parsed_path STRING, changes_path STRING, status STRING, "
     f"error {ERROR}, effective_date_hint STRING>"
 )
+SOURCE = (
+    "STRUCT<source_id STRING, carrier STRING, mode STRING, status STRING, "
+    "captured_at STRING, snapshot_dir STRING, parsed_path STRING, discovery_path STRING, "
+    f"changes_path STRING, error {ERROR}, child_artifacts ARRAY<{CHILD}>>"
+)
 MANIFEST = (
     "schema_version STRING, run_id STRING, out_dir STRING, run_dir STRING, "
-    "registry_path STRING, started_at STRING, ended_at STRING, "
-    "sources ARRAY<STRUCT<source_id STRING, carrier STRING, mode STRING, status STRING, "
-    "captured_at STRING, snapshot_dir STRING, parsed_path STRING, discovery_path STRING, "
-    f"changes_path STRING, error {ERROR}, child_artifacts ARRAY<{CHILD}>>>"
+    f"registry_path STRING, started_at STRING, ended_at STRING, sources ARRAY<{SOURCE}>"
 )
+# A manifest held as lines: its head, then one line per source with its place.
+MANIFEST_LINE = f"{MANIFEST}, position INT, source {SOURCE}"
 
 DISCOVERED = (
     "schema_version STRING, carrier STRING, source_id STRING, captured_at STRING, "
@@ -89,6 +93,36 @@ APPLIED = (
     "fuel_price DECIMAL(12,4), fuel_index STRING, reason STRING, source_run_id STRING"
 )
 
+# The tables a run is loaded into.
+RUN_TABLES = {
+    "runs": (
+        "run_id STRING, out_dir STRING, run_dir STRING, registry_path STRING, started_at TIMESTAMP, ended_at TIMESTAMP"
+    ),
+    "run_sources": (
+        "run_id STRING, source_id STRING, carrier STRING, mode STRING, status STRING, captured_at TIMESTAMP, "
+        f"snapshot_dir STRING, parsed_path STRING, discovery_path STRING, changes_path STRING, error {ERROR}"
+    ),
+    "child_artifacts": (
+        "run_id STRING, parent_source_id STRING, source_id STRING, url STRING, captured_at TIMESTAMP, "
+        "snapshot_dir STRING, parsed_path STRING, changes_path STRING, status STRING, "
+        f"effective_date_hint STRING, error {ERROR}"
+    ),
+    "snapshots": (
+        "run_id STRING, source_id STRING, captured_at TIMESTAMP, carrier STRING, source_url STRING, "
+        "content_type STRING, effective_date STRING, "
+        "parser_diagnostics STRUCT<structural_error BOOLEAN, messages ARRAY<STRING>>, parsed_json STRING"
+    ),
+    "rate_tables": (
+        "run_id STRING, source_id STRING, captured_at TIMESTAMP, table_index INT, program STRING, "
+        "effective_date STRING, bracket_count INT"
+    ),
+    "rate_brackets": (
+        "run_id STRING, source_id STRING, captured_at TIMESTAMP, table_index INT, bracket_index INT, "
+        "bracket_id STRING, index_range STRING, min_index DECIMAL(12,4), max_index DECIMAL(12,4), "
+        "surcharge_percent DECIMAL(12,4), surcharge_text STRING"
+    ),
+}
+
 # Unique keys of the flat tables (insert-if-absent and replace-by-key use them).
 KEYS = {
     "runs": ["run_id"],

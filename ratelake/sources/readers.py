@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ratelake import fixed, schemas
 from ratelake.operators.gate import DELTA_RULES, REGISTRY_RULES, SNAPSHOT_RULES, assert_valid
@@ -23,6 +24,11 @@ def _or_empty(read: Callable[[], DataFrame], spark: SparkSession, schema: str) -
         return spark.createDataFrame([], schema)
 
 
+def column_names(ddl: str) -> list[str]:
+    """Column names of a schema text."""
+    return StructType.fromDDL(ddl).fieldNames()
+
+
 def read_json_documents(spark: SparkSession, path: str, schema: str, name: str | None = None) -> DataFrame:
     """One row per JSON document; ``name`` picks files of that name at any depth.
 
@@ -75,17 +81,30 @@ def read_json_lines(
     )
 
 
+def decoded_path(file_path: Column) -> Column:
+    """A file path as it is named in its store, without scheme and host."""
+    plain = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+
+
+def _segment(part: Column) -> Column:
+    """A path segment, or the value of a ``name=value`` one as partitioned writes leave it."""
+    named = part.rlike("^[a-z_]+=")
+    value = F.url_decode(F.replace(F.regexp_replace(part, "^[a-z_]+=", ""), F.lit("+"), F.lit("%2B")))
+    return F.when(named, value).otherwise(part)
+
+
 def path_keys(file_path: Column, area: str) -> Column:
-    """Carrier, source and capture time from ``…/{area}/{carrier}/{source}/{captured_at}/file``;
-    NULL when the path is too short."""
-    below = F.element_at(F.split(file_path, f"/{area}/"), -1)
-    parts = F.split(F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B"))), "/")
+    """Carrier, source and capture time from ``…/{area}/{carrier}/{source}/{captured_at}/file``
+    (segments may read ``name=value``); NULL when the path is too short."""
+    plain = decoded_path(file_path)
+    parts = F.split(F.element_at(F.split(plain, f"/{area}/"), -1), "/")
     return F.when(
-        F.contains(file_path, F.lit(f"/{area}/")) & (F.size(parts) >= 4),
+        F.contains(plain, F.lit(f"/{area}/")) & (F.size(parts) >= 4),
         F.struct(
-            F.get(parts, F.lit(0)).alias("carrier"),
-            F.get(parts, F.lit(1)).alias("source_id"),
-            F.get(parts, F.lit(2)).alias("captured_at"),
+            _segment(F.get(parts, F.lit(0))).alias("carrier"),
+            _segment(F.get(parts, F.lit(1))).alias("source_id"),
+            _segment(F.get(parts, F.lit(2))).alias("captured_at"),
         ),
     )
 
@@ -95,6 +114,24 @@ def with_path_keys(files: DataFrame, area: str) -> DataFrame:
     return keyed.select("*", "_k.*").drop("_k")
 
 
+def read_artifacts(spark: SparkSession, run_dir: str, area: str, name: str) -> DataFrame:
+    """Documents ``name`` of an area of a run folder: ``value``, ``file_path``, and the
+    ``document_path`` that a manifest names them by.
+
+    Either whole files of that name, or the part files that
+    :func:`~ratelake.sources.writers.write_artifacts` leaves in a folder ``file={name}``.
+    """
+    root = f"{run_dir}/{area}"
+    parts = _or_empty(
+        lambda: spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").text(root)
+        .filter(F.contains(F.col("_metadata.file_path"), F.lit(f"/file={name}/")))
+        .select("value", F.col("_metadata.file_path").alias("file_path")),
+        spark, "value STRING, file_path STRING",
+    ).filter(F.trim("value") != "")
+    both = read_text_documents(spark, root, name).unionByName(parts)
+    return both.withColumn("document_path", F.regexp_replace(decoded_path(F.col("file_path")), f"(/file={name})/part-[^/]*$", "$1"))
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """Validated registry rows; an invalid registry fails the job with all errors."""
     text = read_text_documents(spark, path)
@@ -103,8 +140,42 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return parsed.select(F.explode("_r.sources").alias("_s")).select("_s.*")
 
 
+def failing(df: DataFrame, broken: Column, message: Column) -> DataFrame:
+    """``df``; a row that is ``broken`` fails the job with its message."""
+    return df.filter(F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:
-    return read_json_documents(spark, path, schemas.MANIFEST, "run_manifest.json")
+    """The manifest of the run folder at ``path`` and those of run folders right below it:
+    ``run_manifest.json`` as one document, or as a folder of part files with one text per
+    line (:func:`~ratelake.sources.manifests.write_manifests`).
+
+    A row is a manifest, or a line of one: ``sources`` then holds the line's source, if
+    any, and ``position`` its place; ``is_head`` marks the one row of a run that describes
+    it. ``base`` is the folder of the run. Text that is no manifest fails the job.
+    """
+    found = spark.createDataFrame([], "value STRING, file_path STRING")
+    for root in (f"{path}/{fixed.MANIFEST_FILE}", f"{path}/*/{fixed.MANIFEST_FILE}"):
+        for name, whole in ((fixed.MANIFEST_FILE, True), ("part-*", False)):
+            found = found.unionByName(_or_empty(
+                lambda root=root, name=name, whole=whole: spark.read.option("pathGlobFilter", name)
+                .text(root, wholetext=whole).select("value", F.col("_metadata.file_path").alias("file_path")),
+                spark, "value STRING, file_path STRING",
+            ))
+    documents = found.filter(F.trim("value") != "")
+    parsed = F.from_json("value", f"{schemas.MANIFEST_LINE}, _broken STRING", {"columnNameOfCorruptRecord": "_broken"})
+    parsed = documents.select("file_path", parsed.alias("_m")).select("file_path", "_m.*")
+    parsed = failing(
+        parsed, F.col("_broken").isNotNull() | F.col("run_id").isNull(),
+        F.concat(F.lit("Invalid manifest at "), F.col("file_path")),
+    )
+    own = F.col("source")
+    return parsed.select(
+        *[c for c in column_names(schemas.MANIFEST) if c != "sources"],
+        F.when(own.isNotNull(), F.array(own)).otherwise(F.col("sources")).alias("sources"),
+        F.coalesce("position", F.lit(0)).alias("position"), own.isNull().alias("is_head"), "file_path",
+        F.substring_index("file_path", f"/{fixed.MANIFEST_FILE}", 1).alias("base"),
+    )
 
 
 def manifest_runs(manifests: DataFrame, now: Column) -> DataFrame:
@@ -112,19 +183,26 @@ def manifest_runs(manifests: DataFrame, now: Column) -> DataFrame:
     def time(c: str) -> Column:
         return F.coalesce(F.col(c).try_cast("timestamp"), now).alias(c)
 
-    return manifests.select("run_id", "out_dir", "run_dir", "registry_path", time("started_at"), time("ended_at"))
+    heads = manifests.filter("is_head")
+    return heads.select("run_id", "out_dir", "run_dir", "registry_path", time("started_at"), time("ended_at"))
 
 
 def manifest_sources(manifests: DataFrame) -> DataFrame:
-    rows = manifests.select("run_id", F.explode("sources").alias("_s")).select("run_id", "_s.*")
-    return rows.withColumn("captured_at", F.col("captured_at").try_cast("timestamp"))
+    """Sources of the manifests with their place; ``captured_text`` is the time as written."""
+    rows = manifests.select("run_id", "base", "position", F.posexplode("sources").alias("_i", "_s"))
+    return rows.select(
+        "run_id", "base", (F.col("position") + F.col("_i")).alias("position"), "_s.*", F.col("_s.captured_at").alias("captured_text")
+    ).withColumn("captured_at", F.col("captured_at").try_cast("timestamp"))
 
 
 def manifest_children(sources: DataFrame, now: Column) -> DataFrame:
     """Rows of the child artifacts table, from rows of :func:`manifest_sources`."""
     rows = sources.select(
-        "run_id", F.col("source_id").alias("parent_source_id"), F.explode("child_artifacts").alias("_c")
-    ).select("run_id", "parent_source_id", "_c.*")
+        "run_id", "base", "position", F.col("source_id").alias("parent_source_id"),
+        F.posexplode("child_artifacts").alias("child_position", "_c"),
+    ).select(
+        "run_id", "base", "position", "child_position", "parent_source_id", "_c.*", F.col("_c.captured_at").alias("captured_text")
+    )
     return rows.withColumn("captured_at", F.coalesce(F.col("captured_at").try_cast("timestamp"), now))
 
 

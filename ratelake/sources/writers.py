@@ -20,6 +20,13 @@ def write_documents(df: DataFrame, document: str, path: str, partition_by: list[
     out.write.mode("overwrite").partitionBy(*partition_by).text(path)
 
 
+def write_artifacts(df: DataFrame, value: str, path: str) -> None:
+    """Documents of a run folder's area, one line each, in folders
+    ``carrier=…/source_id=…/captured_at=…/file=…`` by those columns of ``df``."""
+    keys = ["carrier", "source_id", "captured_at", "file"]
+    df.select(*keys, F.col(value).alias("value")).write.mode("append").partitionBy(*keys).text(path)
+
+
 def write_deltas(deltas: DataFrame, path: str) -> None:
     """Delta feed as JSON lines; a record holds all its fields, and no rows give an empty feed."""
     deltas.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
