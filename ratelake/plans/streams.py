@@ -63,7 +63,7 @@ def deduplicated(spark, sf_dir):
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     keys = ["series_id", "user_id", "period"]
     stream_dedup(
-        stream, keys, [F.col("seen_at").asc()], f"{base}/rows", f"{base}/checkpoint", ["period"]
+        stream, keys, ["seen_at"], f"{base}/rows", f"{base}/checkpoint", ["period"]
     ).awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{base}/rows").select(*keys)
 

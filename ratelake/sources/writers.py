@@ -52,18 +52,41 @@ def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
         return like.limit(0)
 
 
+LITERAL_PARTITIONS = 1000  # partitions that a batch names one by one
+
+
+def touched_rows(existing: DataFrame, incoming: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows of a stored table in the partitions that ``incoming`` touches.
+
+    Up to LITERAL_PARTITIONS of them are named in the filter, so that only their folders
+    are listed and read; a batch that touches more is joined on their values.
+    """
+    values = incoming.select(*partition_by).distinct()
+    names = values.limit(LITERAL_PARTITIONS + 1).collect()
+    if len(names) > LITERAL_PARTITIONS:
+        return existing.join(values, list(partition_by), "left_semi")
+    if len(partition_by) == 1:
+        return existing.filter(F.col(partition_by[0]).isin([r[0] for r in names if r[0] is not None]))
+    here = F.lit(False)
+    for row in names:
+        one = F.lit(True)
+        for name, value in zip(partition_by, row):
+            one &= F.col(name) == F.lit(value)
+        here |= one
+    return existing.filter(here)
+
+
 def append_absent(
     incoming: DataFrame, path: str, keys: list[str], order: list[Column], partition_by: list[str] = ()
 ) -> None:
     """Insert-if-absent into the Parquet table at ``path``: only new rows are written.
 
-    ``partition_by`` must be among ``keys``; the table is read in the partitions that
-    ``incoming`` touches (pruned as the planner sees fit).
+    ``partition_by`` must be among ``keys``; then only the partitions that ``incoming``
+    touches are read.
     """
-    spark = incoming.sparkSession
-    existing = stored(spark, path, incoming)
+    existing = stored(incoming.sparkSession, path, incoming)
     if partition_by:
-        existing = existing.join(incoming.select(*partition_by).distinct(), list(partition_by), "left_semi")
+        existing = touched_rows(existing, incoming, partition_by)
     fresh = absent_rows(existing, incoming, keys, order)
     fresh.write.mode("append").partitionBy(*partition_by).parquet(path)
 

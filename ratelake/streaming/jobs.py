@@ -3,18 +3,42 @@
 Results are Parquet tables and checkpoints live in the cluster's shared folder,
 so a restarted job goes on where it stopped. Batches may be replayed after a
 failure; every sink here gives the same table when they are.
+
+What a job must remember of all earlier rows is keyed state in RocksDB, so a batch
+costs what it brings and no stored table is read again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from bisect import bisect_left, insort
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StringType, StructType
 
-from ratelake.operators.diff import ID, snapshot_diff, snapshot_pairs
-from ratelake.operators.keyed import first_per_key
+from ratelake.functions.dates import parse_timestamp
+from ratelake.operators.diff import ID, snapshot_diff
+from ratelake.operators.keyed import any_null
 from ratelake.operators.normalize import normalize
-from ratelake.sources.writers import append_absent, stored
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Keyed state needs this store; a query keeps the settings it was started with."""
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before)
 
 
 def stream_normalize(captures: DataFrame, raw: str, path: str, checkpoint: str) -> StreamingQuery:
@@ -29,81 +53,182 @@ def stream_normalize(captures: DataFrame, raw: str, path: str, checkpoint: str)
     )
 
 
+class _FirstArrival(StatefulProcessor):
+    """Emits the first row of a key once, and remembers that the key was there."""
+
+    def __init__(self, order: list[str]):
+        self.order = order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "seen boolean")
+
+    def _place(self, row: Row) -> list:
+        return [(True, 0) if row[name] is None else (False, row[name]) for name in self.order]
+
+    def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
+        if not self.seen.exists():
+            self.seen.update((True,))
+            yield min(rows, key=self._place)
+
+    def handleInitialState(self, key, initial_state, timer_values) -> None:
+        self.seen.update((True,))
+
+    def close(self) -> None:
+        pass
+
+
 def stream_dedup(
-    rows: DataFrame, keys: list[str], order: list[Column], path: str, checkpoint: str, partition_by: list[str] = ()
+    rows: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str,
+    partition_by: list[str] = (), existing: DataFrame | None = None,
 ) -> StreamingQuery:
-    """First arrival of every key, however late it comes: of one batch the first row
-    under ``order``, of several batches the earliest batch's.
+    """Insert-if-absent for ever: the first arrival of every key, however late it comes,
+    appended to the table at ``path``.
 
-    With ``partition_by`` (of the keys) a batch is compared with the partitions of
-    the table that it touches only.
+    Of one batch the row that is first by the columns ``order`` counts (nulls last), of
+    several batches the earliest batch's. Keys with a null never conflict. ``existing``
+    holds rows whose keys are taken before the first batch.
     """
-
-    def write(batch: DataFrame, _: int) -> None:
-        append_absent(batch, path, keys, order, partition_by)
-
-    return (
-        rows.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    spark = rows.sparkSession
+    null_key = any_null(keys)
+    start = None if existing is None else existing.select(*keys).distinct().groupBy(*keys)
+    first = rows.filter(~null_key).groupBy(*keys).transformWithState(
+        _FirstArrival(list(order)), rows.schema, "Append", "None", start
     )
+    with _rocksdb(spark):
+        return (
+            first.unionByName(rows.filter(null_key))
+            .writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
+            .option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
 
 
-SOURCE_BUCKETS = 64  # folders that the sources of a history are spread over
+_VERSION = "instant bigint, run_id string, captured_text string, structural_error boolean, tie bigint, tables string"
+_PAIRED = f"carrier string, source_id string, {_VERSION}, prior_run_id string, prior_text string, prior_tables string"
+
+
+class _Versions(StatefulProcessor):
+    """The versions of one source: their ids in order of capture as one small value, their
+    tables by id. Emits every new version with the latest earlier one of another run."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.ids = handle.getValueState("ids", "ids string")
+        self.tables = handle.getMapState("tables", "id string", "tables string")
+
+    def _known(self) -> list[list]:
+        return json.loads(self.ids.get()[0]) if self.ids.exists() else []
+
+    def _keep(self, known: list[list], row: Row) -> None:
+        # Versions without a time come first and are prior to none.
+        insort(known, [-1 << 62 if row["instant"] is None else row["instant"], row["run_id"], row["captured_text"]])
+        self.tables.updateValue((self._id(row["run_id"], row["captured_text"]),), (row["tables"],))
+
+    @staticmethod
+    def _id(run_id: str, text: str) -> str:
+        return json.dumps([run_id, text])
+
+    @staticmethod
+    def _prior(known: list[list], row: Row) -> list | None:
+        if row["instant"] is None:
+            return None
+        at, found = bisect_left(known, [row["instant"]]) - 1, None
+        while at >= 0 and known[at][0] > -1 << 62 and (found is None or known[at][0] == found[0]):
+            if known[at][1] != row["run_id"]:
+                found = known[at]
+            at -= 1
+        return found
+
+    def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
+        known = self._known()
+        taken = {(run, text) for _, run, text in known}
+        new = {}
+        for row in sorted(rows, key=lambda r: (r["structural_error"], r["tie"])):
+            if (row["run_id"], row["captured_text"]) not in taken:
+                taken.add((row["run_id"], row["captured_text"]))
+                new[(row["run_id"], row["captured_text"])] = row
+        for row in new.values():
+            self._keep(known, row)
+        if new:
+            self.ids.update((json.dumps(known),))
+        for row in new.values():
+            prior = self._prior(known, row)
+            old = dict.fromkeys(["prior_run_id", "prior_text", "prior_tables"])
+            if prior is not None:
+                tables = self.tables.getValue((self._id(prior[1], prior[2]),))[0]
+                old = {"prior_run_id": prior[1], "prior_text": prior[2], "prior_tables": tables}
+            yield Row(**row.asDict(), **old)
+
+    def handleInitialState(self, key, initial_state, timer_values) -> None:
+        known = self._known()
+        self._keep(known, initial_state)
+        self.ids.update((json.dumps(known),))
+
+    def close(self) -> None:
+        pass
+
+
+def _versions(snapshots: DataFrame) -> DataFrame:
+    """Snapshots as rows of state: times as instants, tables as text."""
+    text = isinstance(snapshots.schema["captured_at"].dataType, StringType)
+    at = parse_timestamp(F.col("captured_at")) if text else F.col("captured_at").cast("timestamp")
+    tables = F.to_json("tables", {"ignoreNullFields": "false"})
+    return snapshots.select(
+        "carrier", "source_id", F.unix_micros(at).alias("instant"), F.col("run_id").cast("string").alias("run_id"),
+        F.col("captured_at").cast("string").alias("captured_text"), "structural_error", F.xxhash64(tables).alias("tie"),
+        tables.alias("tables"),
+    )
 
 
 def stream_delta(
-    snapshots: DataFrame, history: str, out: str, checkpoint: str, bucket: Column | None = None
+    snapshots: DataFrame, history: str, out: str, checkpoint: str, known: DataFrame | None = None
 ) -> StreamingQuery:
-    """Deltas of arriving snapshots against the stored ones.
+    """Deltas of arriving snapshots against the ones before them.
 
     ``snapshots`` streams one row per snapshot: ID, structural_error and ``tables``, an
     array of (program, table_index, effective_date, brackets); an element of brackets
     may carry its own bracket_index, else its position counts. So a snapshot is always
-    complete, and one whose id is already stored is ignored.
-
-    A batch is diffed with the versions already stored and with its own earlier ones,
-    in capture order; a late snapshot is diffed with what precedes it and rewrites
-    nothing. History is stored by a hash of the source, so a batch reads the folders
-    of its own sources only. Each batch has its own folder in both tables, so a
-    replay overwrites itself.
+    complete, and one whose id was there already is ignored.
+
+    Every source's versions are state. A batch is diffed with the versions known and with
+    its own earlier ones, in capture order; a late snapshot is diffed with what precedes
+    it and rewrites nothing. So a batch reads the versions it is compared with, whatever
+    the length of the history. ``known`` holds snapshots that were there before the first
+    batch. Both tables, ``history`` (each version beside the one before it) and ``out``
+    (delta records), have a folder per batch, so a replay overwrites itself.
     """
+    spark = snapshots.sparkSession
+    kind = snapshots.schema["tables"].dataType
+    own_index = "bracket_index" in kind.elementType["brackets"].dataType.elementType.fieldNames()
+    source = ["carrier", "source_id"]
+    start = None if known is None else _versions(known).groupBy(*source)
+    paired = _versions(snapshots).groupBy(*source).transformWithState(
+        _Versions(), StructType.fromDDL(_PAIRED), "Append", "None", start
+    )
+    moment = snapshots.schema["captured_at"].dataType
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        folder = F.pmod(F.xxhash64("carrier", "source_id"), F.lit(SOURCE_BUCKETS)).cast("int")
-        order = [F.col("structural_error").asc(), F.xxhash64(F.to_json("tables"))]
-        rows = first_per_key(batch, ID, order).withColumn("bucket", folder)
-        touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # SOURCE_BUCKETS at most
-        if not touched:
-            return
-        here = F.col("bucket").isin(touched)
-        before = stored(spark, history, rows.withColumn("batch", F.lit(0))).filter(here & (F.col("batch") < batch_id))
-        new = rows.join(before.select(*ID), ID, "left_anti")
-        new.write.mode("overwrite").partitionBy("bucket").parquet(f"{history}/batch={batch_id}")
-        everything = stored(spark, history, rows.withColumn("batch", F.lit(0))).filter(here & (F.col("batch") <= batch_id))
-        # Ids only: a narrow scan finds the versions that matter.
-        ids = everything.select(*ID, "structural_error", "batch", "bucket")
-        new_ids = ids.filter(F.col("batch") == batch_id)
-        known = ids.join(new_ids.select("carrier", "source_id").distinct(), ["carrier", "source_id"], "left_semi")
-        pairs = snapshot_pairs(known, bucket).join(new_ids.select(*ID, "structural_error"), ID)
-        needed = pairs.select(*ID).union(
-            pairs.select("carrier", "source_id", "prior_run_id", "prior_captured_at")
-        ).distinct()
-        used = everything.join(needed, ID, "left_semi").select(*ID, F.explode("tables").alias("_t")).select(*ID, "_t.*")
-        own = "bracket_index" in used.schema["brackets"].dataType.elementType.fieldNames()
+        folder = f"{history}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(folder)
+        rows = batch.sparkSession.read.schema(batch.schema).parquet(folder)
+        rows = rows.withColumn("captured_at", F.col("captured_text").cast(moment))
+        pairs = rows.select(*ID, F.col("prior_text").cast(moment).alias("prior_captured_at"), "prior_run_id", "structural_error")
+        # A version that precedes several counts once.
+        before = rows.filter(F.col("prior_text").isNotNull()).select(
+            *source, F.col("prior_run_id").alias("run_id"), F.col("prior_text").cast(moment).alias("captured_at"),
+            F.col("prior_tables").alias("tables"),
+        )
+        both = rows.select(*ID, "tables").unionByName(before.select(*ID, "tables")).dropDuplicates(ID)
+        used = both.select(*ID, F.explode(F.from_json("tables", kind)).alias("_t")).select(*ID, "_t.*")
         flat = used.select(*ID, "program", "table_index", F.posexplode("brackets").alias("bracket_index", "_b"))
         brackets = flat.select(
-            *ID, "program", "table_index", "_b.bracket_index" if own else "bracket_index",
+            *ID, "program", "table_index", "_b.bracket_index" if own_index else "bracket_index",
             "_b.bracket_id", "_b.index_range", "_b.surcharge_percent",
         )
         deltas = snapshot_diff(pairs, used.select(*ID, "program", "table_index", "effective_date"), brackets)
         deltas.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    return (
-        snapshots.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with _rocksdb(spark):
+        return (
+            paired.writeStream.outputMode("append").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )

@@ -1,5 +1,6 @@
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +103,28 @@ def test_append_absent(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("a", "1", 2.0), ("b", "1", 3.0)]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_append_absent_reads_touched_partitions(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    ddl = "k string, p string, q int, v int"
+    first = spark.createDataFrame([("a", "x", 1, 1), ("b", "y", 2, 2), (None, "x", 1, 3)], ddl)
+    second = spark.createDataFrame([("a", "x", 1, 9), ("c", "x", 1, 4), ("b", "z", 2, 5), ("n", None, 1, 6), (None, "x", 1, 7)], ddl)
+    for batch in (first, second, second.filter("k is not null and p is not null")):
+        W.append_absent(batch, path, ["k", "p", "q"], [F.col("v").asc()], ["p", "q"])
+    want = [1, 2, 3, 4, 5, 6, 7]
+    assert sorted(r.v for r in spark.read.schema(ddl).parquet(path).collect()) == want
+    table = W.stored(spark, path, first)
+    plan = plan_of(W.touched_rows(table, second.filter("p = 'x'"), ["p"]))
+    assert re.search(r"PartitionFilters: \[[^\]]*p#\d+ = x\)", plan)
+    both = plan_of(W.touched_rows(table, second.filter("p = 'z'"), ["p", "q"]))
+    assert re.search(r"PartitionFilters: \[[^\]]*p#\d+ = z\).*q#\d+ = 2\)", both)
+    monkeypatch.setattr(W, "LITERAL_PARTITIONS", 1)
+    assert sorted(r.v for r in W.touched_rows(table, second, ["p", "q"]).collect()) == [1, 3, 4, 5, 7]
+
+
 def test_publish_children(spark, tmp_path):
     keys = schemas.SNAPSHOT_KEY
     ddl = "run_id string, source_id string, captured_at string"

@@ -25,11 +25,40 @@ def test_dedup_over_restarts(spark, tmp_path):
         if rows:
             land(spark, source, rows)
         stream = spark.readStream.schema(ROW).parquet(source)
-        stream_dedup(stream, ["s", "p"], [F.col("at").asc()], out, check).awaitTermination()
+        stream_dedup(stream, ["s", "p"], ["at"], out, check).awaitTermination()
     got = spark.read.parquet(out).collect()
     assert sorted((r.s, r.p, r.v) for r in got) == [("a", "1", 1), ("b", "1", 3), ("c", "1", 5), ("z", "1", 6)]
 
 
+def test_dedup_rules(spark, tmp_path):
+    """Null keys never conflict; nulls come last in a batch; taken keys stay taken."""
+    source, out, check = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/check"
+    taken = spark.createDataFrame([("t", "1"), ("t", "1"), (None, "1")], "s string, p string")
+    for rows in (
+        [("a", "1", None, 1), ("a", "1", "2026-01-02 00:00:00", 2), (None, "1", None, 3), (None, "1", None, 4), ("t", "1", None, 5)],
+        [(None, "1", None, 6), ("a", "1", "2020-01-01 00:00:00", 7), ("t", "2", None, 8), ("b", None, None, 9)],
+    ):
+        land(spark, source, rows)
+        stream = spark.readStream.schema(ROW).parquet(source)
+        stream_dedup(stream, ["s", "p"], ["at", "v"], out, check, ["p"], existing=taken).awaitTermination()
+    got = spark.read.schema(ROW).parquet(out).collect()
+    assert sorted(r.v for r in got) == [2, 3, 4, 6, 8, 9]
+
+
+def test_dedup_reads_no_table(spark, tmp_path):
+    """A batch's plan scans its own files only, and its state is keyed."""
+    source, out, check = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/check"
+    for k in range(2):
+        land(spark, source, [(str(k), "1", "2026-01-01 00:00:00", k)])
+        query = stream_dedup(spark.readStream.schema(ROW).parquet(source), ["s", "p"], ["at"], out, check)
+        query.awaitTermination()
+        assert sum(s["numInputRows"] for p in query.recentProgress for s in p["sources"]) in (1, 2)
+    plan = query._jsq.explainInternal(True)
+    physical = plan.split("== Physical Plan ==")[1]
+    assert "TransformWithState" in physical
+    assert all("/in" in scan.split("]")[0] for scan in physical.split("Location: ")[1:])
+
+
 SNAPSHOT = (
     "carrier string, source_id string, run_id string, captured_at string, structural_error boolean, "
     "tables array<struct<program:string,table_index:int,effective_date:string,"
@@ -84,3 +113,30 @@ def test_delta_times_are_instants(spark, tmp_path):
     assert [(r[1], r[3]) for r in got] == [
         ("2026-01-01T12:00:00Z", "2026-01-01T13:00:00+05:00"), ("2026-01-01T13:00:00+05:00", None), ("soon", None),
     ]
+
+
+def test_delta_of_a_known_history(spark, tmp_path):
+    """Versions from before the stream are state from the start; the own run is no prior."""
+    known = spark.createDataFrame([
+        snapshot("s1", "r0", "2025-01-01", {"a": 1.0}), snapshot("s1", "r9", "2026-01-05", {"a": 2.0}),
+        snapshot("s2", "r1", "2026-01-01", {"a": 4.0}),
+    ], SNAPSHOT)
+    source, check = f"{tmp_path}/in", f"{tmp_path}/check"
+    for rows in (
+        [snapshot("s1", "r9", "2026-01-06", {"a": 3.0}), snapshot("s2", "r1", "2026-01-01", {"z": 0.0})],
+        [snapshot("s1", "r1", "2026-01-07", {"a": 5.0}), snapshot("s1", "r8", "2026-01-07", {"a": 6.0})],
+        [snapshot("s1", "r7", "2026-01-08", {"a": 7.0}), snapshot("s3", "r1", None, {"a": 8.0}), snapshot("s3", "r1", None, {"a": 8.0})],
+    ):
+        spark.createDataFrame(rows, SNAPSHOT).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(SNAPSHOT).parquet(source)
+        stream_delta(stream, f"{tmp_path}/tables", f"{tmp_path}/deltas", check, known).awaitTermination()
+    rows = spark.read.parquet(f"{tmp_path}/deltas").collect()
+    got = sorted((r.source_id, str(r.captured_at), r.run_id, r.prior_captured_at, r.old_value, r.new_value) for r in rows)
+    assert got == [
+        ("s1", "2026-01-06", "r9", "2025-01-01", 1.0, 3.0),
+        ("s1", "2026-01-07", "r1", "2026-01-06", 3.0, 5.0), ("s1", "2026-01-07", "r8", "2026-01-06", 3.0, 6.0),
+        ("s1", "2026-01-08", "r7", "2026-01-07", 5.0, 7.0),
+    ]
+    # A batch holds its versions, each with one prior: as many rows as arrived and are new.
+    stored = spark.read.parquet(f"{tmp_path}/tables").groupBy("batch").count().collect()
+    assert sorted(r["count"] for r in stored) == [1, 2, 2]
