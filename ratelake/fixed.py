@@ -61,6 +61,7 @@ MANIFEST_FILE = "run_manifest.json"
 SNAPSHOT_FILE = "parsed.json"
 META_FILE = "meta.json"
 RESPONSE_FILE = "extraction_response.json"
+REPORT_FILE = "validation_report.json"
 
 # Categories of a parity report.
 MISSING, EXTRA = "MISSING_IN_LLM", "EXTRA_IN_LLM"

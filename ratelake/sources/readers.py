@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,6 +29,11 @@ def column_names(ddl: str) -> list[str]:
     return StructType.fromDDL(ddl).fieldNames()
 
 
+def failing(df: DataFrame, broken: Column, message: Column) -> DataFrame:
+    """``df``; a row that is ``broken`` fails the job with its message."""
+    return df.filter(F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
 def read_json_documents(spark: SparkSession, path: str, schema: str, name: str | None = None) -> DataFrame:
     """One row per JSON document; ``name`` picks files of that name at any depth.
 
@@ -64,21 +69,72 @@ def read_binary_artifacts(spark: SparkSession, path: str, name: str = "*.pdf") -
     return files.withColumn("content_hash_sha256", F.sha2("content", 256))
 
 
+def feed_lines(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
+    """Lines of text files that are not blank: ``value``, ``file_path``, and their ``place``,
+    which is the block of the file and a number that grows along the block."""
+    reader = spark.read.option("lineSep", "\n")
+    if name is not None:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name)
+    lines = _or_empty(
+        lambda: reader.text(path).select(
+            "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block")
+        ),
+        spark, "value STRING, file_path STRING, block BIGINT",
+    ).filter(F.regexp_like("value", F.lit(f"[^{fixed.WHITESPACE[1:-1]}]")))
+    # Numbered after the filter: along a block, which one task reads, without gaps.
+    place = F.struct("block", F.monotonically_increasing_id().alias("line"))
+    return lines.select("value", "file_path", place.alias("place"))
+
+
+def numbered(lines: DataFrame, wanted: Column) -> DataFrame:
+    """The ``wanted`` rows of :func:`feed_lines` with their ``line`` in the file, from 1,
+    blank lines not counted.
+
+    Each block gives its count and its wanted lines; the counts are summed up along the
+    file, one row per block, so neither a file nor its lines are gathered or sorted.
+    """
+    found = F.collect_list(F.when(wanted, F.struct("place", "value")))
+    blocks = lines.groupBy("file_path", F.col("place.block").alias("block")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("place.line").alias("first"), found.alias("found")
+    )
+    earlier = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = blocks.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    return placed.select("file_path", "before", "first", F.explode("found").alias("_l")).select(
+        "file_path", (F.col("before") + F.col("_l.place.line") - F.col("first") + 1).alias("line"), "_l.value"
+    )
+
+
+def _first_place(bad: DataFrame) -> Column:
+    """Message that names the first bad line by file and line, as a scalar subquery; NULL if none is."""
+    first = bad.agg(F.min(F.struct("file_path", "line")).alias("p"))
+    return first.select(F.concat(F.lit("Invalid JSONL at "), "p.file_path", F.lit(":"), F.col("p.line"))).scalar()
+
+
+def _parsed_line(schema: str) -> Column:
+    return F.from_json("value", f"{schema}, _corrupt_record STRING", {"columnNameOfCorruptRecord": "_corrupt_record"})
+
+
+def bad_json_lines(spark: SparkSession, path: str, schema: str, name: str | None = None) -> DataFrame:
+    """Quarantine rows of a feed: file_path, line and value of each line that is no JSON
+    record of this schema. ``line`` counts the lines of the file that are not blank."""
+    return numbered(feed_lines(spark, path, name), _parsed_line(schema)["_corrupt_record"].isNotNull())
+
+
 def read_json_lines(
     spark: SparkSession, path: str, schema: str, name: str | None = None, strict: bool = True
 ) -> DataFrame:
     """JSON lines; blank lines are skipped.
 
-    Strict: the job fails on a bad line. Otherwise bad lines come back with
-    ``_corrupt_record`` set, for a quarantine table.
+    Strict: the job fails on a bad line and names the first one by file and line; a scan
+    before the read looks for it. Otherwise bad lines come back with ``_corrupt_record``
+    set (:func:`bad_json_lines` tells where they stand).
     """
-    full = schema if strict else f"{schema}, _corrupt_record STRING"
-    reader = spark.read.schema(full).option("mode", "FAILFAST" if strict else "PERMISSIVE")
-    if name is not None:
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name)
-    return _or_empty(
-        lambda: reader.json(path).withColumn("file_path", F.col("_metadata.file_path")), spark, f"{full}, file_path STRING"
-    )
+    lines = feed_lines(spark, path, name)
+    if strict:
+        place = _first_place(bad_json_lines(spark, path, schema, name))
+        lines = failing(lines, place.isNotNull(), place)
+    rows = lines.select(_parsed_line(schema).alias("_p"), "file_path").select("_p.*", "file_path")
+    return rows.drop("_corrupt_record") if strict else rows
 
 
 def decoded_path(file_path: Column) -> Column:
@@ -140,11 +196,6 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return parsed.select(F.explode("_r.sources").alias("_s")).select("_s.*")
 
 
-def failing(df: DataFrame, broken: Column, message: Column) -> DataFrame:
-    """``df``; a row that is ``broken`` fails the job with its message."""
-    return df.filter(F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
-
-
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:
     """The manifest of the run folder at ``path`` and those of run folders right below it:
     ``run_manifest.json`` as one document, or as a folder of part files with one text per
@@ -227,21 +278,14 @@ def read_run_snapshots(spark: SparkSession, run_dir: str, strict: bool = True) -
 def read_run_deltas(spark: SparkSession, run_dir: str, strict: bool = True) -> DataFrame:
     """Delta records of one run, from feed files of either kind: named ones, or the part
     files that :func:`~ratelake.sources.writers.write_deltas` leaves. Their ``position``
-    orders rows by file and line. Strict: a record that breaks the rules fails the job.
+    orders rows by file and line. Strict: a line that is no JSON fails the job by file and
+    line, a record that breaks the rules with all its errors.
     """
-    lines = _or_empty(
-        lambda: spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"{{{fixed.DELTA_FILE},part-*}}").text(f"{run_dir}/changes")
-        .select(
-            "value", F.col("_metadata.file_path").alias("file_path"),
-            F.struct(
-                F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("line"),
-            ).alias("position"),
-        ),
-        spark, "value STRING, file_path STRING, position STRUCT<file_path STRING, block BIGINT, line BIGINT>",
-    ).filter(F.trim("value") != "")
+    lines = feed_lines(spark, f"{run_dir}/changes", f"{{{fixed.DELTA_FILE},part-*}}")
+    lines = lines.withColumn("position", F.struct("file_path", "place"))
     if strict:
+        place = _first_place(numbered(lines, F.try_parse_json("value").isNull()))
+        lines = failing(lines, place.isNotNull(), place)
         lines = assert_valid(lines, "value", F.concat(F.lit("Delta in "), F.col("file_path")), DELTA_RULES)
     return lines.select(F.from_json("value", schemas.DELTA).alias("_d"), "file_path", "position").select(
         "_d.*", "file_path", "position"
