@@ -52,8 +52,8 @@ LINK_WORDS = ["fuel", "surcharge", "table", "effective", "rate", "pdf"]
 VALUE_TOLERANCE = 0.01
 BRACKET_EPSILON = 1e-9
 
-# Row cap of one series request.
-SERIES_LENGTH = 500
+# Bytes that the JSON parser takes for sure; single strings beyond 20 million characters it refuses.
+PARSED_BYTES = 16 << 20
 
 # Names of the documents of a run folder.
 DELTA_FILE = "fsc_delta_records.jsonl"
@@ -66,7 +66,6 @@ REPORT_FILE = "validation_report.json"
 # Categories of a parity report.
 MISSING, EXTRA = "MISSING_IN_LLM", "EXTRA_IN_LLM"
 VALUE_MISMATCH, SCOPE_MISMATCH = "BRACKET_VALUE_MISMATCH", "SCOPE_OR_DATE_MISMATCH"
-MISMATCH_CATEGORIES = [MISSING, EXTRA, VALUE_MISMATCH, SCOPE_MISMATCH]
 
 STRUCTURAL_CODE = "PARSER_STRUCTURAL_ERROR"
 GATE_FAILED_MESSAGE = "PARSER_STRUCTURAL_ERROR: Candidate schema validation failed."

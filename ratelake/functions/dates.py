@@ -45,14 +45,14 @@ def parse_date_text(text: Column) -> Column:
     return F.coalesce(named, numeric)
 
 
-def date_warning(text: Column) -> Column:
-    """Warning struct when no date could be read, else NULL."""
+def date_warning(text: Column, date: Column | None = None) -> Column:
+    """Warning struct when no date could be read, else NULL; ``date`` is what was read of it."""
     message = (
         F.when(F.coalesce(text, F.lit("")) == "", "Effective date was missing.")
         .otherwise(F.concat(F.lit("Could not normalize effective date: "), text))
     )
     return F.when(
-        parse_date_text(text).isNull(), warning("MISSING_EFFECTIVE_DATE", message)
+        (parse_date_text(text) if date is None else date).isNull(), warning("MISSING_EFFECTIVE_DATE", message)
     )
 
 

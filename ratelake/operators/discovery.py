@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ratelake import fixed, schemas
+from ratelake.functions.binding import with_once
 from ratelake.functions.dates import parse_date_text
 from ratelake.functions.urls import resolve_href
 from ratelake.operators.gate import CANDIDATE_RULES, gate
-from ratelake.operators.normalize import _typed, has_structural_warning, positions, warning_messages
+from ratelake.operators.normalize import has_structural_warning, positions, typed_candidate, warning_messages
 
 _ARTIFACTS = "array<struct<url:string,effective_date:string,context_excerpt:string,child_source_id:string>>"
 
@@ -23,9 +24,9 @@ def discover(df: DataFrame, raw: str) -> DataFrame:
     candidate can pass here that the snapshot path rejects.
     """
     base = F.col("base_url")
-    gated = gate(df, raw, CANDIDATE_RULES, base).drop("doc")
+    gated = gate(df, raw, CANDIDATE_RULES, base)
     valid = F.size("issues") == 0
-    staged = gated.withColumn("_c", F.when(valid, _typed(raw)))
+    staged = with_once(gated, "_c", F.when(valid, typed_candidate(F.col("doc")))).drop("doc")
     c = F.col("_c")
 
     def artifact(link):

@@ -314,17 +314,40 @@ def _candidate_issues(application_id: str) -> Column:
     return issues(F.col("doc"), CANDIDATE_RULES, F.lit(""))
 
 
+_REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+
+def with_json(df: DataFrame, raw: str, name: str) -> DataFrame:
+    """Add the JSON text in ``raw`` as a VARIANT, NULL where it is none.
+
+    Of a key that an object repeats the last value counts. Spark refuses such objects unless
+    the session allows them, and reads that setting again whenever it plans, so it is set
+    for the session here and stays set.
+    """
+    if df.sparkSession.conf.get(_REPEATED_KEYS) != "true":
+        df.sparkSession.conf.set(_REPEATED_KEYS, "true")
+    return df.withColumn(name, F.try_parse_json(raw))
+
+
+def _unread(raw: Column) -> Column:
+    """The one issue of a text that gave no VARIANT."""
+    size = F.octet_length(raw)
+    large = F.concat(F.lit("Document of "), size.cast("string"), F.lit(" bytes is not JSON or too large to check"))
+    return _one(F.lit(""), F.when(size > fixed.PARSED_BYTES, large).otherwise("Invalid JSON"))
+
+
 def gate(df: DataFrame, raw: str, rules=CANDIDATE_RULES, base: Column | None = None) -> DataFrame:
     """Add ``doc`` (VARIANT) and ``issues`` for the JSON text in ``raw``.
 
-    Text that is not JSON gets the single issue "Invalid JSON".
+    Text that is not JSON gets the single issue "Invalid JSON". Of a text so large that the
+    parser may have given up on its size, the issue says that it is one or the other.
     """
-    parsed = df.withColumn("doc", F.try_parse_json(raw))
+    parsed = with_json(df, raw, "doc")
     if rules is CANDIDATE_RULES and base is None:
         checked = _candidate_issues(df.sparkSession.sparkContext.applicationId)
     else:
         checked = issues(F.col("doc"), rules, F.lit(""), base)
-    found = F.when(F.col("doc").isNull(), _one(F.lit(""), F.lit("Invalid JSON"))).otherwise(checked)
+    found = F.when(F.col("doc").isNull(), _unread(F.col(raw))).otherwise(checked)
     return with_once(parsed, "issues", found)
 
 

@@ -43,14 +43,28 @@ def scope_warnings(candidate: Column, carrier: Column, source_id: Column) -> Col
     )
 
 
+def read_brackets(programs: Column) -> Column:
+    """Programs with their brackets read once: (range_text, percent_text, range, percent)."""
+
+    def bracket(b: Column) -> Column:
+        return F.struct(
+            b["range_text"].alias("range_text"), b["percent_text"].alias("percent_text"),
+            parse_range_text(b["range_text"]).alias("range"), parse_percent_text(b["percent_text"]).alias("percent"),
+        )
+
+    return F.transform(
+        programs, lambda p: F.struct(p["program"].alias("program"), F.transform(p["brackets"], bracket).alias("brackets"))
+    )
+
+
 def bracket_warnings(programs: Column) -> Column:
-    """Per bracket in order: the range first, then the percent."""
+    """Of read brackets in order: the range first, then the percent."""
 
     def of_bracket(b: Column) -> Column:
         return F.array_compact(
             F.array(
-                F.when(~parse_range_text(b["range_text"])["parsed"], range_warning(b["range_text"])),
-                F.when(parse_percent_text(b["percent_text"]).isNull(), percent_warning(b["percent_text"])),
+                F.when(~b["range"]["parsed"], range_warning(b["range_text"])),
+                F.when(b["percent"].isNull(), percent_warning(b["percent_text"])),
             )
         )
 
@@ -74,17 +88,16 @@ def warning_messages(warnings: Column) -> Column:
 
 
 def normal_tables(programs: Column, effective_date: Column) -> Column:
+    """Tables of read brackets."""
+
     def bracket(b: Column) -> Column:
-        return let(
-            parse_range_text(b["range_text"]),
-            lambda r: F.struct(
-                r["bracket_id"].alias("bracket_id"),
-                b["range_text"].alias("index_range"),
-                r["low"].alias("min_index"),
-                r["high"].alias("max_index"),
-                parse_percent_text(b["percent_text"]).alias("surcharge_percent"),
-                b["percent_text"].alias("surcharge_text"),
-            ),
+        return F.struct(
+            b["range"]["bracket_id"].alias("bracket_id"),
+            b["range_text"].alias("index_range"),
+            b["range"]["low"].alias("min_index"),
+            b["range"]["high"].alias("max_index"),
+            b["percent"].alias("surcharge_percent"),
+            b["percent_text"].alias("surcharge_text"),
         )
 
     return F.transform(
@@ -97,8 +110,8 @@ def normal_tables(programs: Column, effective_date: Column) -> Column:
     )
 
 
-def _typed(raw: str) -> Column:
-    """Typed candidate with missing lists read as empty ones."""
+def typed_candidate(doc: Column) -> Column:
+    """A gated VARIANT as a typed candidate, missing lists read as empty ones."""
 
     def complete(c: Column) -> Column:
         programs = F.transform(
@@ -111,14 +124,14 @@ def _typed(raw: str) -> Column:
             .withField("parse_warnings", F.coalesce(c["parse_warnings"], F.array()))
         )
 
-    return let(F.from_json(F.col(raw), schemas.CANDIDATE), complete)
+    return let(F.try_variant_get(doc, "$", f"struct<{schemas.CANDIDATE}>"), complete)
 
 
 def candidates(df: DataFrame, raw: str) -> DataFrame:
     """Gate the JSON text in ``raw``; adds ``valid``, ``issues`` and the typed
     ``candidate`` (NULL when invalid)."""
-    gated = gate(df, raw).drop("doc").withColumn("valid", F.size("issues") == 0)
-    return with_once(gated, "candidate", F.when(F.col("valid"), _typed(raw)))
+    gated = gate(df, raw).withColumn("valid", F.size("issues") == 0)
+    return with_once(gated, "candidate", F.when(F.col("valid"), typed_candidate(F.col("doc")))).drop("doc")
 
 
 def normalize(df: DataFrame, raw: str) -> DataFrame:
@@ -130,8 +143,10 @@ def normalize(df: DataFrame, raw: str) -> DataFrame:
     c = F.col("candidate")
     empty_warnings = F.array().cast(_WARNINGS)
     staged = (
-        candidates(df, raw)
-        .withColumn("_date", parse_date_text(c["effective_date"]))
+        with_once(candidates(df, raw), "_read", F.struct(
+            read_brackets(c["programs"]).alias("programs"), parse_date_text(c["effective_date"]).alias("date")
+        ))
+        .withColumn("_date", F.col("_read.date"))
         .withColumn("_has_flag", has_structural_warning(c["parse_warnings"]))
         .withColumn(
             "_found",
@@ -139,8 +154,8 @@ def normalize(df: DataFrame, raw: str) -> DataFrame:
                 F.col("valid"),
                 F.concat(
                     scope_warnings(c, F.col("carrier"), F.col("source_id")),
-                    F.array_compact(F.array(date_warning(c["effective_date"]))),
-                    bracket_warnings(c["programs"]),
+                    F.array_compact(F.array(date_warning(c["effective_date"], F.col("_date")))),
+                    bracket_warnings(F.col("_read.programs")),
                     F.when(
                         F.size(c["programs"]) == 0,
                         F.array(warning("TABLE_NOT_FOUND", F.lit(fixed.NO_PROGRAMS_MESSAGE), "error")),
@@ -163,7 +178,7 @@ def normalize(df: DataFrame, raw: str) -> DataFrame:
         F.when(structural & ~F.col("_has_flag"), F.array(F.lit(fixed.STRUCTURE_FAILED_MESSAGE)))
         .otherwise(F.array().cast("array<string>")),
     )
-    tables = F.when(F.col("valid"), normal_tables(c["programs"], F.col("_date"))).otherwise(
+    tables = F.when(F.col("valid"), normal_tables(F.col("_read.programs"), F.col("_date"))).otherwise(
         F.array().cast(f"array<{schemas.TABLE}>")
     )
     snapshot = F.struct(
@@ -189,7 +204,7 @@ def normalize(df: DataFrame, raw: str) -> DataFrame:
     return (
         staged.withColumn("snapshot", snapshot)
         .withColumn("report", report)
-        .drop("_date", "_has_flag", "_found")
+        .drop("_date", "_has_flag", "_found", "_read")
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ratelake import fixed
 from ratelake.functions.text import canonical_carrier, content_type, sha256_hex
+from ratelake.operators.gate import with_json
 
 
 def runnable_sources(registry: DataFrame) -> DataFrame:
@@ -120,9 +121,8 @@ def extraction_requests(
 
 def parse_responses(rows: DataFrame, raw: str) -> DataFrame:
     """Add ``response`` (VARIANT) and ``error`` for text that is not JSON."""
-    parsed = F.try_parse_json(raw)
-    return rows.withColumn("response", parsed).withColumn(
-        "error", F.when(parsed.isNull(), "Failed to parse LLM JSON output")
+    return with_json(rows, raw, "response").withColumn(
+        "error", F.when(F.col("response").isNull(), "Failed to parse LLM JSON output")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ratelake import fixed
 from ratelake.functions.numbers import to_decimal
-from ratelake.operators.gate import json_type
+from ratelake.operators.gate import json_type, with_json
 from ratelake.operators.keyed import absent_rows
 from ratelake.operators.normalize import positions
 from ratelake.schemas import KEYS
@@ -19,7 +19,8 @@ def response_rows(responses: DataFrame, raw: str, series_id: str = "series_id")
     Responses of another shape give no rows; see :func:`bad_responses`. Units and
     description are kept only where they are JSON strings.
     """
-    data = F.try_variant_get(F.try_parse_json(raw), "$.response.data", "array<variant>")
+    responses = with_json(responses, raw, raw)
+    data = F.try_variant_get(raw, "$.response.data", "array<variant>")
 
     def text_only(row: Column, path: str) -> Column:
         v = F.try_variant_get(row, path, "variant")
@@ -39,8 +40,9 @@ def response_rows(responses: DataFrame, raw: str, series_id: str = "series_id")
 
 
 def bad_responses(responses: DataFrame, raw: str) -> DataFrame:
-    data = F.try_variant_get(F.try_parse_json(raw), "$.response.data", "array<variant>")
-    return responses.filter(data.isNull()).withColumn("error", F.lit("Unexpected response shape"))
+    parsed = with_json(responses, raw, "_doc")
+    data = F.try_variant_get("_doc", "$.response.data", "array<variant>")
+    return parsed.filter(data.isNull()).drop("_doc").withColumn("error", F.lit("Unexpected response shape"))
 
 
 def with_ingest_defaults(rows: DataFrame) -> DataFrame:

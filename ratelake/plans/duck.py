@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ratelake import fixed
 from ratelake.operators.gate import CANDIDATE_RULES, Choice, Flag, Rows, Text
-from ratelake.plans.model import CANDIDATE_SQL, CONTEXT_SQL
+from ratelake.plans.model import CANDIDATE_SQL, CONTEXT_SQL, REPEATED
 
 WS = fixed.WHITESPACE
 
@@ -127,7 +127,7 @@ _CONTEXT = ", ".join(f"{sql} AS {name}" for name, sql in CONTEXT_SQL.items())
 CANDIDATES_CTE = f"""raw_cand AS MATERIALIZED (
   SELECT o_orderkey, {_CONTEXT}, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS captured_at, {CANDIDATE_SQL} AS raw
   FROM orders),
-docs AS MATERIALIZED (SELECT *, CASE WHEN json_valid(raw) THEN CAST(raw AS JSON) END AS doc FROM raw_cand),
+docs AS MATERIALIZED (SELECT *, CASE WHEN json_valid(raw) THEN CAST(replace(raw, '{REPEATED}', '') AS JSON) END AS doc FROM raw_cand),
 gated AS MATERIALIZED (
   SELECT *, CASE WHEN doc IS NULL THEN [' Invalid JSON'] ELSE {issues(CANDIDATE_RULES, 'doc', "''")} END AS issues
   FROM docs)"""

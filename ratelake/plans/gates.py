@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ratelake.operators.discovery import discover, discovered_links
-from ratelake.operators.gate import CANDIDATE_RULES, assertion_message, gate, json_type
+from ratelake.operators.gate import CANDIDATE_RULES, assertion_message, gate, json_type, with_json
 from ratelake.operators.normalize import (
     candidates, flatten_brackets, flatten_tables, normalize, positions, scope_warnings, structural_error, warning_messages,
 )
@@ -58,7 +58,7 @@ _FIELDS = ["effective_date", "programs", "links", "history_90d", "parse_warnings
     f"WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' END END AS {f}" for f in _FIELDS) + " FROM docs")
 def missing_vs_null(spark, sf_dir):
     doc = F.col("doc")
-    rows = candidate_rows(spark, sf_dir).select("o_orderkey", F.try_parse_json("raw").alias("doc"))
+    rows = with_json(candidate_rows(spark, sf_dir), "raw", "doc").select("o_orderkey", "doc")
 
     def state(name):
         v = F.try_variant_get(doc, f"$.{name}", "variant")

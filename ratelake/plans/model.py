@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ratelake.functions.binding import let
 from ratelake.functions.brackets import parse_percent_text, parse_range_text
+from ratelake.session import spread
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 PROGRAM_OF_SERIES = {name: name for name in EVENT_TYPES}
@@ -97,8 +98,10 @@ _AIR = _program(
 )
 _THIRD = _program(f"CASE WHEN {_K} % 31 = 0 THEN 'sea' ELSE 'unknown' END", "'\"brackets\":[],'")
 
+# Some documents repeat two keys; the first values are wrong.
+REPEATED = '"carrier":"DHL","source_id":9,'
 CANDIDATE_SQL = f"""concat(
- '{{"artifact_type":"', CASE WHEN {_K} % 11 = 0 THEN 'doc' WHEN {_K} % 2 = 0 THEN 'html' ELSE 'pdf' END,
+ '{{', CASE WHEN {_K} % 61 = 0 THEN '{REPEATED}' ELSE '' END, '"artifact_type":"', CASE WHEN {_K} % 11 = 0 THEN 'doc' WHEN {_K} % 2 = 0 THEN 'html' ELSE 'pdf' END,
  '","carrier":', CASE WHEN {_K} % 13 = 0 THEN '"DHL"' WHEN {_K} % 53 = 0 THEN '7' WHEN {_K} % 2 = 0 THEN '"UPS"' ELSE '"FedEx"' END,
  ',"source_id":"', CASE WHEN {_K} % 17 = 0 THEN '' ELSE concat('src_', {_C} % 50) END, '"',
  CASE WHEN {_K} % 19 = 0 THEN '' ELSE concat(',"effective_date":', CASE WHEN {_K} % 5 = 4 THEN 'null' ELSE {_quoted(DATE_TEXT_SQL)} END) END,
@@ -130,9 +133,11 @@ CONTEXT_SQL = {
 }
 
 
-def candidate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One candidate document per order, with its capture context."""
-    return read(spark, sf_dir, "orders").select(
+def candidate_rows(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """One candidate document per order, with its capture context, in at least so many
+    partitions (default: one per core, since a document costs far more than its row)."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return spread(orders, partitions or spark.sparkContext.defaultParallelism).select(
         "o_orderkey",
         *[F.expr(sql).alias(name) for name, sql in CONTEXT_SQL.items()],
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured_at"),

@@ -16,6 +16,7 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -26,6 +27,12 @@ def builder(app_name: str = "ratelake") -> SparkSession.Builder:
     return b
 
 
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """``df`` in at least so many partitions: for a scan of few splits whose rows are costly
+    to work on. A scan that has as many stays as it is, without a shuffle."""
+    return df if df.rdd.getNumPartitions() >= partitions else df.repartition(partitions)
+
+
 _OWN: list[str] = []
 
 

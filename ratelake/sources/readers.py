@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ratelake import fixed, schemas
-from ratelake.operators.gate import DELTA_RULES, REGISTRY_RULES, SNAPSHOT_RULES, assert_valid
+from ratelake.operators.gate import DELTA_RULES, REGISTRY_RULES, SNAPSHOT_RULES, assert_valid, with_json
 from ratelake.operators.keyed import first_per_key
 
 
@@ -284,7 +284,7 @@ def read_run_deltas(spark: SparkSession, run_dir: str, strict: bool = True) -> D
     lines = feed_lines(spark, f"{run_dir}/changes", f"{{{fixed.DELTA_FILE},part-*}}")
     lines = lines.withColumn("position", F.struct("file_path", "place"))
     if strict:
-        place = _first_place(numbered(lines, F.try_parse_json("value").isNull()))
+        place = _first_place(numbered(with_json(lines, "value", "doc"), F.col("doc").isNull()))
         lines = failing(lines, place.isNotNull(), place)
         lines = assert_valid(lines, "value", F.concat(F.lit("Delta in "), F.col("file_path")), DELTA_RULES)
     return lines.select(F.from_json("value", schemas.DELTA).alias("_d"), "file_path", "position").select(
