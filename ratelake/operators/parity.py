@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from ratelake import fixed
 from ratelake.functions.keys import snapshot_key
 from ratelake.functions.numbers import within_tolerance
+from ratelake.session import stored_once
 
 KEY = ["carrier", "source_id", "captured_at"]
-ITEM = ["category", "scope", "key", "message", "baseline_path", "llm_path", "details"]
 
 
 def _tagged(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
@@ -40,27 +40,36 @@ def _details(a: Column, b: Column) -> Column:
     )
 
 
-def _items(
-    df: DataFrame,
-    category: str | Column,
-    scope: str,
-    key: Column,
-    message: Column,
-    details: Column | None = None,
-) -> DataFrame:
-    def path(name: str) -> Column:
-        return F.col(name) if name in df.columns else F.lit(None).cast("string")
+_ITEM = (
+    "struct<category:string,scope:string,key:string,message:string,baseline_path:string,llm_path:string,"
+    "details:map<string,string>>"
+)
+
 
-    none = F.lit(None).cast("map<string,string>")
-    return df.select(
+def _item(category: str | Column, scope: str, key: Column, message: Column, details: Column | None = None, paths: bool = True) -> Column:
+    """One mismatch as a struct of ITEM."""
+    none = F.lit(None).cast("string")
+    return F.struct(
         (F.lit(category) if isinstance(category, str) else category).alias("category"),
-        F.lit(scope).alias("scope"),
-        key.alias("key"),
-        message.alias("message"),
-        path("baseline_path").alias("baseline_path"),
-        path("llm_path").alias("llm_path"),
-        (none if details is None else details).alias("details"),
-    )
+        F.lit(scope).alias("scope"), key.alias("key"), message.alias("message"),
+        (F.col("baseline_path") if paths else none).alias("baseline_path"),
+        (F.col("llm_path") if paths else none).alias("llm_path"),
+        (F.lit(None).cast("map<string,string>") if details is None else details).alias("details"),
+    ).cast(_ITEM)
+
+
+def _rows(df: DataFrame, checks: list[Column]) -> DataFrame:
+    """The checks of each row that found something, one row per mismatch."""
+    found = F.array_compact(F.array(*checks))
+    return df.select(F.explode(found).alias("_i")).select("_i.*")
+
+
+def _one_sided() -> Column:
+    return F.col("_in_base") != F.col("_in_cand")
+
+
+def _in_both() -> Column:
+    return F.col("_in_base") & F.col("_in_cand")
 
 
 def _key() -> Column:
@@ -87,34 +96,34 @@ def compare_snapshots(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
     )
 
 
-def snapshot_items(compared: DataFrame) -> DataFrame:
-    """Snapshots one run lacks."""
-    one_sided = compared.filter(F.col("_in_base") != F.col("_in_cand"))
+def _snapshot_check() -> Column:
     missing = F.col("_in_base")
-    return _items(
-        one_sided,
-        F.when(missing, fixed.MISSING).otherwise(fixed.EXTRA),
-        "snapshot",
-        _key(),
+    return F.when(_one_sided(), _item(
+        F.when(missing, fixed.MISSING).otherwise(fixed.EXTRA), "snapshot", _key(),
         F.when(missing, "snapshot missing in llm").otherwise("extra snapshot in llm"),
+    ))
+
+
+def _date_check() -> Column:
+    a, b = F.col("_date_base"), F.col("_date_cand")
+    return F.when(
+        _in_both() & ~a.eqNullSafe(b),
+        _item(fixed.SCOPE_MISMATCH, "snapshot", _key(), F.lit("effective_date mismatch"), _details(a, b)),
     )
 
 
+def snapshot_items(compared: DataFrame) -> DataFrame:
+    """Snapshots one run lacks."""
+    return _rows(compared, [_snapshot_check()])
+
+
 def _matched(compared: DataFrame) -> DataFrame:
     return compared.filter(F.col("_in_base") & F.col("_in_cand"))
 
 
 def date_items(compared: DataFrame) -> DataFrame:
     """Matched snapshots with different effective dates."""
-    a, b = F.col("_date_base"), F.col("_date_cand")
-    return _items(
-        _matched(compared).filter(~a.eqNullSafe(b)),
-        fixed.SCOPE_MISMATCH,
-        "snapshot",
-        _key(),
-        F.lit("effective_date mismatch"),
-        _details(a, b),
-    )
+    return _rows(compared, [_date_check()])
 
 
 def _program() -> Column:
@@ -131,18 +140,30 @@ def compare_programs(compared: DataFrame, baseline: DataFrame, candidate: DataFr
     return flags.join(_matched(compared).select(*KEY, "baseline_path", "llm_path"), KEY)
 
 
+def _program_check() -> Column:
+    what = F.when(F.col("_in_base"), "program missing in llm: ").otherwise("extra program in llm: ")
+    return F.when(_one_sided(), _item(fixed.SCOPE_MISMATCH, "snapshot", _key(), F.concat(what, "program")))
+
+
 def program_items(programs: DataFrame) -> DataFrame:
-    one_sided = programs.filter(F.col("_in_base") != F.col("_in_cand"))
-    return _items(
-        one_sided,
-        fixed.SCOPE_MISMATCH,
-        "snapshot",
-        _key(),
-        F.concat(
-            F.when(F.col("_in_base"), "program missing in llm: ").otherwise("extra program in llm: "),
-            F.col("program"),
-        ),
+    return _rows(programs, [_program_check()])
+
+
+def _same_value() -> Column:
+    return within_tolerance(F.col("_a"), F.col("_b"))
+
+
+def _bracket_check() -> Column:
+    what = (
+        F.when(_in_both(), "surcharge_percent mismatch for ")
+        .when(F.col("_in_base"), "bracket missing in llm: ")
+        .otherwise("extra bracket in llm: ")
     )
+    return F.when(~_in_both() | ~_same_value(), _item(
+        F.when(_in_both(), fixed.VALUE_MISMATCH).otherwise(fixed.SCOPE_MISMATCH), "snapshot", _key(),
+        F.concat(what, F.concat_ws(" ", "program", "bracket_id")),
+        F.when(_in_both(), _details(F.col("_a"), F.col("_b"))),
+    ))
 
 
 def bracket_items(programs: DataFrame, baseline: DataFrame, candidate: DataFrame) -> DataFrame:
@@ -161,25 +182,61 @@ def bracket_items(programs: DataFrame, baseline: DataFrame, candidate: DataFrame
             _last("surcharge_percent", order, base).alias("_a"),
             _last("surcharge_percent", order, cand).alias("_b"),
         )
-        .filter(~F.col("_in_base") | ~F.col("_in_cand") | ~within_tolerance(F.col("_a"), F.col("_b")))
+        .filter(~_in_both() | ~_same_value())
     )
-    both = programs.filter(F.col("_in_base") & F.col("_in_cand")).drop("_in_base", "_in_cand")
-    found = values.join(both, [*KEY, "program"])
-    name = F.concat_ws(" ", "program", "bracket_id")
-    in_both = F.col("_in_base") & F.col("_in_cand")
-    return _items(
-        found,
-        F.when(in_both, fixed.VALUE_MISMATCH).otherwise(fixed.SCOPE_MISMATCH),
-        "snapshot",
-        _key(),
-        F.concat(
-            F.when(in_both, "surcharge_percent mismatch for ")
-            .when(F.col("_in_base"), "bracket missing in llm: ")
-            .otherwise("extra bracket in llm: "),
-            name,
-        ),
-        F.when(in_both, _details(F.col("_a"), F.col("_b"))),
+    both = programs.filter(_in_both()).drop("_in_base", "_in_cand")
+    return _rows(values.join(both, [*KEY, "program"]), [_bracket_check()])
+
+
+_FEED = ["group_key", "bracket_id", "old_value", "new_value"]
+
+
+def _feed_groups(rows: DataFrame) -> DataFrame:
+    """Groups with the row counts of both sides."""
+    n_base, n_cand = F.count_if(F.col("_base")), F.count_if(~F.col("_base"))
+    return rows.groupBy("group_key").agg(n_base.alias("_n_base"), n_cand.alias("_n_cand"))
+
+
+def _feed_brackets(rows: DataFrame, order: str) -> DataFrame:
+    """The brackets that differ, each with the last values of both sides."""
+    base, cand = F.col("_base"), ~F.col("_base")
+    pair = F.struct("old_value", "new_value")
+    values = rows.groupBy("group_key", "bracket_id").agg(
+        *_presence(), _last(pair, F.col(order), base).alias("_a"), _last(pair, F.col(order), cand).alias("_b")
     )
+    same = F.lit(True)
+    for field in ("old_value", "new_value"):
+        same &= within_tolerance(F.col("_a")[field], F.col("_b")[field])
+    return values.filter(~_in_both() | ~same)
+
+
+def _feed_item(category: str | Column, message: Column, details: Column | None = None) -> Column:
+    return _item(category, "delta", F.col("group_key"), message, details, paths=False)
+
+
+def _group_checks() -> list[Column]:
+    n_a, n_b = F.col("_n_base"), F.col("_n_cand")
+    one_sided = (n_a == 0) != (n_b == 0)
+    return [
+        F.when(one_sided, _feed_item(
+            F.when(n_b == 0, fixed.MISSING).otherwise(fixed.EXTRA),
+            F.when(n_b == 0, "delta group missing in llm").otherwise("extra delta group in llm"),
+        )),
+        F.when(~one_sided & (n_a != n_b), _feed_item(
+            fixed.SCOPE_MISMATCH, F.lit("delta record count mismatch"), _details(n_a, n_b)
+        )),
+    ]
+
+
+def _feed_bracket_checks() -> list[Column]:
+    def value(field: str) -> Column:
+        a, b = F.col("_a")[field], F.col("_b")[field]
+        message = F.concat(F.lit(f"{field} mismatch for "), "bracket_id")
+        return F.when(_in_both() & ~within_tolerance(a, b), _feed_item(fixed.VALUE_MISMATCH, message, _details(a, b)))
+
+    side = F.when(F.col("_in_base"), "delta bracket missing in llm: ").otherwise("extra delta bracket in llm: ")
+    one_sided = F.when(_one_sided(), _feed_item(fixed.SCOPE_MISMATCH, F.concat(side, "bracket_id")))
+    return [one_sided, value("old_value"), value("new_value")]
 
 
 def delta_items(baseline: DataFrame, candidate: DataFrame, order: str = "position") -> DataFrame:
@@ -188,78 +245,11 @@ def delta_items(baseline: DataFrame, candidate: DataFrame, order: str = "positio
     Inputs: group_key, bracket_id, old_value, new_value and an ordering column;
     counts use every row, values the last row of a bracket.
     """
-    columns = ["group_key", "bracket_id", "old_value", "new_value", order]
-    rows = _tagged(baseline.select(*columns), candidate.select(*columns))
-    base, cand = F.col("_base"), ~F.col("_base")
-    groups = rows.groupBy("group_key").agg(
-        F.count_if(base).alias("_n_base"), F.count_if(cand).alias("_n_cand")
-    )
-    n_a, n_b = F.col("_n_base"), F.col("_n_cand")
-    key = F.col("group_key")
-    group_rows = _items(
-        groups.filter((n_a == 0) != (n_b == 0)),
-        F.when(n_b == 0, fixed.MISSING).otherwise(fixed.EXTRA),
-        "delta",
-        key,
-        F.when(n_b == 0, "delta group missing in llm").otherwise("extra delta group in llm"),
-    )
-    matched = groups.filter((n_a > 0) & (n_b > 0))
-    count_rows = _items(
-        matched.filter(n_a != n_b),
-        fixed.SCOPE_MISMATCH,
-        "delta",
-        key,
-        F.lit("delta record count mismatch"),
-        _details(n_a, n_b),
-    )
-    pair = F.struct("old_value", "new_value")
-    values = (
-        rows.groupBy("group_key", "bracket_id")
-        .agg(
-            *_presence(),
-            _last(pair, F.col(order), base).alias("_a"),
-            _last(pair, F.col(order), cand).alias("_b"),
-        )
-        .join(matched.select("group_key"), "group_key")
-    )
-    one_sided = values.filter(F.col("_in_base") != F.col("_in_cand"))
-    bracket_rows = _items(
-        one_sided,
-        fixed.SCOPE_MISMATCH,
-        "delta",
-        key,
-        F.concat(
-            F.when(F.col("_in_base"), "delta bracket missing in llm: ").otherwise(
-                "extra delta bracket in llm: "
-            ),
-            F.col("bracket_id"),
-        ),
-    )
-    # Both value checks of a bracket in one pass.
-    checks = F.array(
-        *[
-            F.struct(
-                F.lit(field).alias("field"),
-                F.col("_a")[field].alias("a"),
-                F.col("_b")[field].alias("b"),
-            )
-            for field in ("old_value", "new_value")
-        ]
-    )
-    different = (
-        values.filter(F.col("_in_base") & F.col("_in_cand"))
-        .withColumn("_c", F.explode(checks))
-        .filter(~within_tolerance(F.col("_c.a"), F.col("_c.b")))
-    )
-    value_rows = _items(
-        different,
-        fixed.VALUE_MISMATCH,
-        "delta",
-        key,
-        F.concat(F.col("_c.field"), F.lit(" mismatch for "), F.col("bracket_id")),
-        _details(F.col("_c.a"), F.col("_c.b")),
-    )
-    return group_rows.unionByName(count_rows).unionByName(bracket_rows).unionByName(value_rows)
+    rows = _tagged(baseline.select(*_FEED, order), candidate.select(*_FEED, order))
+    groups = stored_once(_feed_groups(rows), "parity-groups")
+    matched = groups.filter((F.col("_n_base") > 0) & (F.col("_n_cand") > 0)).select("group_key")
+    brackets = _feed_brackets(rows, order).join(matched, "group_key", "left_semi")
+    return _rows(groups, _group_checks()).unionByName(_rows(brackets, _feed_bracket_checks()))
 
 
 def compare_runs(
@@ -268,12 +258,15 @@ def compare_runs(
     brackets: tuple[DataFrame, DataFrame],
     deltas: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    """All mismatches of (baseline, candidate), one row each."""
-    compared = compare_snapshots(*snapshots)
-    programs = compare_programs(compared, *tables)
+    """All mismatches of (baseline, candidate), one row each.
+
+    One tagged grouping per level, and each input is read once: the small frames that the
+    level below asks what both runs have (snapshots, programs, groups of deltas) are stored.
+    """
+    compared = stored_once(compare_snapshots(*snapshots), "parity-snapshots")
+    programs = stored_once(compare_programs(compared, *tables), "parity-programs")
     out = (
-        snapshot_items(compared)
-        .unionByName(date_items(compared))
+        _rows(compared, [_snapshot_check(), _date_check()])
         .unionByName(program_items(programs))
         .unionByName(bracket_items(programs, *brackets))
     )

@@ -161,8 +161,8 @@ def apply_rates(spark, sf_dir):
 SEMI JOIN (SELECT series_id AS fuel_index, max(period) AS week_ending_date FROM prices GROUP BY 1) USING (fuel_index, week_ending_date)""")
 def apply_latest_rates(spark, sf_dir):
     """The newest price of each series against the stored earlier weeks."""
-    prices = price_series(spark, sf_dir)
-    tables = A.rate_tables(snapshots(spark, sf_dir))
+    prices = stored_once(price_series(spark, sf_dir), "prices")
+    tables = stored_once(A.rate_tables(snapshots(spark, sf_dir)), "tables")
     stored = stored_once(A.apply_rates(prices, tables, PROGRAM_OF_SERIES, CARRIERS), "applied")
     return A.apply_rates(A.latest_price(prices), tables, PROGRAM_OF_SERIES, CARRIERS, history=stored)
 

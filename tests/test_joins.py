@@ -108,3 +108,34 @@ def test_range_lookup(spark):
     joined = range_join(f, b, ["k"], "v", "lo", "hi", "pos")
     assert joined.count() == sum((k, v) in got for k, v in facts)
     assert "CartesianProduct" not in plan(joined) and "NestedLoop" not in plan(joined)
+
+
+def parity_side(spark, rows):
+    ddl = "carrier string, source_id string, captured_at string, program string, table_index int, bracket_index int, bracket_id string, surcharge_percent double"
+    brackets = spark.createDataFrame(rows, ddl)
+    return brackets.groupBy("carrier", "source_id", "captured_at").agg(
+        F.max(F.lit(None).cast("string")).alias("effective_date"), F.max(F.lit(None).cast("string")).alias("path")
+    ), brackets, brackets
+
+
+def test_parity_reads_each_input_once(spark):
+    """Snapshots without paths still match, and the report reads stored levels only."""
+    from ratelake.operators.parity import compare_runs
+
+    a = parity_side(spark, [("u", "s", "t", "p", 0, 0, "x", 1.0), ("u", "s", "t", None, 0, 0, "y", 1.0), ("u", "z", "t", "p", 0, 0, "x", 1.0)])
+    b = parity_side(spark, [("u", "s", "t", "p", 0, 0, "x", 2.0), ("u", "s", "t", "p", 1, 0, "x", 3.0), ("u", "s", "t", "q", 0, 0, "y", 1.0)])
+    feed = "group_key string, bracket_id string, old_value double, new_value double, position int"
+    d1 = spark.createDataFrame([("g", "x", 1.0, 2.0, 0), ("g", None, 1.0, 1.0, 1), ("h", "x", 1.0, 2.0, 0)], feed)
+    d2 = spark.createDataFrame([("g", "x", 1.0, 2.0, 0), ("g", "x", 1.0, 2.5, 1), ("k", "x", 1.0, 2.0, 0)], feed)
+    items = compare_runs(*zip(a, b), (d1, d2))
+    assert sorted((r.category, r.scope, r.message) for r in items.collect()) == sorted([
+        ("BRACKET_VALUE_MISMATCH", "snapshot", "surcharge_percent mismatch for p x"),
+        ("SCOPE_OR_DATE_MISMATCH", "snapshot", "program missing in llm: null"),
+        ("SCOPE_OR_DATE_MISMATCH", "snapshot", "extra program in llm: q"),
+        ("MISSING_IN_LLM", "snapshot", "snapshot missing in llm"),
+        ("BRACKET_VALUE_MISMATCH", "delta", "new_value mismatch for x"),
+        ("MISSING_IN_LLM", "delta", "delta group missing in llm"), ("EXTRA_IN_LLM", "delta", "extra delta group in llm"),
+    ] + [("SCOPE_OR_DATE_MISMATCH", "delta", None)])
+    plan = items._jdf.queryExecution().optimizedPlan().toString()
+    # The stored frames: snapshots once, programs and groups of deltas twice.
+    assert plan.count("Relation [") == 5
