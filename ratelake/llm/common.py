@@ -161,7 +161,7 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray,
     for j in range(n):
         inside = position + j < size
         shifted = np.zeros(count, np.uint64)
-        shifted[: count - j] = hashes[j:]
+        shifted[: max(0, count - j)] = hashes[j:]
         total += np.where(inside, shifted * factors[j], np.uint64(0))
     keep = (position + n <= size) | ((size < n) & (position == 0))
     short = np.where(size < n, size, n).astype(np.uint64)

@@ -49,6 +49,18 @@ def test_jaccard_components(spark, seed):
     assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute_components(rows)
 
 
+@pytest.mark.parametrize("n", range(1, 7))
+def test_jaccard_tiny_partitions(spark, n):
+    """Partitions that hold a few words in all, down to one."""
+    text = " ".join(f"w{k}" for k in range(n))
+    rows = [(1, text), (2, text.upper()), (3, "w0"), (4, None), (5, "")]
+    for parts in (1, 5):
+        got = jaccard.near_duplicates(frame(spark, rows).repartition(parts, "doc_id")).collect()
+        assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute_components(rows)
+    alone = jaccard.near_duplicates(frame(spark, rows[:1])).collect()
+    assert [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in alone] == [(1, max(1, n - 4), 1)]
+
+
 def test_jaccard_dense_family(spark):
     """Many edited copies of one text: links between them are not all with one pivot."""
     rng = np.random.default_rng(4)
