@@ -8,6 +8,8 @@ filter that cannot name them. Empty tables pass through as empty results.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,23 @@ from ratelake.llm.common import read, stored
 from ratelake.llm.queries import BYTE_BPE, query, training_labels
 
 
+# Rows carry whole texts from stage to stage, so what a task holds of them at once is bounded:
+# the batches that travel to Python and the row groups that a writer fills.
+BOUNDS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), "parquet.block.size": str(16 << 20)}
+
+
+def _bounded(stage):
+    """The stage with BOUNDS set for the session, and kept, since its result is computed later."""
+
+    @wraps(stage)
+    def run_bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for key, value in BOUNDS.items():
+            spark.conf.set(key, value)
+        return stage(spark, docs, sf_dir)
+
+    return run_bounded
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     scored = quality.score(docs, training_labels(spark, sf_dir), name="_score")
@@ -55,11 +74,11 @@ def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
-    ("quality", quality_stage),
-    ("near_copies", near_copies_stage),
-    ("repeats", repeats_stage),
-    ("leaks", leaks_stage),
-    ("tokens", tokens_stage),
+    ("quality", _bounded(quality_stage)),
+    ("near_copies", _bounded(near_copies_stage)),
+    ("repeats", _bounded(repeats_stage)),
+    ("leaks", _bounded(leaks_stage)),
+    ("tokens", _bounded(tokens_stage)),
 ]
 
 # SQL cannot express a classifier or an alignment; tests/llm checks the stages instead.
