@@ -7,9 +7,13 @@ nearer kept one, and reverse edges are pruned the same way. Queries meet every s
 in blocks, search it with a beam, and the best of all shards is the answer; scores are
 cosines of the original vectors in double precision.
 
-Equal vectors are one node that carries their smallest ids, as many as an answer can
-hold; so a vector that fills a third of the table costs one node, and no row is lost:
-further ids could never be among the nearest before those.
+Equal vectors are one entry that carries their smallest ids, as many as an answer can
+hold; so a vector that fills a third of the table costs one entry, and no row is lost:
+further ids could never be among the nearest before those. Entries whose directions agree
+on a grid of GRID steps are one node of the graph, since no search can tell them apart;
+all entries of all nodes that a search holds are scored. Where the last node held is as
+near as the k-th, up to single precision, the search is done again with a wider beam, so a
+tie of any size is seen as a whole and goes to the smaller ids.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, as
 query or candidate. Rows that repeat an id count once (the smallest vector). Vectors
@@ -34,6 +38,8 @@ BEAM = 64  # vectors a search holds
 STEP = 4  # vectors expanded at once
 RELAX = 1.2  # pruning: an edge goes if RELAX * d(kept, it) <= d(vector, it)
 BATCH = 512  # vectors inserted or searched at a time
+GRID = 1 << 16  # steps of a unit's component within which directions are one node
+TIE = 1e-6  # distances that single precision does not tell apart
 
 
 def search(unit: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
@@ -127,6 +133,20 @@ def build(unit: np.ndarray, degree: int = DEGREE) -> tuple[np.ndarray, int]:
     return graph, start
 
 
+def search_ties(unit: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, k: int) -> list[np.ndarray]:
+    """Nodes held for each query; wider beams where a tie reaches the beam's end."""
+    held: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
+    rows, beam = np.arange(len(queries)), BEAM
+    while len(rows):
+        nodes, distance = search(unit, graph, start, queries[rows], beam)
+        for j, row in enumerate(rows.tolist()):
+            held[row] = nodes[j][nodes[j] >= 0]
+        width = nodes.shape[1]
+        tied = distance[:, -1] <= distance[:, min(k, width - 1)] + TIE
+        rows, beam = rows[tied & (width < len(unit))], beam * 4
+    return held
+
+
 def _usable(v: Column) -> Column:
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     return v.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(v, lambda x: x != 0)
@@ -157,10 +177,13 @@ def nearest(
     def index(table: pa.Table) -> pa.Table:
         v = np.array(table.column("v").to_pylist(), np.float64)
         unit = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
-        graph, start = build(unit)
+        _, first, node = np.unique(np.round(unit * GRID).astype(np.int32), axis=0, return_index=True, return_inverse=True)
+        graph, start = build(unit[first])
         return pa.table({
             "dim": table.column("dim")[:1], "shard": table.column("shard")[:1], "start": pa.array([start], pa.int32()),
             "vectors": pa.array([v.tobytes()], pa.binary()),
+            "first": pa.array([first.astype(np.int32).tobytes()], pa.binary()),
+            "node": pa.array([node.astype(np.int32).tobytes()], pa.binary()),
             "graph": pa.array([graph.astype(np.int32).tobytes()], pa.binary()),
             "ids": pa.array([table.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64()))),
         })
@@ -171,7 +194,8 @@ def nearest(
     )
     graphs = stored(
         dealt.groupBy("dim", "shard").applyInArrow(
-            index, "dim int, shard int, start int, vectors binary, graph binary, ids array<array<bigint>>"
+            index,
+            "dim int, shard int, start int, vectors binary, first binary, node binary, graph binary, ids array<array<bigint>>",
         ),
         "ann-graphs",
     )
@@ -186,24 +210,30 @@ def nearest(
         if left.num_rows and right.num_rows:
             row = left.slice(0, 1).to_pylist()[0]
             v = np.frombuffer(row["vectors"]).reshape(-1, row["dim"])
-            graph = np.frombuffer(row["graph"], np.int32).reshape(len(v), -1)
+            first, node = (np.frombuffer(row[name], np.int32) for name in ("first", "node"))
+            graph = np.frombuffer(row["graph"], np.int32).reshape(len(first), -1)
             norm = np.linalg.norm(v, axis=1)
-            unit = (v / norm[:, None]).astype(np.float32)
+            unit = (v[first] / norm[first][:, None]).astype(np.float32)
+            # Entries by node, and ids by entry.
+            by_node, node_at = np.argsort(node, kind="stable"), np.searchsorted(np.sort(node), np.arange(len(first) + 1))
+            id_at = np.concatenate([[0], np.cumsum([len(i) for i in row["ids"]])])
+            ids = np.array([i for own in row["ids"] for i in own], np.int64)
             for low in range(0, right.num_rows, BATCH):
                 part = right.slice(low, BATCH)
                 own = part.column("query_id").to_pylist()
                 q = np.array(part.column("v").to_pylist(), np.float64)
                 q_norm = np.linalg.norm(q, axis=1)
-                nodes, _ = search(unit, graph, row["start"], (q / q_norm[:, None]).astype(np.float32))
+                held = search_ties(unit, graph, row["start"], (q / q_norm[:, None]).astype(np.float32), k)
                 for j, query in enumerate(own):
-                    some = nodes[j][nodes[j] >= 0][: 3 * k + 3]
+                    some = np.concatenate([by_node[node_at[n] : node_at[n + 1]] for n in held[j]])
                     score = (v[some] * q[j]).sum(axis=1) / (norm[some] * q_norm[j])
-                    for s, node in zip(score.tolist(), some.tolist()):
-                        for i in row["ids"][node]:
-                            if i != query:
-                                found["query_id"].append(query)
-                                found["vec_id"].append(i)
-                                found["score"].append(s)
+                    named = np.concatenate([ids[id_at[e] : id_at[e + 1]] for e in some])
+                    score = np.repeat(score, id_at[some + 1] - id_at[some])
+                    named, score = named[named != query], score[named != query]
+                    best = np.lexsort((named, -score))[:k]
+                    found["query_id"] += [query] * len(best)
+                    found["vec_id"] += named[best].tolist()
+                    found["score"] += score[best].tolist()
         return pa.table(found, pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
 
     keys = ["dim", "shard", "block"]

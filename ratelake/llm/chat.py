@@ -64,10 +64,10 @@ class Visitor:
     def visit(self, part: dict | None) -> None:
         part = part or {}
         kind = part.get("kind") or "text"
-        handler = getattr(self, f"visit_{kind}", None)
-        if handler is None:
-            raise ValueError(f"unknown kind of part: {kind}")
-        handler(part)
+        handlers = {
+            "text": self.visit_text, "image": self.visit_image, "audio": self.visit_audio, "document": self.visit_document,
+        }
+        handlers.get(kind, self.visit_other)(part)
         self.part += 1
 
     def visit_text(self, part: dict) -> None:
@@ -82,6 +82,12 @@ class Visitor:
     def visit_document(self, part: dict) -> None:
         self._attach("document", part, math.ceil((part.get("size") or 0) * PER_PAGE))
 
+    def visit_other(self, part: dict) -> None:
+        """A kind without a rule is an attachment of no tokens, under its own name if that
+        can stand in a placeholder."""
+        kind = part["kind"]
+        self._attach(kind if re.fullmatch(r"\w+", kind) else "unknown", part, 0)
+
     def _attach(self, kind: str, part: dict, n_tokens: int) -> None:
         self.out.append(f"<|{kind}|>")
         self.attachments.append(

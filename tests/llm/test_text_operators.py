@@ -142,3 +142,13 @@ def test_lm_classes_sum_to_one():
     rows = rng.integers(0, lm.ROWS, (50, 5))
     logs = lm._log_classes(rng.normal(0, 1, (lm.ROWS, lm.CLASSES)).astype(np.float32), np.zeros(lm.CLASSES, np.float32), rows)
     assert np.allclose(np.exp(logs).sum(1), 1, atol=1e-4)
+
+
+def test_unknown_kinds_of_parts():
+    """They are attachments without tokens, and the text stays readable."""
+    parts = [{"kind": "video", "ref": "v"}, {"kind": "text", "text": "a <|video|> b"}, {"kind": "a|b", "ref": "w"}, {"kind": "_attach"}]
+    out = chat.format_turns([{"role": "user", "parts": parts}])
+    assert [(a["kind"], a["ref"], a["n_tokens"], a["part"]) for a in out["attachments"]] == [
+        ("video", "v", 0, 0), ("unknown", "w", 0, 2), ("_attach", None, 0, 3)]
+    assert chat.read_back(out["formatted"]) == [
+        ("user", [("video", ""), ("text", "a <|video|> b"), ("unknown", ""), ("_attach", "")])]

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ratelake.llm import centroids, negatives
+from ratelake.llm import ann, centroids, negatives
 
 
 def vectors(spark, rows, kind="float"):
@@ -158,3 +158,57 @@ def test_cells_are_in_order_and_bounds_hold():
 def test_no_negatives(spark):
     assert mined(spark, []) == []
     assert mined(spark, [(0, [1.0, 0.0], 1), (1, [-1.0, 0.0], 1), (2, [0.5, 0.0], 2)]) == []
+
+
+def plain_nearest(rows, asks, k):
+    table = {}
+    for i, v in rows:
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            v = [float(np.float32(x)) for x in v]
+            table[i] = min(table.get(i, v), v)
+    out = {}
+    for q in table:
+        if not asks(q):
+            continue
+        w, scored = np.array(table[q]), []
+        for i, v in table.items():
+            if i != q and len(v) == len(w):
+                v = np.array(v)
+                scored.append((-(v * w).sum() / (np.linalg.norm(v) * np.linalg.norm(w)), i))
+        out[q] = [(i, -s) for s, i in sorted(scored)[:k]]
+    return out
+
+
+def test_nearest_of_scaled_copies(spark):
+    """Equal cosines in double precision go to the smaller ids, however many there are; so
+    do nearly equal ones to the larger cosine."""
+    rng = np.random.default_rng(3)
+    base, near = rng.normal(size=16), rng.normal(size=16)
+    rows = [(i, [float(x) for x in base * 2.0 ** (i % 23 - 11)]) for i in range(300, 0, -1)]
+    rows += [(1000 + i, [float(x) for x in near + rng.normal(size=16) * 1e-6]) for i in range(250)]
+    rows += [(2000 + i, [float(x) for x in rng.normal(size=16)]) for i in range(900)]
+    df = vectors(spark, [(i, v, 0) for i, v in rows]).repartition(3).drop("rank", "score")
+    asks = {50, 1000, 1100, 2050}
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id").isin(list(asks)), 5).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    want = plain_nearest(rows, lambda q: q in asks, 5)
+    assert set(got) == asks
+    for q in (50, 1000, 1100):
+        assert [(i, round(s, 12)) for _, i, s in sorted(got[q])] == [(i, round(s, 12)) for i, s in want[q]]
+    assert [i for _, i, _ in sorted(got[50])] == [1, 2, 3, 4, 5]
+
+
+def test_nearest_over_many_shards(spark, monkeypatch):
+    """Recall over ten shards and more."""
+    monkeypatch.setattr(ann, "SHARD", 300)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 24))
+    rows = [(i, [float(x) for x in centres[i % 40] + rng.normal(size=24) * 0.6]) for i in range(3600)]
+    df = vectors(spark, [(i, v, 0) for i, v in rows]).drop("rank", "score")
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 90 == 0, 5).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = plain_nearest(rows, lambda q: q % 90 == 0, 5)
+    hits = sum(len(got[q] & {i for i, _ in own}) for q, own in want.items())
+    assert hits >= 0.9 * 5 * len(want)
