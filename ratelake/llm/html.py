@@ -6,15 +6,18 @@ each node the odds that it belongs to the article. Decoding chooses for every su
 between keeping it, dropping it and deciding for its children, so no node is kept under
 a dropped one; text is what the kept blocks hold, in page order.
 
-The trees are trained here on at most ``TRAIN_PAGES`` pages: as they are, with weak
-labels from their elements, and laid out anew, with their texts as articles, menus,
-notices, adverts, forms, sidebars and comments in common mark-up, where labels are known.
+The trees are trained here on at most ``TRAIN_PAGES`` pages of up to ``TRAIN_BYTES`` bytes:
+as they are, with weak labels from their elements, and laid out anew, with their texts as
+articles, menus, notices, adverts, forms, sidebars and comments in common mark-up, tables
+that only lay out among it, where labels are known. If all pages are longer, a rule on the
+elements' names takes the trees' place.
 
 Null and empty html gives an empty text. Repeated rows give repeated results.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +32,9 @@ from ratelake.llm.dom import N_FEATURES, Page
 TRAIN_PAGES = 150
 TRAIN_BYTES = 200_000  # longer pages are not trained on
 LAYOUTS = 4  # new layouts per training page
+CELLS = 0.15  # share of them in the cells of a table
 TREES, DEPTH, BINS, RATE, MIN_HESSIAN, LIMIT = 60, 4, 32, 0.25, 2.0, 6.0
+LONG, NEAR = 25, -1.5  # spaces of a long block; odds that are near even
 SPLIT_COST = 3.0  # what deciding for the children costs
 TREES_AT_ONCE = 64  # pages held by a task
 
@@ -100,7 +105,7 @@ def kept_blocks(page: Page, odds: np.ndarray) -> list[bool]:
     """Best consistent choice: for each block of text whether it is kept.
 
     Keeping a subtree whole is worth the odds of all its text, dropping it the opposite;
-    deciding for its parts is worth the best of each, less a cost.
+    deciding for its parts is worth the best of each, less a cost where there are several.
     """
     n = len(page.nodes)
     up = [node.parent.number if node.parent is not None else 0 for node in page.nodes]
@@ -109,21 +114,33 @@ def kept_blocks(page: Page, odds: np.ndarray) -> list[bool]:
         own[number] += 1 + np.log1p(len(text))
     whole = own * odds
     apart = np.abs(whole)
-    for k in range(n - 1, 0, -1):
-        whole[up[k]] += whole[k]
-        apart[up[k]] += max(abs(whole[k]), apart[k] - SPLIT_COST)
+    held = (own > 0).astype(np.int64)  # parts with text: a wrapper of one part is no decision
+    cost = np.zeros(n)
+    for k in range(n - 1, -1, -1):
+        cost[k] = SPLIT_COST if held[k] > 1 else 0.0
+        if k:
+            whole[up[k]] += whole[k]
+            apart[up[k]] += max(abs(whole[k]), apart[k] - cost[k])
+            held[up[k]] += held[k] > 0
     state = np.zeros(n, np.int8)  # 1 kept whole, -1 dropped whole, 0 decided below
     for k in range(n):
         if k and state[up[k]]:
             state[k] = state[up[k]]
-        elif abs(whole[k]) >= apart[k] - SPLIT_COST:
+        elif abs(whole[k]) >= apart[k] - cost[k]:
             state[k] = 1 if whole[k] > 0 else -1
     kept = (state > 0) | ((state == 0) & (odds > 0))
     return [bool(kept[number]) for number, _ in page.blocks]
 
 
 def main_text(page: Page, odds: np.ndarray) -> str:
-    return "\n".join(t for (_, t), keep in zip(page.blocks, kept_blocks(page, odds)) if keep)
+    """Kept blocks, one per line. Of a page that would lose all its text, though the odds of
+    a long block are near even, what is about as likely as the best of these stays."""
+    keep = kept_blocks(page, odds)
+    if not any(keep):
+        best = max((odds[number] for number, text in page.blocks if text.count(" ") >= LONG), default=-LIMIT)
+        if best > NEAR:
+            keep = kept_blocks(page, odds - best + 1)
+    return "\n".join(t for (_, t), kept in zip(page.blocks, keep) if kept)
 
 
 _OUT_TAGS = {"nav", "header", "footer", "aside", "form"}
@@ -191,11 +208,24 @@ def lay_out(rng, texts: list[str]) -> str:
     kinds = [k for k in _REST if rng.random() < 0.6]
     before = [_part(rng, k, texts) for k in kinds if k in ("menu", "head", "note", "advert", "form") ]
     after = [_part(rng, k, texts) for k in kinds if k in ("foot", "side", "talk", "advert", "share", "note", "form")]
+    if rng.random() < CELLS:
+        return f"<html><body>{''.join(before[1:])}{_cells(rng, ''.join(before[:1]), main, after[:1])}{''.join(after[1:])}</body></html>"
     if rng.random() < 0.5:
         main = f'<div class="{rng.choice(["wrapper", "container", "page", "row"])}">{main}{"".join(after[:1])}</div>'
     return f"<html><body>{''.join(before)}{main}{''.join(after)}</body></html>"
 
 
+def _cells(rng, before: str, main: str, after: list[str]) -> str:
+    """The page's columns as cells of a table that only lays out; the article's cell may be
+    all the mark-up it has."""
+    if rng.random() < 0.7:
+        main = re.sub(r"^<\w+ data-in=\"1\"[^>]*>|</\w+>$", "", main)
+    cells = [f'<td data-out="1">{before}</td>'] if before else []
+    cells.append(f'<td data-in="1">{main}</td>')
+    cells += [f'<td data-out="1">{a}</td>' for a in after]
+    return f"<table><tr>{''.join(cells)}</tr></table>"
+
+
 def train(htmls: list[str]) -> Trees | None:
     """Boosted trees from a bounded list of pages."""
     from html import escape

@@ -252,6 +252,29 @@ def test_pages(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+def test_articles_in_table_cells():
+    """Tables that only lay out a page, and articles without any mark-up of their own."""
+    import ratelake.llm.dom as dom
+
+    rng = np.random.default_rng(21)
+    vocabulary = ["".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(400)]
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(30, 60))) + "." for _ in range(60)]
+    model = html.train([f"<body><nav><a>{texts[0]}</a></nav><article>{''.join(f'<p>{t}</p>' for t in texts[k:k + 9])}</article></body>" for k in range(50)])
+    a, b = texts[40], texts[41]
+    for page in (
+        f"<table><tr><td>menu</td><td><p>{a}</p><p>{b}</p></td></tr></table>",
+        f'<html><body><table><tr><td><a href="#">menu</a></td><td><p>{a}</p><p>{b}</p></td></tr></table></body></html>',
+        f"<div><div><div><p>{a}</p><p>{b}</p></div></div></div>",
+        f"<p>{a}</p><p>{b}</p>",
+        f"<article><table><tr><td>{a}</td></tr><tr><td>{b}</td></tr></table></article>",
+    ):
+        parsed = dom.Page(page)
+        kept = html.main_text(parsed, model.odds(parsed.features())).split("\n")
+        assert [t for t in kept if t != "menu"] == [a, b], page
+    menu = dom.Page('<body><nav><a href="#">home</a> <a href="#">about</a></nav></body>')
+    assert html.main_text(menu, model.odds(menu.features())) == ""
+
+
 def test_pages_without_head_end():
     """The end tag of head may be left out, with or without a body tag after it."""
     import ratelake.llm.dom as dom
