@@ -95,14 +95,41 @@ def decontamination(spark, sf_dir):
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-@query("op1_ngram_jaccard")
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op1_ngram_jaccard", f"""WITH RECURSIVE
+split AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM split),
+items AS MATERIALIZED (SELECT r, len(s) AS n, unnest(s) AS g FROM sets),
+links AS MATERIALIZED (SELECT a.r AS x, b.r AS y FROM items a JOIN items b ON a.g = b.g AND a.r <> b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached AS (SELECT x, y FROM links UNION SELECT c.x, l.y FROM reached c JOIN links l ON c.y = l.x),
+least_of AS (SELECT x, min(doc_id) AS least FROM reached JOIN sets ON r = y GROUP BY x)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id
+FROM sets LEFT JOIN least_of ON x = r""")
 def ngram_jaccard(spark, sf_dir):
     from ratelake.llm.jaccard import near_duplicates
 
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
-@query("op4_repeats")
+@query("op4_repeats", """WITH
+bytes AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS MATERIALIZED (SELECT r, doc_id, i, md5_number(substr(h, 2 * i + 1, 100)) AS s
+  FROM bytes, LATERAL (SELECT unnest(range(greatest(0, len(h) // 2 - 49))) AS i)),
+starts AS (SELECT r, i FROM strings JOIN (SELECT s, min(doc_id) AS least FROM strings GROUP BY s) USING (s) WHERE least < doc_id),
+runs AS (SELECT r, i, sum(gap) OVER (PARTITION BY r ORDER BY i) AS run FROM (
+  SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 50 THEN 0 ELSE 1 END AS gap FROM starts)),
+spans AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY r, run),
+pieces AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+kept AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+  string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS k FROM pieces JOIN bytes USING (r) GROUP BY r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(k, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM bytes LEFT JOIN kept USING (r)""")
 def repeats(spark, sf_dir):
     from ratelake.llm.repeats import remove_repeats
 
