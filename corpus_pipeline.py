@@ -21,7 +21,7 @@ from ratelake.llm.queries import BYTE_BPE, query, training_labels
 
 # Rows carry whole texts from stage to stage, so what a task holds of them at once is bounded:
 # the batches that travel to Python and the row groups that a writer fills.
-BOUNDS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), "parquet.block.size": str(16 << 20)}
+BOUNDS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20), "parquet.block.size": str(8 << 20)}
 
 
 def _bounded(stage):
