@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from ratelake import fixed
-from ratelake.operators.gate import CANDIDATE_RULES, Choice, Flag, Rows, Text
 from ratelake.plans.model import CANDIDATE_SQL, CONTEXT_SQL, REPEATED
 
-WS = fixed.WHITESPACE
-
-# The check states its patterns itself, so that a wrong one in the library shows.
+# The check states its patterns and rules itself, so that a wrong one in the library shows.
+WS = r"[ \t\n\r\f\x0B\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+HYPHENS = r"[\x{2012}-\x{2014}\x{2212}]"
 BOUNDED = r"([0-9]+(?:[.][0-9]+)?)[ ]*(?:-|to)[ ]*([0-9]+(?:[.][0-9]+)?)"
 OPEN_HIGH = r"([0-9]+(?:[.][0-9]+)?)(?:[ ]*[+]|[ ]*and[ ]+above)"
 AT_LEAST = r">=[ ]*([0-9]+(?:[.][0-9]+)?)"
 OPEN_LOW = r"(?:<|under|less[ ]+than)[ ]*([0-9]+(?:[.][0-9]+)?)"
 NUMBER_PREFIX = r"^[-+]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][-+]?[0-9]+)?"
+FULL_MONTHS = "january february march april may june july august september october november december".split()
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 
 
@@ -22,7 +21,7 @@ def collapse(text: str) -> str:
 
 
 def clean_range(text: str) -> str:
-    hyphens = f"regexp_replace({text}, '{fixed.DASHES}', '-', 'g')"
+    hyphens = f"regexp_replace({text}, '{HYPHENS}', '-', 'g')"
     return collapse(f"lower(regexp_replace({hyphens}, '[$,]', '', 'g'))")
 
 
@@ -54,8 +53,8 @@ def percent(text: str) -> str:
     return f"TRY_CAST(nullif(regexp_extract({clean}, '{NUMBER_PREFIX}', 0), '') AS DOUBLE)"
 
 
-_LONG = "|".join(fixed.MONTH_NAMES)
-_SHORT = "|".join([*(m[:3] for m in fixed.MONTH_NAMES), "sept"])
+_LONG = "|".join(FULL_MONTHS)
+_SHORT = "|".join([*MONTHS, "sept"])
 _NAMED = rf"(?i)({_LONG}|{_SHORT})\.?{WS}+(\d{{1,2}})(?:st|nd|rd|th)?,?{WS}+(\d{{4}})"
 _NUMERIC = r"\b(\d{1,2})[/\-](\d{1,2})[/\-](\d{4})\b"
 
@@ -77,7 +76,25 @@ _KIND = (
 )
 
 
-def issues(rule, j: str, path: str, depth: int = 0) -> str:
+# Rules of a candidate: a text of choices, least and greatest length of a text, a dict for an
+# object, a list of one for rows; "?" after a name: null is allowed. Lists may be missing.
+_NOTE = {"code": (1, None), "message": (1, None), "severity": "info warning error"}
+_BRACKET = {"range_text": (1, None), "percent_text": (1, None), "row_evidence": (1, 300)}
+_WEEK = {"week_of": (4, 32), "ground_percent_text?": (1, 32), "air_percent_text?": (1, 32), "row_evidence": (1, 300)}
+CANDIDATE_SPEC = {
+    "artifact_type": "html pdf", "carrier": "UPS FedEx", "source_id": (1, None), "effective_date?": (4, 32),
+    "effective_date_evidence?": (1, 300),
+    "programs": [{
+        "program": "ground air international unknown", "table_title?": (1, 200), "table_title_evidence?": (1, 300),
+        "basis_hint?": "diesel jet gasoline unknown", "brackets": [_BRACKET], "table_evidence?": (1, 300),
+    }],
+    "links": [{"href": "url", "link_text?": (1, 200), "effective_date?": (4, 32), "evidence_snippet": (1, 300)}],
+    "history_90d?": {"rows": [_WEEK]},
+    "parse_warnings": [_NOTE],
+}
+
+
+def issues(rule, j: str, path: str, depth: int = 0, nullable: bool = False) -> str:
     """SQL list of 'path message' texts for the JSON expression ``j``."""
     none = "CAST([] AS VARCHAR[])"
     kind = _KIND.format(j=j)
@@ -89,36 +106,36 @@ def issues(rule, j: str, path: str, depth: int = 0) -> str:
     def expected(what: str) -> str:
         return one("'Expected " + what.replace("'", "''") + ", received ' || " + kind)
 
-    if isinstance(rule, Choice):
-        names = " | ".join(f"'{v}'" for v in rule.values)
-        accepted = ", ".join(f"'{v}'" for v in rule.values)
+    no_text = f"WHEN {kind} <> 'string' THEN {expected('string')}"
+    if rule == "url":
+        wrong = f"WHEN NOT regexp_matches({text}, '^https?://[^/]') THEN " + one("'Invalid url'")
+        body = f"CASE {no_text} {wrong} ELSE {none} END"
+    elif isinstance(rule, str):
+        names = " | ".join(f"'{v}'" for v in rule.split())
+        accepted = ", ".join(f"'{v}'" for v in rule.split())
         wrong = "'Invalid enum value. Expected " + names.replace("'", "''") + ", received ''' || " + text + " || ''''"
         body = f"CASE WHEN {kind} <> 'string' THEN {expected(names)} WHEN {text} NOT IN ({accepted}) THEN {one(wrong)} ELSE {none} END"
-    elif isinstance(rule, Text):
-        cases = [f"WHEN {kind} <> 'string' THEN {expected('string')}"]
-        if rule.min:
-            cases.append(f"WHEN length({text}) < {rule.min} THEN " + one(f"'String must contain at least {rule.min} character(s)'"))
-        if rule.max is not None:
-            cases.append(f"WHEN length({text}) > {rule.max} THEN " + one(f"'String must contain at most {rule.max} character(s)'"))
-        if rule.url:
-            cases.append(f"WHEN NOT regexp_matches({text}, '^https?://[^/]') THEN " + one("'Invalid url'"))
+    elif isinstance(rule, tuple):
+        least, most = rule
+        cases = [no_text, f"WHEN length({text}) < {least} THEN " + one(f"'String must contain at least {least} character(s)'")]
+        if most is not None:
+            cases.append(f"WHEN length({text}) > {most} THEN " + one(f"'String must contain at most {most} character(s)'"))
         body = f"CASE {' '.join(cases)} ELSE {none} END"
-    elif isinstance(rule, Flag):
-        body = f"CASE WHEN {kind} <> 'boolean' THEN {expected('boolean')} ELSE {none} END"
-    elif isinstance(rule, Rows):
+    elif isinstance(rule, list):
         x, i = f"x{depth}", f"i{depth}"
-        inner = issues(rule.item, x, f"{path} || '.' || ({i} - 1)", depth + 1)
+        inner = issues(rule[0], x, f"{path} || '.' || ({i} - 1)", depth + 1)
         nested = f"flatten(list_transform(json_extract({j}, '$[*]'), lambda {x}, {i}: {inner}))"
         body = f"CASE WHEN {kind} <> 'array' THEN {expected('array')} ELSE {nested} END"
     else:
-        parts = [
-            issues(r, f"json_extract({j}, '$.{name}')", f"'{name}'" if path == "''" else f"{path} || '.{name}'", depth)
-            for name, r in rule.fields.items()
-        ]
+        parts = []
+        for field, r in rule.items():
+            name = field.rstrip("?")
+            below = f"'{name}'" if path == "''" else f"{path} || '.{name}'"
+            parts.append(issues(r, f"json_extract({j}, '$.{name}')", below, depth, field.endswith("?")))
         body = f"CASE WHEN {kind} <> 'object' THEN {expected('object')} ELSE flatten([{', '.join(parts)}]) END"
-    if rule.nullable:
+    if nullable:
         body = f"CASE WHEN {kind} = 'null' THEN {none} ELSE {body} END"
-    missing = none if rule.optional else one("'Required'")
+    missing = none if isinstance(rule, list) else one("'Required'")
     return f"CASE WHEN {j} IS NULL THEN {missing} ELSE {body} END"
 
 
@@ -129,7 +146,7 @@ CANDIDATES_CTE = f"""raw_cand AS MATERIALIZED (
   FROM orders),
 docs AS MATERIALIZED (SELECT *, CASE WHEN json_valid(raw) THEN CAST(replace(raw, '{REPEATED}', '') AS JSON) END AS doc FROM raw_cand),
 gated AS MATERIALIZED (
-  SELECT *, CASE WHEN doc IS NULL THEN [' Invalid JSON'] ELSE {issues(CANDIDATE_RULES, 'doc', "''")} END AS issues
+  SELECT *, CASE WHEN doc IS NULL THEN [' Invalid JSON'] ELSE {issues(CANDIDATE_SPEC, 'doc', "''")} END AS issues
   FROM docs)"""
 
 # Valid candidates flattened, with parsed dates, ranges and percents.
