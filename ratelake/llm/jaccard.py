@@ -29,10 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import discard, pieces, shingles, stored, text_bytes, words
+from ratelake.llm.common import WINDOW, discard, pieces, shingles, stored, text_bytes, words
 from ratelake.llm.components import components
 
 N = 5
@@ -233,6 +234,13 @@ def _sketch(values: np.ndarray, common: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes (null: empty)."""
+    for batch in pieces(batches, "text"):
+        texts = [zstandard.compress(t or b"", 3) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "text"])
+
+
 def overlaps(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b, u, v, size_a, size_b, overlap) of class pairs (a, b), from whole texts, with
     sketches of what a lacks of b (gone) and has beside it (extra).
@@ -245,15 +253,20 @@ def overlaps(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     wanted = named.select(F.col("u").alias("doc_id")).union(named.select("v")).distinct()
     if wanted.count() <= SMALL:  # a checked size; otherwise texts are shuffled
         wanted = F.broadcast(wanted)
+    kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    texts = stored(texts, "jaccard-texts")
+    # Each text travels to its pairs twice, so it is compressed once for all of them.
+    texts = stored(texts.mapInArrow(_compressed, f"doc_id {kind}, text binary"), "jaccard-texts")
     with_left = named.join(texts.toDF("u", "text_a"), "u")
     with_both = with_left.join(texts.toDF("v", "text_b"), "v")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in pieces(batches, "text_a"):
-            for batch in pieces([whole], "text_b"):
-                left, right = list(sets(batch.column("text_a"))), list(sets(batch.column("text_b")))
+        for whole in pieces(batches, "text_a", WINDOW // 4):
+            for batch in pieces([whole], "text_b", WINDOW // 4):
+                left, right = (
+                    list(sets(pa.array([zstandard.decompress(t) for t in batch.column(c).to_pylist()], pa.binary())))
+                    for c in ("text_a", "text_b")
+                )
                 both = [np.intersect1d(x, y, assume_unique=True) for x, y in zip(left, right)]
                 gone = np.stack([_sketch(y, z) for y, z in zip(right, both)]) if both else np.zeros((0, WORDS), np.int64)
                 extra = np.stack([_sketch(x, z) for x, z in zip(left, both)]) if both else gone
@@ -266,7 +279,6 @@ def overlaps(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
                     ["a", "b", "u", "v", "size_a", "size_b", "overlap", *_SKETCH],
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
     out = stored(
         with_both.select("a", "b", "u", "v", "text_a", "text_b").mapInArrow(
             compare,
