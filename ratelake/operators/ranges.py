@@ -9,6 +9,9 @@ from ratelake import fixed
 from ratelake.operators.keyed import first_per_key
 
 
+_FAR = 1e300  # bounds and values beyond are compared one by one
+
+
 def _first_open(points: DataFrame, rows: DataFrame, keys: list[str], value: str, position: str) -> DataFrame:
     """Of the one-sided brackets whose bound ``_at`` is not above a point's ``_at``: the
     smallest position, found by carrying it along the ordered bounds and points.
@@ -46,51 +49,73 @@ def range_lookup(
     """Bracket ``position`` that holds each distinct (keys, value) of ``facts``:
     the smallest position with low <= value < high + epsilon (NULL bounds open).
 
-    Closed brackets are filed under the power of two just above their width and
-    touch at most three bins of that size, so the join is an equi-join on
-    (keys, level, bin); a value probes only the levels its table has. Brackets of
-    equal bounds are merged first. One-sided ones are carried along the ordered values,
-    so no point meets more than one of them.
+    No value meets the brackets it lies in one by one, so brackets that overlap cost no
+    more than others. Closed brackets are filed under the power of two just above their
+    width, in bins of a quarter of it: each covers some bins, ends in one and begins in
+    another, and there it is one-sided. A value probes the bins that hold brackets, one of
+    each level. One-sided brackets are carried along the ordered values. Brackets of equal
+    bounds are merged first. Only brackets with an infinite bound or NaN meet every value
+    of their table.
     """
     points = facts.select(*keys, value).filter(F.col(value).isNotNull()).distinct()
     distinct = brackets.groupBy(*keys, low, high).agg(F.min(position).alias(position))
 
+    end = F.col(high).cast("double") + fixed.BRACKET_EPSILON
+    inside = (F.col(low) <= F.col(value)) & (F.col(value) < F.col(high) + fixed.BRACKET_EPSILON)
     closed = distinct.filter(F.col(low).isNotNull() & F.col(high).isNotNull())
-    width = F.greatest(F.col(high) + fixed.BRACKET_EPSILON - F.col(low), F.lit(fixed.BRACKET_EPSILON))
-    level = F.ceil(F.log2(width)).cast("int")
+    finite = (F.abs(F.col(low).cast("double")) < _FAR) & (F.abs(end) < _FAR)
+    far_hits = points.join(closed.filter(~finite), keys).filter(inside).select(*keys, value, position)
+
+    width = end - F.col(low).cast("double")
     size = F.pow(F.lit(2.0), F.col("_level").cast("double"))
 
     def bin_of(x: Column) -> Column:
-        return F.floor(x / size)
+        return F.floor(x.cast("double") / size)
 
-    filed = closed.filter(F.col(low) <= F.col(high) + fixed.BRACKET_EPSILON).withColumn("_level", level)
-    filed = filed.withColumn(
-        "_bin", F.explode(F.sequence(bin_of(F.col(low)), bin_of(F.col(high) + fixed.BRACKET_EPSILON)))
+    filed = (
+        closed.filter(finite & (width > 0)).withColumn("_level", F.ceil(F.log2(width)).cast("int") - 2)
+        .withColumn("_first", bin_of(F.col(low))).withColumn("_last", bin_of(end))
+        .withColumn("_bin", F.explode(F.sequence("_first", "_last")))
     )
-    levels = filed.groupBy(*keys).agg(F.collect_set("_level").alias("_levels"))
+    cells = [*keys, "_level", "_bin"]
+    covers = (F.col("_first") < F.col("_bin")) & (F.col("_bin") < F.col("_last"))
+    bins = filed.groupBy(*cells).agg(F.min(F.when(covers, F.col(position))).alias(position))
+    levels = bins.groupBy(*keys).agg(F.collect_set("_level").alias("_levels"))
     probes = (
-        points.join(levels, keys)
+        points.filter(F.abs(F.col(value).cast("double")) < _FAR).join(levels, keys)
         .withColumn("_level", F.explode("_levels"))
         .withColumn("_bin", bin_of(F.col(value)))
         .drop("_levels")
+        .join(bins, cells)
     )
-    inside = (F.col(low) <= F.col(value)) & (F.col(value) < F.col(high) + fixed.BRACKET_EPSILON)
-    hits = probes.join(filed, [*keys, "_level", "_bin"]).filter(inside).select(*keys, value, position)
+    covered = probes.filter(F.col(position).isNotNull()).select(*keys, value, position)
+    probes = probes.drop(position)
+    begun = filed.filter(F.col("_bin") == F.col("_first")).withColumn("_at", F.col(low).cast("double"))
+    ended = filed.filter(F.col("_bin") == F.col("_last")).withColumn("_at", -end)
 
     rising = distinct.filter(F.col(low).isNotNull() & F.col(high).isNull()).withColumn("_at", F.col(low).cast("double"))
     falling = distinct.filter(F.col(low).isNull() & F.col(high).isNotNull()).withColumn(
         "_at", -(F.col(high).cast("double") + fixed.BRACKET_EPSILON)
     )
     everything = distinct.filter(F.col(low).isNull() & F.col(high).isNull())
-    upward = points.withColumn("_at", F.col(value).cast("double")).withColumn("_open", F.lit(False))
-    downward = points.withColumn("_at", -F.col(value).cast("double")).withColumn("_open", F.lit(True))
+
+    def upward(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_at", F.col(value).cast("double")).withColumn("_open", F.lit(False))
+
+    def downward(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_at", -F.col(value).cast("double")).withColumn("_open", F.lit(True))
+
     of_type = lambda df: df.withColumn(value, F.col(value).cast(points.schema[value].dataType))
-    open_hits = (
-        of_type(_first_open(upward, rising, keys, value, position))
-        .unionByName(of_type(_first_open(downward, falling, keys, value, position)))
+    hits = (
+        of_type(_first_open(upward(points), rising, keys, value, position))
+        .unionByName(of_type(_first_open(downward(points), falling, keys, value, position)))
         .unionByName(points.join(everything, keys).select(*keys, value, position))
+        .unionByName(covered)
+        .unionByName(of_type(_first_open(upward(probes), begun, cells, value, position)).select(*keys, value, position))
+        .unionByName(of_type(_first_open(downward(probes), ended, cells, value, position)).select(*keys, value, position))
+        .unionByName(far_hits)
     )
-    return hits.unionByName(open_hits).groupBy(*keys, value).agg(F.min(position).alias(position))
+    return hits.groupBy(*keys, value).agg(F.min(position).alias(position))
 
 
 def range_join(

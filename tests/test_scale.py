@@ -36,3 +36,91 @@ def test_artifacts_are_listed_by_a_task_per_core(spark, tmp_path):
     stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
     assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= sc.defaultParallelism
     assert found.groupBy("value").count().filter("count = 2").count() == 80
+
+
+ODD = ["7", "-1.5", "1e999", "true", "null", '"true"', '"7"', '"-1.5"', '"NaN"', '""', '"{}"', "{}", "[]", '"2024-01-01"', '"x"', '"https://a.b/c"']
+
+
+def test_documents_cleared_by_their_types_have_no_issue(spark):
+    import json
+
+    from ratelake.operators.gate import CANDIDATE_RULES, DELTA_RULES, issues, quick_issues, with_json
+
+    whole = {
+        "artifact_type": "html", "carrier": "UPS", "source_id": "s", "effective_date": None, "effective_date_evidence": "seen",
+        "programs": [{
+            "program": "ground_domestic", "table_title": None, "table_title_evidence": None, "basis_hint": None, "table_evidence": None,
+            "brackets": [{"range_text": "$1 - $2", "percent_text": "5%", "row_evidence": "r"}],
+        }],
+        "links": [{"href": "https://example.com/a", "link_text": None, "effective_date": None, "evidence_snippet": "e"}],
+        "history_90d": {"rows": [{"week_of": "2024-01-01", "ground_percent_text": None, "air_percent_text": "1%", "row_evidence": "r"}]},
+        "parse_warnings": [{"code": "X", "message": "m", "severity": "info"}],
+    }
+    delta = {n: "x" for n in DELTA_RULES.fields} | {
+        "schema_version": "1.0", "old_value": 1.5, "new_value": None, "parser_structural_error": False,
+        "publishability": {"is_publishable": True, "reasons": []},
+    }
+
+    def places(x, at=()):
+        yield at
+        for k, v in x.items() if isinstance(x, dict) else enumerate(x) if isinstance(x, list) else ():
+            yield from places(v, (*at, k))
+
+    def changed(doc, at, value):
+        if not at:
+            return value
+        copy = json.loads(json.dumps(doc))
+        node = copy
+        for k in at[:-1]:
+            node = node[k]
+        if value is None:
+            del node[at[-1]]
+        else:
+            node[at[-1]] = "@@"
+        return json.dumps(copy).replace('"@@"', value or "")
+
+    for doc, rules in ((whole, CANDIDATE_RULES), (delta, DELTA_RULES)):
+        texts = [json.dumps(doc)] + [changed(doc, p, v) for p in places(doc) for v in [*ODD, None] if p or v]
+        texts += [changed(doc, p, json.dumps("x" * n)) for p in places(doc) for n in (3, 4, 32, 33, 201, 301) if p]
+        rows = with_json(spark.createDataFrame([(t,) for t in texts], "raw string"), "raw", "doc").filter("doc is not null")
+        doc_column, root = F.col("doc"), F.lit("")
+        both = rows.select("raw", issues(doc_column, rules, root).alias("a"), quick_issues(doc_column, rules).alias("b"))
+        assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).take(1) == []
+        assert both.filter(F.size("b") > 0).count() > len(texts) / 3
+
+
+def test_tasks_of_candidates_grow_with_the_orders(spark, tmp_path, monkeypatch):
+    from ratelake.plans import model
+
+    monkeypatch.setattr(model, "TASK_DOCUMENTS", 100)
+    day = F.lit("2024-01-01").cast("timestamp").alias("o_orderdate")
+    spark.range(0, 2000, 1, 1).select(F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), day).write.parquet(
+        f"{tmp_path}/orders.parquet"
+    )
+    rows = model.candidate_rows(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() == 20
+    assert rows.count() == 2000
+
+
+def test_overlapping_brackets_are_not_met_one_by_one(spark):
+    import random
+
+    from ratelake.operators.ranges import range_lookup
+
+    pick, inf = random.Random(5), float("inf")
+    brackets = [("t", -1.0, 2000.0 + k, 900 + k) for k in range(50)] + [("t", 3.0, 3.0, 2), ("t", 8.0, 7.0, 1), ("t", 1e16, inf, 0), ("u", None, -5.0, 3)]
+    for k in range(300):
+        low = pick.randrange(0, 4000) / 4
+        brackets.append(("t", low, low + pick.choice([0.0, 0.25, 0.5, 1.0, 3.75, 64.0]), 1000 - k))
+    values = [("t", x / 8) for x in range(-16, 8100, 3)] + [("t", 3.0), ("t", 2e16), ("t", inf), ("t", float("nan")), ("u", -7.0), ("u", 1.0)]
+    facts = spark.createDataFrame(values, "k string, v double")
+    found = range_lookup(facts, spark.createDataFrame(brackets, "k string, low double, high double, pos int"), ["k"], "v", "low", "high", "pos")
+    rows = {(r["k"], r["v"]): r["pos"] for r in found.collect()}
+    wanted = {}
+    for k, v in values:
+        hits = [p for t, a, b, p in brackets if t == k and (a is None or v >= a) and (b is None or v < b + 1e-9)]
+        if hits and v == v:
+            wanted[k, v] = min(hits)
+    assert rows == wanted
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and "_bin" in line and "<" in line]
