@@ -124,3 +124,38 @@ def test_overlapping_brackets_are_not_met_one_by_one(spark):
     assert rows == wanted
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.splitlines() if "Join" in line and "_bin" in line and "<" in line]
+
+
+def test_artifacts_leave_the_folders_and_texts_of_a_partitioned_write(spark, tmp_path):
+    from ratelake.sources.writers import ARTIFACT_KEYS
+
+    odd = ["a b", "a/b", "a=b%", "é:+?", "", None, "q\"'#*\\[]{}^~&", "tab\there"]
+    rows = spark.createDataFrame(
+        [("ups", x, f"d{k % 2}", "a.json", f"xé{k}{j}" if k != 3 else None) for k, x in enumerate(odd) for j in range(2)],
+        [*ARTIFACT_KEYS, "text"],
+    )
+    write_artifacts(rows, "text", f"{tmp_path}/a")
+    rows.repartition(3, *ARTIFACT_KEYS).select(*ARTIFACT_KEYS, F.col("text").alias("value")).write.partitionBy(*ARTIFACT_KEYS).text(f"{tmp_path}/b")
+
+    def texts(root):
+        found = {}
+        for path in glob.glob(f"{root}/**/part-*", recursive=True):
+            with open(path, newline="") as f:
+                found.setdefault(path[len(root):].rsplit("/", 1)[0], []).extend(f.readlines())
+        return {folder: sorted(lines) for folder, lines in found.items()}
+
+    assert texts(f"{tmp_path}/a") == texts(f"{tmp_path}/b")
+    write_artifacts(rows, "text", f"{tmp_path}/a")
+    assert {folder: len(lines) for folder, lines in texts(f"{tmp_path}/a").items()} == {folder: 4 if folder else 0 for folder in texts(f"{tmp_path}/b")}
+    assert not glob.glob(f"{tmp_path}/a/_temporary*")
+    # The mode of a file is not set by a process of its own, nor is there a file of checksums.
+    assert not glob.glob(f"{tmp_path}/a/**/.*.crc", recursive=True, include_hidden=True)
+
+
+def test_artifacts_of_a_failed_write_are_not_left_in_part(spark, tmp_path):
+    import pytest
+
+    broken = F.when(F.col("captured_at") == "d7", F.raise_error(F.lit("lost")).cast("string")).otherwise(F.col("text"))
+    with pytest.raises(Exception, match="lost"):
+        write_artifacts(_captures(spark, 40).withColumn("text", broken), "text", f"{tmp_path}/run/llm")
+    assert not glob.glob(f"{tmp_path}/run/llm/**/part-*", recursive=True)
