@@ -159,3 +159,35 @@ def test_artifacts_of_a_failed_write_are_not_left_in_part(spark, tmp_path):
     with pytest.raises(Exception, match="lost"):
         write_artifacts(_captures(spark, 40).withColumn("text", broken), "text", f"{tmp_path}/run/llm")
     assert not glob.glob(f"{tmp_path}/run/llm/**/part-*", recursive=True)
+
+
+def test_compressed_feeds_and_documents_are_read_alike(spark, tmp_path):
+    from ratelake.operators.folders import run_tables
+    from ratelake.sources.writers import write_deltas, write_documents
+
+    document = F.struct(
+        F.lit("1.0").alias("schema_version"), F.lit("ups").alias("carrier"), F.lit("s").alias("source_id"),
+        F.col("id").cast("string").alias("captured_at"), F.lit("u").alias("source_url"), F.lit("c").alias("content_type"),
+        F.lit(None).cast("string").alias("effective_date"), F.array().cast(
+            "array<struct<program:string,effective_date:string,brackets:array<struct<bracket_id:string,index_range:string,"
+            "min_index:double,max_index:double,surcharge_percent:double,surcharge_text:string>>>>").alias("tables"),
+        F.struct(F.lit(False).alias("structural_error"), F.array().cast("array<string>").alias("messages")).alias("parser_diagnostics"),
+    )
+    delta = spark.range(0, 500, 1, 2).select(
+        F.lit("1.0").alias("schema_version"), F.lit("ups").alias("carrier"), F.lit("s").alias("source_id"),
+        F.col("id").cast("string").alias("captured_at"), F.lit(None).cast("string").alias("prior_captured_at"),
+        F.lit(None).cast("string").alias("program"), F.lit(None).cast("string").alias("effective_date"), F.lit("b").alias("bracket_id"),
+        F.lit("r").alias("index_range"), F.lit(1.0).alias("old_value"), F.lit(2.0).alias("new_value"), F.lit("g").alias("group_key"),
+        F.struct(F.lit(True).alias("is_publishable"), F.array().cast("array<string>").alias("reasons")).alias("publishability"),
+        F.lit(False).alias("parser_structural_error"),
+    )
+    seen = []
+    for how in ("none", "gzip"):
+        write_documents(spark.range(500).select(document.alias("d")), "d", f"{tmp_path}/{how}/snapshots", compression=how)
+        write_deltas(delta, f"{tmp_path}/{how}/changes", how)
+        snapshots, _, _, deltas = run_tables(spark, f"{tmp_path}/{how}")
+        at = deltas.orderBy("position").select("captured_at").collect()
+        seen.append((sorted(r["captured_at"] for r in snapshots.collect()), [r[0] for r in at]))
+    assert seen[0] == seen[1] and len(seen[0][0]) == len(seen[0][1]) == 500
+    size = {how: sum(len(open(f, "rb").read()) for f in glob.glob(f"{tmp_path}/{how}/*/part-*")) for how in ("none", "gzip")}
+    assert size["gzip"] * 10 < size["none"]
