@@ -191,3 +191,24 @@ def test_compressed_feeds_and_documents_are_read_alike(spark, tmp_path):
     assert seen[0] == seen[1] and len(seen[0][0]) == len(seen[0][1]) == 500
     size = {how: sum(len(open(f, "rb").read()) for f in glob.glob(f"{tmp_path}/{how}/*/part-*")) for how in ("none", "gzip")}
     assert size["gzip"] * 10 < size["none"]
+
+
+def test_numbers_of_range_texts_are_cast_only_where_something_matched(spark):
+    import math
+
+    from ratelake.functions.brackets import parse_percent_text, parse_range_text
+
+    texts = {
+        "$1.50 - $2": (1.5, 2.0, "1.50_2.00", True), "5+": (5.0, None, "5.00_plus", True), ">= 7.25": (7.25, None, "7.25_plus", True),
+        "less than $3": (None, 3.0, "lt_3.00", True), "n/a": (None, None, "n/a", False), "": (None, None, "unknown_range", False),
+        None: (None, None, None, False), "1 - x, 4 and above": (4.0, None, "4.00_plus", True),
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    parsed = rows.select("t", parse_range_text(F.col("t")).alias("r"))
+    assert {r["t"]: tuple(r["r"]) for r in parsed.collect()} == texts
+    percent = rows.sparkSession.createDataFrame([("5%",), ("n/a",), ("-1,0.5 %",), ("1e999",), ("",), (None,)], "t string")
+    found = {r[0]: r[1] for r in percent.select("t", parse_percent_text(F.col("t"))).collect()}
+    assert found == {"5%": 5.0, "n/a": None, "-1,0.5 %": -10.5, "1e999": math.inf, "": None, None: None}
+    # An empty text is never cast: that gives no number either, but throws inside for every row.
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(regexp_extract" not in plan
