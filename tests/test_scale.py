@@ -212,3 +212,18 @@ def test_numbers_of_range_texts_are_cast_only_where_something_matched(spark):
     # An empty text is never cast: that gives no number either, but throws inside for every row.
     plan = parsed._jdf.queryExecution().optimizedPlan().toString()
     assert "cast(regexp_extract" not in plan
+
+
+def test_workers_need_no_package_to_write_artifacts(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from ratelake.sources.writers import _moved_rows, _staged_rows
+
+    code = "import pickle, sys; [f for f in pickle.loads(sys.stdin.buffer.read())]"
+    sent = cloudpickle.dumps([_staged_rows("stage", "job"), _moved_rows("stage", "path")])
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], input=sent, cwd=tmp_path, env=clean, check=True)
