@@ -140,3 +140,24 @@ def test_delta_of_a_known_history(spark, tmp_path):
     # A batch holds its versions, each with one prior: as many rows as arrived and are new.
     stored = spark.read.parquet(f"{tmp_path}/tables").groupBy("batch").count().collect()
     assert sorted(r["count"] for r in stored) == [1, 2, 2]
+
+
+def test_delta_keeps_tables_out_of_state(spark, tmp_path):
+    """State holds ids only, so a large snapshot does not pass through it; of one id that comes
+    twice in a batch, one content counts; a table without brackets is one."""
+    big = {f"b{k}": float(k) for k in range(20_000)}
+    source, check = f"{tmp_path}/in", f"{tmp_path}/check"
+    for rows in (
+        [snapshot("s1", "r1", "2026-01-01", big)],
+        [snapshot("s1", "r2", "2026-01-02", {**big, "b7": 0.5}), snapshot("s1", "r3", "2026-01-03", {}, {"b7": 1.0})],
+        [snapshot("s2", "r1", "2026-01-01", {"a": 1.0}), snapshot("s2", "r1", "2026-01-01", {"z": 2.0})],
+    ):
+        spark.createDataFrame(rows, SNAPSHOT).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(SNAPSHOT).parquet(source)
+        stream_delta(stream, f"{tmp_path}/tables", f"{tmp_path}/deltas", check).awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/deltas").groupBy("source_id", "captured_at").count().collect()
+    assert sorted((r.source_id, r.captured_at, r["count"]) for r in got) == [
+        ("s1", "2026-01-01", 20_000), ("s1", "2026-01-02", 1), ("s1", "2026-01-03", 20_000), ("s2", "2026-01-01", 1),
+    ]
+    state = sum(f.stat().st_size for f in (tmp_path / "check" / "state").rglob("*") if f.is_file())
+    assert state < 200_000
