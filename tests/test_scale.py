@@ -227,3 +227,18 @@ def test_workers_need_no_package_to_write_artifacts(tmp_path):
     sent = cloudpickle.dumps([_staged_rows("stage", "job"), _moved_rows("stage", "path")])
     clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code], input=sent, cwd=tmp_path, env=clean, check=True)
+
+
+def test_snapshots_of_a_run_are_merged_by_hash(spark):
+    """Equal rows are merged without a sort before the largest texts of a key are looked for."""
+    from ratelake.plans.model import side_snapshots
+
+    side = spark.createDataFrame(
+        [("u", "s", "t", None, "p1"), ("u", "s", "t", "d", "p0"), ("u", "s", "t", "d", "p0"), ("u", None, "t", None, "p")],
+        "carrier string, source_id string, captured_at string, effective_date string, path string",
+    )
+    found = side_snapshots(side)
+    assert sorted(map(str, found.collect())) == sorted(map(str, side.groupBy("carrier", "source_id", "captured_at").agg(
+        F.max("effective_date").alias("effective_date"), F.max("path").alias("path")).collect()))
+    physical = found._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" in physical.splitlines()[-2]
