@@ -16,6 +16,9 @@ text. All links are found: every filter below only passes over pairs that cannot
   one pivot p bound the overlap of any two sets without reading them again:
   |x & z| <= |p| - |(p - x) | (p - z)| + |(x - p) & (z - p)|, with sketches of the
   differences. Only pairs of different components that pass are compared afterwards.
+  Those of one pivot meet by way of it, once each, and not in every list they share.
+* Texts travel to a pair only if signatures, of some bits per shingle, leave it possible:
+  a bit that one set has alone is a shingle that the other lacks.
 
 Null and empty texts and texts without words have an empty set and stand alone. A text
 of fewer words than a shingle has is one shingle. Rows that repeat an id are one node,
@@ -39,11 +42,13 @@ from ratelake.llm.components import components
 N = 5
 SHARE = 80  # percent
 CHUNK = 4 << 20  # shingles whose frequencies are counted together
-LOCAL_HOT, HOT = 8, 16  # occurrences in a chunk, and in all chunks, of a frequent shingle
+LOCAL_HOT, HOT = 2, 16  # different texts of a chunk, and of all chunks, with a frequent shingle
 HOT_LIST = 1 << 20  # frequent shingles that are ordered by frequency
 SMALL = 1 << 20  # ids, of 8 bytes each, that are broadcast
 DOUBLINGS, CIRCLE = 3, 3  # steps from pivot to pivot, as powers of two; classes of a circle
 WORDS = 4  # 64-bit words of a difference sketch
+FAMILY = 30  # percent of similarity from which a pivot's answer says something about others
+BITS, MOST_BITS = 4, 1 << 19  # bits of a signature per shingle, at least, and in all
 SEEN = 1 << 18  # classes that a task remembers to report once
 
 
@@ -69,6 +74,24 @@ def class_number(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
+def signature(values: np.ndarray) -> bytes:
+    """Bit k is set if a hash is k modulo the number of bits, a power of two."""
+    bits = min(MOST_BITS, max(64, 1 << (BITS * len(values) - 1).bit_length()))
+    flags = np.zeros(bits, bool)
+    flags[(values & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def most_overlap(size_a: int, a: bytes, size_b: int, b: bytes) -> int:
+    """A bound of the overlap of two sets from their sizes and signatures: every bit that
+    one has alone is a shingle that the other lacks."""
+    if len(a) > len(b):
+        size_a, a, size_b, b = size_b, b, size_a, a
+    short, long = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64).reshape(-1, len(a) // 8)
+    alone = np.bitwise_count(short & ~np.bitwise_or.reduce(long)).sum(), np.bitwise_count(long & ~short).sum()
+    return min(size_a - int(alone[0]), size_b - int(alone[1]))
+
+
 def needed(size_a, size_b):
     """Least overlap of linked sets of these sizes: ceil(share * (a + b) / (100 + share))."""
     return -(-SHARE * (size_a + size_b) // (100 + SHARE))
@@ -83,15 +106,17 @@ def index_prefix(size):
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """Rows of kind 0: doc_id, n_shingles, digest and class number; of kind 1: shingles
-    frequent in a chunk and how often they occur there."""
+    """Rows of kind 0: doc_id, n_shingles, digest, class number and signature; of kind 1:
+    shingles frequent in a chunk and in how many different sets they occur there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: dict[bytes, np.ndarray] = {}
         count = 0
 
         def frequent() -> pa.RecordBatch:
-            values = np.sort(np.concatenate(held)) if held else np.zeros(0, np.uint64)
+            values = np.concatenate([*held.values()]) if held else np.zeros(0, np.uint64)
+            held.clear()
+            values.sort()
             first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, int)
             size = np.diff(np.concatenate([first, [len(values)]]))
             hot = size >= LOCAL_HOT
@@ -99,7 +124,7 @@ def profile(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.ones(n, np.int32)), pa.nulls(n, id_type), pa.array(size[hot].astype(np.int64)),
-                    pa.nulls(n, pa.binary()), pa.array(values[first[hot]].view(np.int64)),
+                    pa.nulls(n, pa.binary()), pa.array(values[first[hot]].view(np.int64)), pa.nulls(n, pa.binary()),
                 ],
                 names,
             )
@@ -114,20 +139,21 @@ def profile(docs: DataFrame) -> DataFrame:
                     pa.array(np.zeros(len(each), np.int32)), batch.column("doc_id"),
                     pa.array([len(s) for s in each], pa.int64()), pa.array(keys, pa.binary()),
                     pa.array([class_number(k) for k in keys], pa.int64()),
+                    pa.array([signature(s) if len(s) else None for s in each], pa.binary()),
                 ],
                 names,
             )
-            held += each
+            held |= zip(keys, each)
             count += sum(map(len, each))
             if count >= CHUNK:
                 yield frequent()
-                held, count = [], 0
+                count = 0
         yield frequent()
 
-    names = ["kind", "doc_id", "n_shingles", "digest", "number"]
+    names = ["kind", "doc_id", "n_shingles", "digest", "number", "signature"]
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"kind int, doc_id {kind}, n_shingles bigint, digest binary, number bigint"
+        run, f"kind int, doc_id {kind}, n_shingles bigint, digest binary, number bigint, signature binary"
     )
 
 
@@ -241,19 +267,35 @@ def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "text"])
 
 
-def overlaps(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, u, v, size_a, size_b, overlap) of class pairs (a, b), from whole texts, with
-    sketches of what a lacks of b (gone) and has beside it (extra).
+def _near(pairs: DataFrame, classes: DataFrame, share: int, kind: str) -> DataFrame:
+    """(a, b, u, v) of the class pairs whose signatures allow a similarity of ``share`` percent."""
+    of = classes.select("cls", "rep", "n_shingles", "signature")
+    named = pairs.join(of.toDF("a", "u", "size_a", "signature_a"), "a").join(of.toDF("b", "v", "size_b", "signature_b"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = zip(*(batch.column(c).to_pylist() for c in ("size_a", "signature_a", "size_b", "signature_b")))
+            sizes = (batch.column(c).to_numpy() for c in ("size_a", "size_b"))
+            most = np.array([most_overlap(*k) for k in known], np.int64)
+            near = 100 * most >= share * (sum(sizes) - most)
+            yield batch.select(["a", "b", "u", "v"]).filter(pa.array(near))
+
+    return named.filter(F.col("u") != F.col("v")).mapInArrow(run, f"a bigint, b bigint, u {kind}, v {kind}")
+
+
+def overlaps(pairs: DataFrame, classes: DataFrame, docs: DataFrame, share: int = SHARE) -> DataFrame:
+    """(a, b, u, v, size_a, size_b, overlap) of those class pairs (a, b) that may have a
+    similarity of ``share`` percent, from whole texts, with sketches of what a lacks of b
+    (gone) and has beside it (extra).
 
-    u, v: the ids that stand for the classes.
+    u, v: the ids that stand for the classes; own: the texts are of the classes, not others
+    that have the same ids.
     """
-    of = classes.select("cls", "rep")
-    named = pairs.join(of.toDF("a", "u"), "a").join(of.toDF("b", "v"), "b")
-    named = stored(named.filter(F.col("u") != F.col("v")), "jaccard-pairs")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    named = stored(_near(pairs, classes, share, kind), "jaccard-pairs")
     wanted = named.select(F.col("u").alias("doc_id")).union(named.select("v")).distinct()
     if wanted.count() <= SMALL:  # a checked size; otherwise texts are shuffled
         wanted = F.broadcast(wanted)
-    kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
     # Each text travels to its pairs twice, so it is compressed once for all of them.
     texts = stored(texts.mapInArrow(_compressed, f"doc_id {kind}, text binary"), "jaccard-texts")
@@ -270,19 +312,21 @@ def overlaps(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
                 both = [np.intersect1d(x, y, assume_unique=True) for x, y in zip(left, right)]
                 gone = np.stack([_sketch(y, z) for y, z in zip(right, both)]) if both else np.zeros((0, WORDS), np.int64)
                 extra = np.stack([_sketch(x, z) for x, z in zip(left, both)]) if both else gone
+                numbers = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), left, right)
+                own = [(class_number(digest(x)), class_number(digest(y))) == (a, b) for a, b, x, y in numbers]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[batch.column(c) for c in ("a", "b", "u", "v")], pa.array([len(x) for x in left], pa.int64()),
+                        *[batch.column(c) for c in ("a", "b", "u", "v")], pa.array(own, pa.bool_()), pa.array([len(x) for x in left], pa.int64()),
                         pa.array([len(y) for y in right], pa.int64()), pa.array([len(z) for z in both], pa.int64()),
                         *[pa.array(m[:, k].copy()) for m in (gone, extra) for k in range(WORDS)],
                     ],
-                    ["a", "b", "u", "v", "size_a", "size_b", "overlap", *_SKETCH],
+                    ["a", "b", "u", "v", "own", "size_a", "size_b", "overlap", *_SKETCH],
                 )
 
     out = stored(
         with_both.select("a", "b", "u", "v", "text_a", "text_b").mapInArrow(
             compare,
-            f"a bigint, b bigint, u {kind}, v {kind}, size_a bigint, size_b bigint, overlap bigint, "
+            f"a bigint, b bigint, u {kind}, v {kind}, own boolean, size_a bigint, size_b bigint, overlap bigint, "
             + ", ".join(f"{c} bigint" for c in _SKETCH),
         ),
         "jaccard-overlaps",
@@ -298,14 +342,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of (doc_id, text)."""
     docs = docs.select("doc_id", "text")
     rows = stored(profile(docs), "jaccard-profile")
-    known = rows.filter("kind = 0").select("doc_id", "n_shingles", "digest", "number")
+    known = rows.filter("kind = 0").select("doc_id", "n_shingles", "digest", "number", "signature")
     frequent = (
         rows.filter("kind = 1").groupBy(F.col("number").alias("shingle")).agg(F.sum("n_shingles").alias("n")).filter(F.col("n") >= HOT)
         .orderBy(F.desc("n"), "shingle").limit(HOT_LIST).toArrow()  # a bounded list
     )
     hot = frequent.column("shingle").to_numpy().view(np.uint64)[::-1].copy()
     classes = stored(
-        known.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("number").alias("cls")),
+        known.filter("n_shingles > 0").groupBy("digest").agg(
+            F.min("doc_id").alias("rep"), F.first("number").alias("cls"), F.first("n_shingles").alias("n_shingles"),
+            F.first("signature").alias("signature"),
+        ),
         "jaccard-classes",
     )
     lists = prefixes(docs, hot)
@@ -315,15 +362,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .mapInArrow(_read_lists, "shingle bigint, a bigint, size int, pos int, pivot bigint"),
         "jaccard-lists",
     )
-    # First every class with the pivot it meets most: one comparison per class.
+    # First every class with the pivot it meets most: one comparison per class at most.
     met = entries.filter("a <> pivot").groupBy("a", "pivot").agg(F.count("*").alias("n"))
     pairs = met.groupBy("a").agg(F.max(F.struct("n", F.col("pivot").alias("b"))).alias("m")).select("a", "m.b")
-    first = overlaps(pairs, classes, docs)
+    first = overlaps(pairs, classes, docs, FAMILY)
     # Then with the pivot's pivot and so on, so that a family has one pivot in common.
     roots = stored(_roots(first), "jaccard-roots")
-    second = overlaps(roots.filter("root <> a AND root <> b").select("a", F.col("root").alias("b")), classes, docs)
+    second = overlaps(roots.filter("root <> a AND root <> b").select("a", F.col("root").alias("b")), classes, docs, FAMILY)
     compared = first.unionByName(second)
-    answers = second.unionByName(first.join(roots.filter("root = b").select("a", "b"), ["a", "b"], "left_semi"))
+    family = f"own AND 100 * overlap >= {FAMILY} * (size_a + size_b - overlap)"
+    by_root = second.filter(family)
+    own = first.filter(family).join(roots.filter("root <> a").select("a"), "a", "left_semi")
+    # Rows that repeat an id and a text repeat an answer.
+    answers = by_root.unionByName(own.join(by_root.select("a"), "a", "left_anti")).dropDuplicates(["a"])
     links = compared.filter(LINKED).select("u", "v")
     groups = stored(components(links, "jaccard-components"), "jaccard-groups")
     later = _between_groups(entries, compared, answers, classes, groups, docs)
@@ -344,7 +395,7 @@ def _roots(compared: DataFrame) -> DataFrame:
     """(a, b, root): where the way from pivot to pivot ends. It is followed 2^DOUBLINGS
     steps by doubling; there it may circle among a few classes, of which the least is taken.
     """
-    step = compared.select("a", "b")
+    step = compared.select("a", "b").distinct()
     walk = step.withColumn("at", F.col("b"))
 
     def ahead(frame: DataFrame, way: DataFrame, name: str) -> DataFrame:
@@ -361,33 +412,43 @@ def _roots(compared: DataFrame) -> DataFrame:
 def _between_groups(
     entries: DataFrame, compared: DataFrame, answers: DataFrame, classes: DataFrame, groups: DataFrame, docs: DataFrame
 ) -> DataFrame:
-    """Overlaps of the pairs of one list that no answer has settled yet."""
+    """Overlaps of the pairs that no answer has settled yet: of those with one pivot, met
+    once each by way of it, and of the others that meet in a list.
+    """
     component = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         F.col("cls").alias("a"), F.coalesce("component", "rep").alias("component")
     )
-    answer = answers.select("a", F.col("b").alias("p"), "size_b", "overlap", *_SKETCH)
-    named = entries.drop("pivot").join(component, "a")
-    split = named.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    open_lists = stored(
-        named.join(split.filter("x <> y").select("shingle"), "shingle", "left_semi").join(answer, "a", "left")
-        .withColumns({c: F.coalesce(c, "size") for c in ("overlap", "size_b")})
-        .withColumns({c: F.coalesce(c, F.lit(0)) for c in _SKETCH}).withColumn("p", F.coalesce("p", "a")),
-        "jaccard-open",
-    )
-    y, x = open_lists.alias("y"), open_lists.alias("x")
+
+    def open_ones(rows: DataFrame, key: str) -> DataFrame:
+        """The rows of a key with several components."""
+        split = rows.groupBy(key).agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        return rows.join(split.filter("x <> y").select(key), key, "left_semi")
+
+    answer = answers.select("a", F.col("b").alias("p"), F.col("size_a").alias("size"), "size_b", "overlap", *_SKETCH)
+    family = stored(open_ones(answer.join(component, "a"), "p"), "jaccard-families")
+    named = entries.drop("pivot").join(component.join(answer.select("a", "p"), "a", "left"), "a")
+    lists = stored(open_ones(named.withColumn("p", F.coalesce("p", "a")), "shingle"), "jaccard-open")
+    pairs = _open_pairs(family, lists).distinct()
+    done = compared.select("a", "b").union(compared.select("b", "a"))
+    out = overlaps(pairs.join(done, ["a", "b"], "left_anti"), classes, docs)
+    discard(family, lists)
+    return out
+
+
+def _open_pairs(family: DataFrame, lists: DataFrame) -> DataFrame:
+    """(a, b) of classes that may link: a row per pair of one pivot, and a row per list in
+    which a pair of different pivots meets."""
     need = f"ceil({SHARE} * (y.size + x.size) / {100 + SHARE})"
     own = f"(y.size - ceil({2 * SHARE} * y.size / {100 + SHARE}) + 1)"
+    sizes = f"(y.size < x.size OR (y.size = x.size AND y.a < x.a)) AND 100 * y.size >= {SHARE} * x.size"
     # Of the pivot both keep what neither lacks; beside it they share what both have.
     only = lambda name, s, t: " + ".join(f"bit_count({s}.{name}{k} & ~{t}.{name}{k})" for k in range(WORDS))
     lacking = " , ".join(f"{s}.size_b - {s}.overlap + {only('gone', t, s)}" for s, t in ("xy", "yx"))
     beside = " , ".join(f"{s}.size - {s}.overlap - ({only('extra', s, t)})" for s, t in ("xy", "yx"))
     bound = f"(x.size_b - greatest({lacking}) + least({beside}))"
-    condition = f"""x.shingle = y.shingle AND x.component <> y.component
-      AND (y.size < x.size OR (y.size = x.size AND y.a < x.a)) AND 100 * y.size >= {SHARE} * x.size
-      AND y.pos < {own} AND least(x.size - x.pos, y.size - y.pos) >= {need}
-      AND (x.p <> y.p OR {bound} >= {need})"""
-    pairs = y.join(x, F.expr(condition)).select(F.col("y.a").alias("a"), F.col("x.a").alias("b")).distinct()
-    done = compared.select("a", "b").union(compared.select("b", "a"))
-    out = overlaps(pairs.join(done, ["a", "b"], "left_anti"), classes, docs)
-    discard(open_lists)
-    return out
+    within = f"x.p = y.p AND x.component <> y.component AND {sizes} AND {bound} >= {need}"
+    across = f"""x.shingle = y.shingle AND x.component <> y.component AND x.p <> y.p AND {sizes}
+      AND y.pos < {own} AND least(x.size - x.pos, y.size - y.pos) >= {need}"""
+    ends = F.col("y.a").alias("a"), F.col("x.a").alias("b")
+    pairs = family.alias("y").join(family.alias("x"), F.expr(within)).select(*ends)
+    return pairs.union(lists.alias("y").join(lists.alias("x"), F.expr(across)).select(*ends))

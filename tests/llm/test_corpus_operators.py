@@ -75,6 +75,63 @@ def test_jaccard_dense_family(spark):
     assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute_components(rows)
 
 
+def near_misses(seed, copies):
+    """Texts that each replace 4 words of one: most pairs are just too different to link."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{k}" for k in range(110)]
+    rows = []
+    for k in range(copies):
+        text = list(base)
+        for at in rng.choice(110, 4, replace=False):
+            text[at] = f"e{k}-{at}"
+        rows.append((k, " ".join(text)))
+    return rows
+
+
+def test_jaccard_family_meets_once(spark, monkeypatch):
+    """Pairs of a family make a row each, not one in every list that they share."""
+    rows, made = near_misses(6, 14), []
+    plain = jaccard._open_pairs
+    monkeypatch.setattr(jaccard, "_open_pairs", lambda *tables: made.append(plain(*tables).count()) or plain(*tables))
+    got = jaccard.near_duplicates(frame(spark, rows)).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute_components(rows)
+    assert len({r["component_id"] for r in got}) > 1 and made[0] <= 14 * 13 // 2
+
+
+def test_jaccard_unlike_texts_stay(spark, monkeypatch):
+    """Texts that share a passage only are told apart without being sent to each other."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for k in range(120):
+        own = [f"u{w}" for w in rng.integers(0, 1 << 40, 50)]
+        rows.append((k, " ".join(own[:25] + [f"p{k // 6}-{j}" for j in range(14)] + own[25:])))
+    compared, plain = [], jaccard.stored
+
+    def stored(table, purpose):
+        out = plain(table, purpose)
+        if purpose == "jaccard-pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", stored)
+    got = jaccard.near_duplicates(frame(spark, rows)).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in got) and sum(compared) < 5
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_jaccard_most_overlap(seed):
+    rng = np.random.default_rng(seed)
+    for _ in range(300):
+        size = int(rng.integers(1, 900))
+        x = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        kept = x[rng.random(len(x)) < rng.random()]
+        y = np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, int(rng.integers(1, 900))).astype(np.uint64)]))
+        most = jaccard.most_overlap(len(x), jaccard.signature(x), len(y), jaccard.signature(y))
+        assert len(np.intersect1d(x, y)) <= most <= min(len(x), len(y))
+    x, y = (rng.integers(0, 1 << 63, 800).astype(np.uint64) for _ in range(2))
+    assert jaccard.most_overlap(800, jaccard.signature(x), 800, jaccard.signature(y)) < 300
+
+
 def test_jaccard_empty(spark):
     assert jaccard.near_duplicates(frame(spark, [])).count() == 0
     assert jaccard.near_duplicates(frame(spark, [(1, None), (2, "")])).collect()[0]["n_shingles"] == 0
