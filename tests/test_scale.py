@@ -3,6 +3,7 @@
 import glob
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from ratelake.sources.readers import read_artifacts
@@ -242,3 +243,63 @@ def test_snapshots_of_a_run_are_merged_by_hash(spark):
         F.max("effective_date").alias("effective_date"), F.max("path").alias("path")).collect()))
     physical = found._jdf.queryExecution().sparkPlan().toString()
     assert "HashAggregate" in physical.splitlines()[-2]
+
+
+def _feed_run(folder, feeds):
+    import json
+    import os
+
+    snapshot = {"schema_version": "1.0", "carrier": "ups", "source_id": "s", "captured_at": "t", "source_url": "u", "content_type": "c",
+                "effective_date": None, "tables": [{"program": "p", "effective_date": None, "brackets": [
+                    {"bracket_id": "b", "index_range": "r", "min_index": None, "max_index": None, "surcharge_percent": v, "surcharge_text": ""}
+                    for v in (1, len(feeds))]}], "parser_diagnostics": {"structural_error": False, "messages": []}}
+    os.makedirs(f"{folder}/snapshots/ups/s/t")
+    with open(f"{folder}/snapshots/ups/s/t/parsed.json", "w") as f:
+        json.dump(snapshot, f)
+    for name, lines in feeds.items():
+        os.makedirs(f"{folder}/changes/{name}")
+        with open(f"{folder}/changes/{name}/fsc_delta_records.jsonl", "w") as f:
+            f.write("\n".join(lines))
+
+
+def _delta(bracket, old, new):
+    return ('{"schema_version":"1.0","carrier":"ups","source_id":"s","captured_at":"t","prior_captured_at":null,"program":null,'
+            f'"effective_date":null,"bracket_id":"x","bracket_id":"{bracket}","index_range":"r","old_value":{old},"new_value":{new},'
+            '"group_key":"g","publishability":{"is_publishable":true,"reasons":[]},"parser_structural_error":false}')
+
+
+def test_feeds_of_run_folders_are_checked_once_and_merged_by_hash(spark, tmp_path):
+    from ratelake.operators.folders import compare_run_folders
+
+    pad = [_delta("c", 1, k) for k in range(2000)]
+    _feed_run(f"{tmp_path}/a", {"1": [_delta("b", 1, 9), "", *pad], "2": [_delta("b", -0.0, 2), "", _delta("b", "null", 2)]})
+    _feed_run(f"{tmp_path}/b", {"1": [*pad, _delta("c", 1, 5)], "2": [], "3": [_delta("b", 1, 9), _delta("b", -0.0, 2.5)]})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # a feed is read in many blocks
+    try:
+        found = compare_run_folders(spark, f"{tmp_path}/a", f"{tmp_path}/b")
+        rows = sorted((r["message"], r["details"] and (r["details"]["baseline"], r["details"]["llm"])) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rows == [
+        ("new_value mismatch for b", ("2.0", "2.5")), ("new_value mismatch for c", ("1999.0", "5.0")), ("old_value mismatch for b", (None, "-0.0")),
+        ("surcharge_percent mismatch for p b", ("2.0", "3.0")),
+    ]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "FileScan text" not in plan and "SortAggregate" not in plan
+    with open(f"{tmp_path}/b/changes/3/fsc_delta_records.jsonl", "a") as f:
+        f.write('\n\n{"x"\n')
+    with pytest.raises(Exception, match=r"Invalid JSONL at .*/3/fsc_delta_records\.jsonl:3"):
+        compare_run_folders(spark, f"{tmp_path}/a", f"{tmp_path}/b").collect()
+
+
+def test_numbers_of_checked_records_are_those_of_the_text(spark, tmp_path):
+    from ratelake.sources.readers import read_run_deltas
+
+    numbers = ["0", "-0", "0.0", "-0.0", "-0e5", "1e-400", "-1e-400", "1e400", "0.1", "123456789012345678901234567890123456789012.5", "1.7976931348623157e308",
+               "2.5E-3", "9007199254740993", "12345678901234567890.123456789012345678", "null"]
+    _feed_run(f"{tmp_path}/a", {"1": [_delta(f"b{k}", n, n) for k, n in enumerate(numbers)]})
+    strict, loose = (
+        sorted(str(r) for r in read_run_deltas(spark, f"{tmp_path}/a", s).drop("position").collect()) for s in (True, False)
+    )
+    assert strict == loose and len(strict) == len(numbers)
