@@ -269,20 +269,20 @@ def _delta(bracket, old, new):
 
 
 def test_feeds_of_run_folders_are_checked_once_and_merged_by_hash(spark, tmp_path):
-    from ratelake.operators.folders import compare_run_folders
+    from ratelake.operators.folders import _stored_feed, compare_run_folders
 
-    pad = [_delta("c", 1, k) for k in range(2000)]
+    pad = [_delta("c", 1, k) for k in range(300)]
     _feed_run(f"{tmp_path}/a", {"1": [_delta("b", 1, 9), "", *pad], "2": [_delta("b", -0.0, 2), "", _delta("b", "null", 2)]})
     _feed_run(f"{tmp_path}/b", {"1": [*pad, _delta("c", 1, 5)], "2": [], "3": [_delta("b", 1, 9), _delta("b", -0.0, 2.5)]})
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # a feed is read in many blocks
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")  # a feed is read in many blocks
     try:
         found = compare_run_folders(spark, f"{tmp_path}/a", f"{tmp_path}/b")
         rows = sorted((r["message"], r["details"] and (r["details"]["baseline"], r["details"]["llm"])) for r in found.collect())
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert rows == [
-        ("new_value mismatch for b", ("2.0", "2.5")), ("new_value mismatch for c", ("1999.0", "5.0")), ("old_value mismatch for b", (None, "-0.0")),
+        ("new_value mismatch for b", ("2.0", "2.5")), ("new_value mismatch for c", ("299.0", "5.0")), ("old_value mismatch for b", (None, "-0.0")),
         ("surcharge_percent mismatch for p b", ("2.0", "3.0")),
     ]
     plan = found._jdf.queryExecution().sparkPlan().toString()
@@ -290,7 +290,7 @@ def test_feeds_of_run_folders_are_checked_once_and_merged_by_hash(spark, tmp_pat
     with open(f"{tmp_path}/b/changes/3/fsc_delta_records.jsonl", "a") as f:
         f.write('\n\n{"x"\n')
     with pytest.raises(Exception, match=r"Invalid JSONL at .*/3/fsc_delta_records\.jsonl:3"):
-        compare_run_folders(spark, f"{tmp_path}/a", f"{tmp_path}/b").collect()
+        _stored_feed(spark, f"{tmp_path}/b", True)
 
 
 def test_numbers_of_checked_records_are_those_of_the_text(spark, tmp_path):
@@ -303,3 +303,67 @@ def test_numbers_of_checked_records_are_those_of_the_text(spark, tmp_path):
         sorted(str(r) for r in read_run_deltas(spark, f"{tmp_path}/a", s).drop("position").collect()) for s in (True, False)
     )
     assert strict == loose and len(strict) == len(numbers)
+
+
+def test_artifacts_are_read_by_tasks_as_by_the_index(spark, tmp_path, monkeypatch):
+    """Odd folder names, hidden and empty files, all ends of lines; no state of a file in the plan."""
+    import gzip
+    import os
+
+    from ratelake.sources import readers as R
+
+    names = ["a b", "é +%", "x=1,y;z", "q'(1)*~!$&@:", 'b#[c]{d}|^`<>"', "n b　 ", "日本", "\x7f\x85t", "_=k", "_hid", ".dot",
+             "c._COPYING_", "_metadata", "back\\slash"]
+    whole = [b'{"x":\n1}\n', b"", b"\xef\xbb\xbfabc", b"  \n", b"\xff\xfe bad"]
+    parts = [b"a\rb\n\n  \nc\r\nd", b"", b"\xef\xbb\xbfabc\n\t\n", b"\xc2\x85x\x0b y\x0c z\n", b"\xff\n"]
+    for run in ("r1", "r 2"):
+        for k, n in enumerate(names):
+            folder = f"{tmp_path}/out/{run}/llm/{n}/s/t{k}"
+            os.makedirs(f"{folder}/file=a.json")
+            for name, data in (("a.json", whole[k % 5]), ("file=a.json/part-0.txt", parts[k % 5]), ("file=a.json/a.json", b"inner"),
+                               ("part-1", b"no"), ("b.json", b"no"), ("file=a.json/part-2.txt", b"x" * (k * 100))):
+                with open(f"{folder}/{name}", "wb") as f:
+                    f.write(data)
+    os.symlink(f"{tmp_path}/none", f"{tmp_path}/out/r1/llm/a b/broken")
+
+    def rows(df):
+        return sorted(map(tuple, df.select(F.hex("value"), "file_path").collect()))
+
+    def compared(run):
+        found = read_artifacts(spark, f"{tmp_path}/out/{run}", "llm", "a.json")
+        assert rows(found) == rows(R._indexed_artifacts(spark, f"{tmp_path}/out/{run}/llm", "a.json"))
+        return found
+
+    monkeypatch.setattr(R, "_READ_BYTES", 500)
+    for run in ("r1", "*", "none", "none*"):
+        found = compared(run)
+        assert "FileScan text" not in found._jdf.queryExecution().sparkPlan().toString()
+    monkeypatch.setattr(R, "LISTED", 2)  # folders of more entries are walked by one task
+    found = compared("*")
+    # Texts are never taken for as small as their paths, and broadcast.
+    assert int(str(found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > 1 << 40
+    with gzip.open(f"{tmp_path}/out/r1/llm/a b/s/t0/file=a.json/part-3.txt.gz", "wb") as f:
+        f.write(b"packed\n")
+    assert ("7061636B6564", ) in [r[:1] for r in rows(compared("r1"))]
+
+
+def test_workers_need_no_package_to_read_artifacts(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from ratelake.sources.readers import _texts, _walked
+
+    os.makedirs(f"{tmp_path}/f/g")
+    with open(f"{tmp_path}/f/g/a.json", "w") as f:
+        f.write("x")
+    code = (
+        "import pickle, sys, pyarrow as pa; walk, read = pickle.loads(sys.stdin.buffer.read()); found = [*walk(['f'])]; "
+        "cols = [pa.array(c) for c in zip(*found)]; batch = pa.RecordBatch.from_arrays(cols, ['path', 'file_path', 'whole']); "
+        "assert next(read(iter([batch]))).column(0).to_pylist() == [b'x'], found"
+    )
+    sent = cloudpickle.dumps([_walked("a.json"), _texts()])
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], input=sent, cwd=tmp_path, env=clean, check=True)
